@@ -1,4 +1,4 @@
 """All registered queries; importing the modules fills the registry."""
 
 from .registry import QUERIES, Query  # noqa: F401
-from . import features_q  # noqa: F401
+from . import features_q, landing_q  # noqa: F401
