@@ -51,6 +51,11 @@ class SeriesLayout:
             df = df.where(F.col(OWN))
         return df.drop(CHUNK, OWN, POS)
 
+    def finish_keep_pos(self, df: DataFrame) -> DataFrame:
+        if self.halo:
+            df = df.where(F.col(OWN))
+        return df.drop(CHUNK, OWN)
+
 
 def _order_number(c: str, dtype: str) -> Column:
     """A numeric, order-preserving image of the first order column."""
@@ -118,3 +123,26 @@ def series_layout(df: DataFrame, series: str = "series", order="dt", lookback: i
     out = (indexed.select("*", F.explode(targets).alias("_t"))
            .select(*df.columns, POS, F.col("_t.c").alias(CHUNK), F.col("_t.o").alias(OWN)))
     return SeriesLayout(out, series, order, [series, CHUNK], True)
+
+
+def with_positions(df: DataFrame, series: str = "series", order="dt", mode: str = "auto",
+                   chunk_rows: int | None = None) -> DataFrame:
+    """Add ``_pos`` (0-based row position in its series) and ``_n`` (series size).
+
+    ``plain``: ``row_number``/``count`` over the series window (one shuffle).
+    ``halo``/large series: positions from per-(series, time bucket) counts
+    prefix-summed (see ``series_layout``), sizes from a grouped count, so no task
+    sorts a whole hot series."""
+    order = [order] if isinstance(order, str) else list(order)
+    if mode == "auto":
+        limit = conf_int(df.sparkSession, MAX_ROWS_PER_TASK_KEY, 5_000_000)
+        biggest = df.groupBy(series).count().agg(F.max("count")).first()[0] or 0
+        mode = "plain" if biggest <= limit else "halo"
+    if mode == "plain":
+        w = Window.partitionBy(series).orderBy(*order)
+        return df.select("*", (F.row_number().over(w) - 1).alias(POS),
+                         F.count(F.lit(1)).over(Window.partitionBy(series)).alias("_n"))
+    lay = series_layout(df, series, order, 0, 0, mode="halo", chunk_rows=chunk_rows)
+    idx = lay.finish_keep_pos(lay.df)
+    sizes = df.groupBy(series).agg(F.count(F.lit(1)).alias("_n"))
+    return idx.join(sizes, series)

@@ -119,9 +119,11 @@ select cast(o_orderkey as varchar) as run_id, o_orderpriority as experiment,
 from orders"""
 
 SQL_VERSIONS = """
-select experiment as model_name,
+select model_name, version, run_id,
+  case when version % 7 = 0 then ['Production'] else []::varchar[] end as aliases
+from (select experiment as model_name,
   cast(row_number() over (partition by experiment order by start_time, run_id) as int) as version, run_id
-from runs where model_path is not null"""
+  from runs where model_path is not null) v"""
 
 SQL_FORECASTS = """
 select series, dt, 'naive' as model, 1 as horizon, close as actual,
