@@ -7,7 +7,7 @@ NEG_INF = "CAST('-inf' AS DOUBLE)"
 
 
 def pdiv(a: str, b: str) -> str:
-    return (f"(CASE WHEN ({b}) <> 0 THEN ({a}) / ({b}) WHEN ({a}) > 0 THEN {INF} "
+    return (f"(CASE WHEN ({b}) IS NULL THEN NULL WHEN ({b}) <> 0 THEN ({a}) / ({b}) WHEN ({a}) > 0 THEN {INF} "
             f"WHEN ({a}) < 0 THEN {NEG_INF} END)")
 
 

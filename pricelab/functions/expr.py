@@ -25,7 +25,8 @@ def pdiv(a, b) -> Column:
     explicitly. The oracle writes the same CASE.
     """
     a, b = col(a), col(b)
-    return (F.when(b != 0, a / b)
+    return (F.when(b.isNull(), F.lit(None).cast("double"))
+            .when(b != 0, a / b)
             .when(a > 0, inf())
             .when(a < 0, neg_inf()))
 
