@@ -151,7 +151,8 @@ _e(series, rn, {cols}, sig) AS (
 
 
 def features_sql(src: str, order: str = "dt", hl=True, op=True, volume=True, dropna=True,
-                 fixture: str = "bars_daily", bar_cols=("open", "high", "low", "close", "volume")) -> str:
+                 fixture: str = "bars_daily", bar_cols=("open", "high", "low", "close", "volume"),
+                 rounded: bool = True) -> str:
     w = W("series", order)
     s1 = price_sql(w, hl, op) + lag_sql(w, volume) + helper_sql(w, hl)
     s1_sel = ", ".join(f'{e} AS "{n}"' for n, e in s1)
@@ -180,6 +181,8 @@ def features_sql(src: str, order: str = "dt", hl=True, op=True, volume=True, dro
     if dropna:
         cond = " AND ".join(f'"{c}" IS NOT NULL' for c in out_cols)
         body = f"SELECT * FROM ({body}) _f WHERE {cond}"
+    if not rounded:
+        return with_ctes(body, fixture), out_cols
     return with_ctes(_rounded_sql(body, out_cols), fixture), out_cols
 
 
