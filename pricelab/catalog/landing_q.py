@@ -29,10 +29,12 @@ def raw_roundtrip(spark, sf):
     return landing.processed_daily(_rows(spark, sf))
 
 
-@query("dedup_last", with_ctes(
+QUERIES_DEDUP_SQL = with_ctes(
     f"SELECT {_DT} AS datetime, upper(series) AS ticker, open, high, low, "
-    "CASE WHEN volume > 1 THEN high ELSE close END AS close, volume FROM bars_daily", "bars_daily"),
-    ("AG8", "ST1"))
+    "CASE WHEN volume > 1 THEN high ELSE close END AS close, volume FROM bars_daily", "bars_daily")
+
+
+@query("dedup_last", QUERIES_DEDUP_SQL, ("AG8", "ST1"))
 def dedup_last(spark, sf):
     """Two landings of the same days; the later one revises close where volume > 1.
     Last file wins per (ticker, datetime)."""
@@ -157,3 +159,26 @@ def date_strings(spark, sf):
                     ((F.try_to_timestamp(F.date_format("d", "yyyyMMdd"), F.lit("yyyyMMdd")).cast("date") == F.col("d"))
                      & (F.try_to_timestamp(F.date_format("d", "yyyy/MM/dd"), F.lit("yyyy/MM/dd")).cast("date")
                         == F.col("d"))).alias("roundtrip_ok"))
+
+
+@query("landing_stream", QUERIES_DEDUP_SQL, ("SM1", "SM2", "SRC2", "SNK2", "AG8"))
+def landing_stream(spark, sf):
+    """Two landings written as files (the second revises close where volume > 1),
+    each processed by an availableNow file stream with a last-wins merge; the
+    table then equals the batch dedup of both landings."""
+    import os
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    from ..streaming.landing_stream import read_processed, run_landing_stream
+
+    base = os.path.join(ensure_checkpoint_dir(spark), f"landing-{uuid.uuid4().hex}")
+    root, table, ckpt = f"{base}/raw", f"{base}/processed", f"{base}/_stream_ckpt"
+    bars = fixtures.bars_daily(spark, sf)
+    first = landing.to_raw_payload(bars)
+    revised = landing.to_raw_payload(bars.where(F.col("volume") > 1).withColumn("close", F.col("high")),
+                                     run_time="120000")
+    for stamp, docs in (("20240101T000000Z", first), ("20240101T120000Z", revised)):
+        docs.select("value").write.mode("overwrite").text(f"{root}/{stamp}")
+        run_landing_stream(spark, root, table, ckpt)
+    return read_processed(spark, table)

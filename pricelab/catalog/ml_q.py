@@ -13,6 +13,7 @@ from ..operators import ml
 from ..sources import fixtures
 from ..sources.fixtures import with_ctes
 from .features_q import features_sql
+from ..session import cut_lineage
 from .registry import query, round_df
 
 OPT = list(fe.OPTIMIZED_FEATURES)
@@ -24,8 +25,10 @@ s AS (SELECT *, CASE WHEN rn < CAST(floor(n * CAST(0.8 AS DOUBLE)) AS BIGINT) TH
 
 
 def _split_features(spark, sf):
+    """Feature table with its 80/20 split, materialised once in the shared
+    checkpoint folder: several fits and scorings read it."""
     f = fe.create_features(fixtures.bars_daily(spark, sf))
-    return ev.time_split(f, 0.8)
+    return cut_lineage(ev.time_split(f, 0.8))
 
 
 def _scale_sql() -> str:
@@ -107,7 +110,7 @@ def tree_latest_forecast(spark, sf):
     """Day and week boosted-tree forecasts from each series' newest feature row
     (features computed without targets, so the row is today's bar)."""
     bars = fixtures.bars_daily(spark, sf)
-    train = fe.create_features(bars)
+    train = cut_lineage(fe.create_features(bars))
     live = fe.create_features(bars, targets=False)
     latest = ml.latest_rows(live)
     outs = []

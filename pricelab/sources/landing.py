@@ -183,7 +183,7 @@ def dedup_last(rows: DataFrame, keys=("ticker", "datetime"),
     and last position wins. A grouped ``max_by`` combines map-side, so a key
     with very many copies is reduced before the shuffle."""
     vals = [c for c in rows.columns if c not in keys and c not in order]
-    best = F.max_by(F.struct(*vals), F.struct(*order))
+    best = F.max_by(F.struct(*vals, *order), F.struct(*order))
     return rows.groupBy(*keys).agg(best.alias("_v")).select(*keys, "_v.*")
 
 
