@@ -195,13 +195,18 @@ def _bars(spark, sf):
 
 
 def _family(spark, sf, make, with_helpers=False, bars=None):
+    """One family over daily bars: ``make(b, W2)`` builds stage-2 columns."""
     b = bars if bars is not None else _bars(spark, sf)
     lay = series_layout(b, lookback=fe.MAX_LOOKBACK, lookahead=5)
-    w = lay.window()
-    df = lay.df
-    if with_helpers:
-        df = df.select("*", *fe.helper_columns(b, w))
-    out = df.select("series", "dt", *make(b, w))
+    out = fe.two_stage(lay, b, lambda W1: [], lambda W2, f1: make(b, W2), keep=["series", "dt"])
+    return _rounded(lay.finish(out))
+
+
+def _family1(spark, sf, make):
+    """A lag-stage family: ``make(b, W1)``."""
+    b = _bars(spark, sf)
+    lay = series_layout(b, lookback=fe.MAX_LOOKBACK, lookahead=5)
+    out = fe.two_stage(lay, b, lambda W1: make(b, W1), lambda W2, f1: [], keep=["series", "dt"])
     return _rounded(lay.finish(out))
 
 
@@ -215,29 +220,30 @@ def _family_sql(cols: list[tuple[str, str]], helpers=False, fixture="bars_daily"
     return with_ctes(_rounded_sql(inner, ["series", "dt"] + [n for n, _ in cols]), fixture)
 
 
-def _register_family(name, spark_cols, sql_cols, helpers=False, ids=()):
-    query(name, _family_sql(sql_cols, helpers), ids)(
-        lambda spark, sf: _family(spark, sf, spark_cols, with_helpers=helpers))
+def _register_family(name, spark_cols, sql_cols, helpers=False, ids=(), stage=2):
+    fn = _family if stage == 2 else _family1
+    query(name, _family_sql(sql_cols, helpers), ids)(lambda spark, sf: fn(spark, sf, spark_cols))
 
 
 _w = W()
-_register_family("price_changes", lambda b, w: fe.price_columns(b, w), price_sql(_w), ids=("WN3", "SC2", "SC3", "SC4"))
-_register_family("lags", lambda b, w: fe.lag_columns(b, w), lag_sql(_w), ids=("WN1", "WN2"))
-_register_family("rolling_stats", lambda b, w: fe.rolling_columns(b, w, with_ema=False)[:32],
+_register_family("price_changes", lambda b, W1: fe.price_columns(b, W1), price_sql(_w), ids=("WN3", "SC2", "SC3", "SC4"),
+                 stage=1)
+_register_family("lags", lambda b, W1: fe.lag_columns(b, W1), lag_sql(_w), ids=("WN1", "WN2"), stage=1)
+_register_family("rolling_stats", lambda b, W2: fe.rolling_columns(b, W2, with_ema=False)[:32],
                  rolling_sql(_w)[:32], ids=("WN4",))
 _register_family("rolling_return_stats",
-                 lambda b, w: fe.rolling_columns(b, w, with_ema=False)[32:38] + fe.volatility_columns(b, w)[:4],
+                 lambda b, W2: fe.rolling_columns(b, W2, with_ema=False)[32:38] + fe.volatility_columns(b, W2)[:4],
                  rolling_sql(_w)[32:38] + volatility_sql(_w)[:4], helpers=True, ids=("WN5", "WN6"))
-_register_family("price_position", lambda b, w: fe.rolling_columns(b, w, with_ema=False)[38:],
+_register_family("price_position", lambda b, W2: fe.rolling_columns(b, W2, with_ema=False)[38:],
                  rolling_sql(_w)[38:], ids=("WN7",))
-_register_family("true_range_atr", lambda b, w: fe.volatility_columns(b, w)[4:],
+_register_family("true_range_atr", lambda b, W2: fe.volatility_columns(b, W2)[4:],
                  volatility_sql(_w)[4:], helpers=True, ids=("WN8", "WN9", "SC2"))
-_register_family("rsi", lambda b, w: [fe.rsi_column(w, 14), fe.rsi_column(w, 7)],
+_register_family("rsi", lambda b, W2: [fe.rsi_column(W2, 14), fe.rsi_column(W2, 7)],
                  [("rsi_14", rsi_sql(_w, 14)), ("rsi_7", rsi_sql(_w, 7))], helpers=True, ids=("WN10",))
-_register_family("bollinger", lambda b, w: fe.bollinger_columns(w), bollinger_sql(_w), ids=("WN13",))
-_register_family("targets", lambda b, w: fe.target_columns(w), [(n, _w.lead("close", k)) for n, k in fe.TARGETS.items()],
-                 ids=("WN14",))
-_register_family("calendar", lambda b, w: calendar_columns("dt"), calendar_sql("dt"), ids=("SC1",))
+_register_family("bollinger", lambda b, W2: fe.bollinger_columns(W2), bollinger_sql(_w), ids=("WN13",))
+_register_family("targets", lambda b, W2: fe.target_columns(W2),
+                 [(n, _w.lead("close", k)) for n, k in fe.TARGETS.items()], ids=("WN14",))
+_register_family("calendar", lambda b, W2: calendar_columns("dt"), calendar_sql("dt"), ids=("SC1",))
 
 
 def _ema_query(spark, sf):

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.calendar import calendar_columns
-from ..functions.expr import full, pdiv
+from ..functions.expr import pdiv
 from .ema import add_ema, ema_lookback
 from .layout import SeriesLayout, series_layout
 
@@ -55,19 +55,54 @@ def _has(df: DataFrame, *cols: str) -> bool:
 
 
 # ---------------------------------------------------------------------------
-# Stage-1 columns (need only lag/lead of inputs)
+# Window registry: every lag / frame aggregate is created once and referenced
+# by name, so a frame shared by several features (roll_mean_20 in Bollinger,
+# counts behind min_periods) is evaluated once per row.
 # ---------------------------------------------------------------------------
 
-def log_return(c: str, w: WindowSpec, k: int = 1) -> Column:
-    lc = F.ln(F.col(c))
-    return lc - F.lag(lc, k).over(w)
+_AGG_FNS = {"avg": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max, "count": F.count}
 
 
-def price_columns(df: DataFrame, w: WindowSpec, price: str = "close") -> list[Column]:
+class Windows:
+    def __init__(self, w: WindowSpec):
+        self.w = w
+        self.cols: dict[str, Column] = {}
+
+    def _add(self, name: str, expr: Column) -> Column:
+        self.cols.setdefault(name, expr)
+        return F.col(name)
+
+    def lag(self, c: str, k: int) -> Column:
+        return self._add(f"_lag{k}_{c}", F.lag(c, k).over(self.w))
+
+    def lead(self, c: str, k: int) -> Column:
+        return self._add(f"_lead{k}_{c}", F.lead(c, k).over(self.w))
+
+    def full(self, fn: str, c: str, k: int) -> Column:
+        """pandas rolling(k).<fn>() with min_periods=k."""
+        frame = self.w.rowsBetween(1 - k, 0)
+        n = self._add(f"_n{k}_{c}", F.count(F.col(c)).over(frame))
+        a = self._add(f"_{fn}{k}_{c}", _AGG_FNS[fn](F.col(c)).over(frame))
+        return F.when(n == k, a)
+
+    def select(self, df: DataFrame) -> DataFrame:
+        return df.select("*", *[e.alias(n) for n, e in self.cols.items()])
+
+
+def _ln(c: str) -> str:
+    return f"_ln_{c}"
+
+
+def stage1_inputs(df: DataFrame, price: str = "close") -> DataFrame:
+    """Column inputs of the lag stage (ln price)."""
+    return df.withColumn(_ln(price), F.ln(F.col(price)))
+
+
+def price_columns(df: DataFrame, W1: Windows, price: str = "close") -> list[Column]:
     """WN3 + SC2 + SC3: return, return_abs, price_change(_pct), hl/oc ratios."""
     c = F.col(price)
-    prev = F.lag(c, 1).over(w)
-    r = log_return(price, w)
+    prev = W1.lag(price, 1)
+    r = F.col(_ln(price)) - W1.lag(_ln(price), 1)
     cols = [r.alias("return"), F.abs(r).alias("return_abs"), (c - prev).alias("price_change"),
             (pdiv(c, prev) - 1).alias("price_change_pct")]
     if _has(df, "high", "low"):
@@ -79,26 +114,24 @@ def price_columns(df: DataFrame, w: WindowSpec, price: str = "close") -> list[Co
     return cols
 
 
-def lag_columns(df: DataFrame, w: WindowSpec, price: str = "close", max_lag: int = 20) -> list[Column]:
+def lag_columns(df: DataFrame, W1: Windows, price: str = "close", max_lag: int = 20) -> list[Column]:
     """WN1 + WN2: lag_k, return_lag_k = ln c_t - ln c_(t-k), volume_lag_k."""
-    cols = [F.lag(price, k).over(w).alias(f"lag_{k}") for k in LAGS if k <= max_lag]
-    cols += [log_return(price, w, k).alias(f"return_lag_{k}") for k in RETURN_LAGS]
+    cols = [W1.lag(price, k).alias(f"lag_{k}") for k in LAGS if k <= max_lag]
+    cols += [(F.col(_ln(price)) - W1.lag(_ln(price), k)).alias(f"return_lag_{k}") for k in RETURN_LAGS]
     if _has(df, "volume"):
-        cols += [F.lag("volume", k).over(w).alias(f"volume_lag_{k}") for k in VOLUME_LAGS]
+        cols += [W1.lag("volume", k).alias(f"volume_lag_{k}") for k in VOLUME_LAGS]
     return cols
 
 
-def helper_columns(df: DataFrame, w: WindowSpec, price: str = "close") -> list[Column]:
-    """Inputs of chained windows: return (for rolling return stats), RSI gain/loss
-    (row 0 counts as 0, as pandas' where() turns its NaN delta into 0), true range,
-    high-low range."""
+def helper_columns(df: DataFrame, W1: Windows, price: str = "close") -> list[Column]:
+    """Inputs of chained windows: return, RSI gain/loss (row 0 counts as 0, as
+    pandas' where() turns its NaN delta into 0), true range, high-low range."""
     c = F.col(price)
-    delta = F.coalesce(c - F.lag(c, 1).over(w), F.lit(0.0))
-    cols = [log_return(price, w).alias("_ret"),
-            F.greatest(delta, F.lit(0.0)).alias("_gain"),
-            F.greatest(-delta, F.lit(0.0)).alias("_loss")]
+    prev = W1.lag(price, 1)
+    delta = F.coalesce(c - prev, F.lit(0.0))
+    cols = [(F.col(_ln(price)) - W1.lag(_ln(price), 1)).alias("_ret"),
+            F.greatest(delta, F.lit(0.0)).alias("_gain"), F.greatest(-delta, F.lit(0.0)).alias("_loss")]
     if _has(df, "high", "low"):
-        prev = F.lag(c, 1).over(w)
         # greatest() skips NULLs, so row 0 is high - low (pandas max(axis=1) skips NaN).
         cols += [F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - prev),
                             F.abs(F.col("low") - prev)).alias("_tr"),
@@ -106,65 +139,79 @@ def helper_columns(df: DataFrame, w: WindowSpec, price: str = "close") -> list[C
     return cols
 
 
-# ---------------------------------------------------------------------------
-# Stage-2 columns (rolling frames over stage-1 columns)
-# ---------------------------------------------------------------------------
-
-def rolling_columns(df: DataFrame, w: WindowSpec, price: str = "close", with_ema: bool = True) -> list[Column]:
+def rolling_columns(df: DataFrame, W2: Windows, price: str = "close", with_ema: bool = True) -> list[Column]:
     """WN4, WN5, WN7 (+ WN11 names when the EMA columns are present)."""
     cols = []
     for k in ROLL_WINDOWS:
-        cols += [full(F.avg, price, w, k).alias(f"roll_mean_{k}"),
-                 full(F.stddev_samp, price, w, k).alias(f"roll_std_{k}"),
-                 full(F.min, price, w, k).alias(f"roll_min_{k}"),
-                 full(F.max, price, w, k).alias(f"roll_max_{k}")]
+        cols += [W2.full("avg", price, k).alias(f"roll_mean_{k}"), W2.full("std", price, k).alias(f"roll_std_{k}"),
+                 W2.full("min", price, k).alias(f"roll_min_{k}"), W2.full("max", price, k).alias(f"roll_max_{k}")]
     for k in ROLL_RETURN_WINDOWS:
-        cols += [full(F.avg, "_ret", w, k).alias(f"roll_return_mean_{k}"),
-                 full(F.stddev_samp, "_ret", w, k).alias(f"roll_return_std_{k}")]
+        cols += [W2.full("avg", "_ret", k).alias(f"roll_return_mean_{k}"),
+                 W2.full("std", "_ret", k).alias(f"roll_return_std_{k}")]
     for k in POSITION_WINDOWS:
-        lo, hi = full(F.min, price, w, k), full(F.max, price, w, k)
+        lo, hi = W2.full("min", price, k), W2.full("max", price, k)
         cols.append(pdiv(F.col(price) - lo, hi - lo).alias(f"price_position_{k}"))
     if with_ema:
         cols += [F.col(f"ema_{s}") for s in EMA_SPANS]
     return cols
 
 
-def volatility_columns(df: DataFrame, w: WindowSpec, price: str = "close") -> list[Column]:
-    """WN6, WN8, WN9, SC2 (hl_range, hl_range_pct)."""
-    cols = [full(F.stddev_samp, "_ret", w, k).alias(f"volatility_{k}") for k in VOLATILITY_WINDOWS]
+def volatility_columns(df: DataFrame, W2: Windows, price: str = "close") -> list[Column]:
+    """WN6, WN8, WN9, SC2 (hl_range, hl_range_pct). volatility_5/10/20 share
+    the frames of roll_return_std_5/10/20 (PD4)."""
+    cols = [W2.full("std", "_ret", k).alias(f"volatility_{k}") for k in VOLATILITY_WINDOWS]
     if _has(df, "high", "low"):
         cols += [F.col("_hl").alias("hl_range"), pdiv("_hl", price).alias("hl_range_pct")]
-        cols += [full(F.avg, "_hl", w, k).alias(f"hl_range_avg_{k}") for k in HL_AVG_WINDOWS]
+        cols += [W2.full("avg", "_hl", k).alias(f"hl_range_avg_{k}") for k in HL_AVG_WINDOWS]
         cols.append(F.col("_tr").alias("true_range"))
-        cols += [full(F.avg, "_tr", w, k).alias(f"atr_{k}") for k in ATR_WINDOWS]
+        cols += [W2.full("avg", "_tr", k).alias(f"atr_{k}") for k in ATR_WINDOWS]
     return cols
 
 
-def rsi_column(w: WindowSpec, k: int) -> Column:
+def rsi_column(W2: Windows, k: int) -> Column:
     """WN10: simple-mean RSI; loss 0 and gain > 0 -> 100; both 0 -> NULL."""
-    gain, loss = full(F.avg, "_gain", w, k), full(F.avg, "_loss", w, k)
+    gain, loss = W2.full("avg", "_gain", k), W2.full("avg", "_loss", k)
     return (F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + pdiv(gain, loss))).alias(f"rsi_{k}")
 
 
-def bollinger_columns(w: WindowSpec, price: str = "close", k: int = BB_WINDOW,
+def bollinger_columns(W2: Windows, price: str = "close", k: int = BB_WINDOW,
                       n_std: float = BB_STD) -> list[Column]:
     """WN13: middle = rolling mean, bands = middle +- n_std * rolling std (ddof 1)."""
-    m, s = full(F.avg, price, w, k), full(F.stddev_samp, price, w, k)
+    m, s = W2.full("avg", price, k), W2.full("std", price, k)
     up, lo = m + s * n_std, m - s * n_std
     return [up.alias("bb_upper"), m.alias("bb_middle"), lo.alias("bb_lower"),
             pdiv(up - lo, m).alias("bb_width"), pdiv(F.col(price) - lo, up - lo).alias("bb_position")]
 
 
-def technical_columns(w: WindowSpec, price: str = "close", with_macd: bool = True) -> list[Column]:
-    cols = [rsi_column(w, k) for k in RSI_WINDOWS]
+def technical_columns(W2: Windows, price: str = "close", with_macd: bool = True) -> list[Column]:
+    cols = [rsi_column(W2, k) for k in RSI_WINDOWS]
     if with_macd:
         cols += [F.col("macd"), F.col("macd_signal"), F.col("macd_histogram")]
-    return cols + bollinger_columns(w, price)
+    return cols + bollinger_columns(W2, price)
 
 
-def target_columns(w: WindowSpec, price: str = "close") -> list[Column]:
+def target_columns(W2: Windows, price: str = "close") -> list[Column]:
     """WN14: y_day = close one row ahead, y_week = five rows ahead."""
-    return [F.lead(price, k).over(w).alias(n) for n, k in TARGETS.items()]
+    return [W2.lead(price, k).alias(n) for n, k in TARGETS.items()]
+
+
+def two_stage(lay: SeriesLayout, bars: DataFrame, stage1, stage2, price: str = "close",
+              keep: list[str] | None = None) -> DataFrame:
+    """Run feature families over a layout: ``stage1(W1)`` -> columns needing only
+    lags; ``stage2(W2, frame)`` -> columns over frames of stage-1 outputs. Both
+    Window nodes share the layout's partitioning and ordering (one Exchange)."""
+    w = lay.window()
+    base = stage1_inputs(lay.df, price)
+    W1 = Windows(w)
+    s1_cols = stage1(W1)
+    helpers = helper_columns(bars, W1, price)
+    f1 = W1.select(base).select(*base.columns, *s1_cols, *helpers)
+    W2 = Windows(w)
+    s2_cols = stage2(W2, f1)
+    f2 = W2.select(f1)
+    keep = keep if keep is not None else list(lay.df.columns)
+    names1 = [c for c in f1.columns if c not in base.columns and not c.startswith("_")]
+    return f2.select(*keep, *names1, *s2_cols)
 
 
 # ---------------------------------------------------------------------------
@@ -185,26 +232,25 @@ def create_features(bars: DataFrame, series: str = "series", order="dt", price:
     reference's column order (price, lag, rolling, volatility, technical,
     seasonal, targets), then drop-incomplete (PF7).
 
-    Plan: one Exchange on the layout keys, then two Window nodes (stage 1 and
-    the frames over it) and the EMA/MACD ``applyInPandas`` on the same
+    Plan: one Exchange on the layout keys, two Window nodes (lags; frames over
+    them), projections, then the EMA/MACD ``applyInPandas`` on the same
     partitioning, so no second shuffle."""
     lay = layout or feature_layout(bars, series, order, True, mode, chunk_rows)
-    w = lay.window()
     first = order if isinstance(order, str) else order[0]
-    stage1 = lay.df.select("*", *price_columns(bars, w, price), *lag_columns(bars, w, price),
-                           *helper_columns(bars, w, price))
-    derived = [c for c in stage1.columns if c not in lay.df.columns and not c.startswith("_")]
-    keep = list(lay.df.columns)
-    extra = target_columns(w, price) if targets else []
-    stage2 = stage1.select(
-        *keep, *derived,
-        *rolling_columns(stage1, w, price, with_ema=False), *volatility_columns(stage1, w, price),
-        *technical_columns(w, price, with_macd=False), *calendar_columns(first), *extra)
+
+    def s1(W1):
+        return price_columns(bars, W1, price) + lag_columns(bars, W1, price)
+
+    def s2(W2, f1):
+        cols = (rolling_columns(f1, W2, price, with_ema=False) + volatility_columns(f1, W2, price)
+                + technical_columns(W2, price, with_macd=False) + calendar_columns(first))
+        return cols + (target_columns(W2, price) if targets else [])
+
+    stage2 = two_stage(lay, bars, s1, s2, price)
     with_ema = add_ema(lay, stage2, price=price, spans=EMA_SPANS, macd=MACD)
-    names = [c for c in stage2.columns]
-    ema_names = [f"ema_{s}" for s in EMA_SPANS]
+    names = list(stage2.columns)
     at = names.index("price_position_20") + 1
-    names = names[:at] + ema_names + names[at:]
+    names = names[:at] + [f"ema_{s}" for s in EMA_SPANS] + names[at:]
     at = names.index("rsi_7") + 1
     names = names[:at] + ["macd", "macd_signal", "macd_histogram"] + names[at:]
     out = lay.finish(with_ema.select(*names))
