@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 ENVELOPE_SCHEMA = ("struct<timestamp_utc:string,interval:string,lookback_days:int,"
                    "tickers:array<string>,data:string>")
+ENVELOPE_SCHEMA_CORRUPT = ENVELOPE_SCHEMA[:-1] + ",_corrupt:string>"
 ROW_SCHEMA = "struct<datetime:string,Open:double,High:double,Low:double,Close:double,Volume:double>"
 METADATA_KEYS = ("error", "traceback", "tickers")
 PROCESSED_COLUMNS = ("datetime", "ticker", "open", "high", "low", "close", "volume")
@@ -104,8 +105,11 @@ def _decode(docs: DataFrame) -> DataFrame:
     """Explode documents to ticker-row level, tagging each piece with a reason.
 
     Output: file_name, key_pos, ticker_raw, row_pos, row (struct), reason."""
-    env = docs.select("file_name", F.from_json("value", ENVELOPE_SCHEMA).alias("env"),
-                      F.try_parse_json("value").isNotNull().alias("_valid"))
+    # PERMISSIVE from_json keeps an unreadable file's text in the corrupt-record
+    # field; NaN numbers are accepted (the landing writer emits them).
+    env = docs.select("file_name", F.from_json("value", ENVELOPE_SCHEMA_CORRUPT,
+                                               {"columnNameOfCorruptRecord": "_corrupt"}).alias("env"))
+    env = env.select("file_name", "env", (F.col("env._corrupt").isNull() & F.col("env").isNotNull()).alias("_valid"))
     data = F.col("env.data")
     dmap = F.from_json(data, "map<string,string>")
     kind = (F.when(~F.col("_valid"), "read_error")
