@@ -46,9 +46,12 @@ def dedup_last(spark, sf):
     return landing.processed_daily(landing.dedup_last(rows))
 
 
-@query("select_process_date", with_ctes(
+QUERIES_SELECT_DATE_SQL = with_ctes(
     f"SELECT {_PROCESSED} FROM bars_daily WHERE CAST(dt AS DATE) = (SELECT max(CAST(dt AS DATE)) FROM bars_daily)",
-    "bars_daily"), ("PF5", "SC5", "SC6"))
+    "bars_daily")
+
+
+@query("select_process_date", QUERIES_SELECT_DATE_SQL, ("PF5", "SC5", "SC6"))
 def select_process_date(spark, sf):
     """Requested date absent and not forced -> the latest available date."""
     return landing.processed_daily(landing.select_process_date(_rows(spark, sf), "2099-01-01", forced=False))
@@ -182,3 +185,44 @@ def landing_stream(spark, sf):
         docs.select("value").write.mode("overwrite").text(f"{root}/{stamp}")
         run_landing_stream(spark, root, table, ckpt)
     return read_processed(spark, table)
+
+
+def _scratch(spark, tag):
+    import os
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    return os.path.join(ensure_checkpoint_dir(spark), f"{tag}-{uuid.uuid4().hex}")
+
+
+@query("bars_csv_roundtrip", with_ctes(
+    "SELECT series, CAST(dt AS TIMESTAMP) AS dt, open, high, low, close, volume FROM bars_daily", "bars_daily"),
+    ("SRC1", "SNK1", "PF1"))
+def bars_csv_roundtrip(spark, sf):
+    """Bars written as a provider-style CSV (Date index, two-level names, an
+    'Adj Close' to drop), read back with time-column precedence and name
+    normalisation."""
+    from ..sources.bars import read_bars_csv
+    from ..sources.sinks import write_table
+    path = _scratch(spark, "bars-csv")
+    b = fixtures.bars_daily(spark, sf)
+    wide = b.select("series", F.col("dt").cast("string").alias("Date"), F.col("open").alias("Open_GC=F"),
+                    F.col("high").alias("High_GC=F"), F.col("low").alias("Low_GC=F"),
+                    F.col("close").alias("Close_GC=F"), F.col("close").alias("Adj Close_GC=F"),
+                    F.col("volume").alias("Volume_GC=F"))
+    write_table(wide, path, fmt="csv")
+    return read_bars_csv(spark, path)
+
+
+@query("landing_job", QUERIES_SELECT_DATE_SQL,
+       ("SRC2", "SNK2", "SL2", "PF5", "AG8"))
+def landing_job(spark, sf):
+    """Lifecycle A on files: envelopes landed as JSON lines, the processing job
+    picks the latest date (requested date absent, not forced), keeps the last
+    copy of each row and writes the day's CSV partition; read back."""
+    from ..plans import landing_job as job
+    base = _scratch(spark, "landing-job")
+    _docs(spark, sf).select("value").write.text(f"{base}/raw/20240101T000000Z")
+    job.run(spark, f"{base}/raw", f"{base}/processed", "2099-01-01", forced=False, glob="*.txt",
+            one_doc_per_line=True)
+    return job.read_processed_daily(spark, f"{base}/processed")

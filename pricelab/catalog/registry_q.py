@@ -128,3 +128,30 @@ def log_runs(spark, sf):
     m = ev.forecast_metrics(fixtures.forecasts(spark, sf), ["series", "model", "horizon"])
     m = m.where(F.col("model") == "naive").drop("model", "horizon")
     return rg.log_runs(m, "naive_baseline", {"model": "naive", "horizon": "1"}, keys=("series",))
+
+
+@query("union_runs", with_ctes(f"""
+WITH c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY experiment ORDER BY rmse_day ASC NULLS LAST, run_id) AS rk
+  FROM runs WHERE experiment IN ('1-URGENT', '2-HIGH', '5-LOW')) x WHERE rk <= 50)
+SELECT model_type, run_id, experiment, value FROM (
+  SELECT model_type, run_id, experiment, rmse_day AS value,
+    row_number() OVER (PARTITION BY model_type ORDER BY rmse_day, start_time, run_id) AS rn
+  FROM c WHERE {_OK}) y WHERE rn = 1""", "runs"), ("ST3", "SRC5", "AG6"))
+def union_runs(spark, sf):
+    """Candidates searched per experiment (best 50 each), unioned, then the best
+    run per model type across them."""
+    from functools import reduce
+    r = _runs(spark, sf)
+    parts = [rg.scan_runs(r, [e], "rmse_next_day", 50).drop("rank") for e in ("1-URGENT", "2-HIGH", "5-LOW")]
+    return rg.best_run_per_type(reduce(lambda a, b: a.unionByName(b), parts))
+
+
+@query("arima_model_table", None, ("SNK6",))
+def arima_model_table(spark, sf):
+    """ARIMA coefficient table saved as parquet (the model artifact) and loaded back."""
+    from ..operators import arima as ar
+    from ..sources.sinks import load_arima, save_arima
+    from .landing_q import _scratch
+    path = _scratch(spark, "arima-model")
+    save_arima(ar.arima_fit(fixtures.bars_daily(spark, sf), order=(3, 1, 3)), path, (3, 1, 3))
+    return load_arima(spark, path)

@@ -12,10 +12,18 @@ from ..sources import landing
 
 
 def run(spark: SparkSession, landing_root: str, out_path: str, date: str, forced: bool = False,
-        scan_date: str | None = None) -> int:
-    docs = landing.scan_raw_landing(spark, landing_root, scan_date)
+        scan_date: str | None = None, glob: str = "*.json", one_doc_per_line: bool = False) -> int:
+    docs = landing.scan_raw_landing(spark, landing_root, scan_date, glob, one_doc_per_line)
     rows = landing.parse_raw_payload(docs)
     chosen = landing.select_process_date(rows, date, forced)
     best = landing.dedup_last(chosen)
     landing.write_processed_daily(best, out_path)
-    return spark.read.option("header", True).csv(out_path).count()
+    return read_processed_daily(spark, out_path).count()
+
+
+PROCESSED_SCHEMA = ("datetime string, ticker string, open double, high double, low double, close double, "
+                    "volume long, date string")
+
+
+def read_processed_daily(spark: SparkSession, path: str):
+    return spark.read.schema(PROCESSED_SCHEMA).option("header", True).csv(path).select(*landing.PROCESSED_COLUMNS)

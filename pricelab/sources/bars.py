@@ -18,36 +18,30 @@ def read_bars_csv(spark: SparkSession, path: str, series: str | None = None,
 
     Time column precedence: explicit ``time_col``; else ``datetime`` then ``Date``
     (``time_first='Date'`` flips the two, as several reference scripts do);
-    else the first column. The header is read once (a schema lookup on the
-    driver, no data pass); values are parsed with a declared schema.
+    else the first column. Provider names (``Close_GC=F``, ``Adj Close``) are
+    normalised by PF1. The header is read once (a schema lookup, no data
+    pass); values are parsed with a declared all-string schema and cast, NaN
+    becomes NULL. A ``series``/``ticker`` column is kept when present.
     """
     header = spark.read.option("header", True).csv(path).limit(0).columns
     if time_col is None:
         order = ["datetime", "Date"] if time_first == "datetime" else ["Date", "datetime"]
         time_col = next((c for c in order if c in header), header[0])
-    fields = []
-    for c in header:
-        lc = c.lower()
-        if c == time_col:
-            fields.append(T.StructField(c, T.StringType()))
-        elif lc == "volume":
-            fields.append(T.StructField(c, T.DoubleType()))
-        elif lc in BAR_COLUMNS:
-            fields.append(T.StructField(c, T.DoubleType()))
-        else:
-            fields.append(T.StructField(c, T.StringType()))
-    raw = spark.read.schema(T.StructType(fields)).option("header", True).csv(path)
-    cols = [F.coalesce(F.try_to_timestamp(F.col(time_col)),
-                       F.try_to_timestamp(F.col(time_col), F.lit("yyyy-MM-dd HH:mm:ssXXX"))).alias("dt")]
-    for c in header:
-        lc = c.lower()
-        if lc in BAR_COLUMNS and c != time_col:
-            v = F.col(c)
+    raw = spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in header])) \
+        .option("header", True).csv(path)
+    key = next((c for c in header if c.lower() in ("series", "ticker")), None)
+    ts = F.coalesce(F.try_to_timestamp(F.col(f"`{time_col}`")),
+                    F.try_to_timestamp(F.col(f"`{time_col}`"), F.lit("yyyy-MM-dd HH:mm:ssXXX")))
+    base = raw.select((F.col(f"`{key}`") if key else F.lit(series or "default")).alias("series"), ts.alias("dt"),
+                      *[F.col(f"`{c}`") for c in header if c not in (time_col, key)])
+    norm = normalize_columns(base)
+    cols = ["series", "dt"]
+    for b in BAR_COLUMNS:
+        if b in norm.columns:
+            v = F.col(b).cast("double")
             v = F.when(~F.isnan(v), v)  # NaN -> NULL at ingest
-            cols.append((v.cast("long") if lc == "volume" else v).alias(lc))
-    out = raw.select(*cols)
-    out = out.withColumn("series", F.lit(series) if series else F.lit("default"))
-    return out.select("series", *[c for c in out.columns if c != "series"])
+            cols.append((v.cast("long") if b == "volume" else v).alias(b))
+    return norm.select(*cols)
 
 
 def resample_ohlcv(df: DataFrame, ts: str, price: str, series: str, interval: str = "1 day",

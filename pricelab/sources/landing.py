@@ -90,10 +90,14 @@ def landing_path(root: str, date: str | None = None) -> str:
     return f"{root.rstrip('/')}/{y}/{m}/{d}"
 
 
-def scan_raw_landing(spark: SparkSession, root: str, date: str | None = None) -> DataFrame:
-    """One row per ``.json`` file under the landing folder (whole text)."""
-    return (spark.read.option("wholetext", True).option("pathGlobFilter", "*.json")
-            .option("recursiveFileLookup", True).text(landing_path(root, date))
+def scan_raw_landing(spark: SparkSession, root: str, date: str | None = None, glob: str = "*.json",
+                     one_doc_per_line: bool = False) -> DataFrame:
+    """One row per landed document: a whole ``.json`` file (default), or one
+    line of a JSON-lines file. ``file_name`` carries the path for last-wins."""
+    r = spark.read
+    if not one_doc_per_line:
+        r = r.option("wholetext", True)
+    return (r.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(landing_path(root, date))
             .select(F.col("_metadata.file_path").alias("file_name"), "value"))
 
 
