@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import ols
-from .layout import OWN, POS, series_layout
+from .layout import OWN, POS, resolve_mode, series_layout
 
 DEFAULT_ORDER = (3, 1, 3)
 MIN_HISTORY = 10
@@ -83,6 +83,7 @@ def _coef_table(sums: DataFrame, series: str, k: int, names: list[str]) -> DataF
 def arima_fit(bars: DataFrame, order=DEFAULT_ORDER, y: str = "close", series: str = "series", dt: str = "dt",
               m: int | None = None, mode: str = "auto") -> DataFrame:
     """FM1: per series phi[p], theta[q], sigma2, llf, aic, bic, n (HR estimates)."""
+    mode = resolve_mode(bars, series, mode)
     p, d, q = order
     m = m or long_ar_order(p, q)
     base = _stage_frame(bars, y, d, m, series, dt, mode)
@@ -133,6 +134,7 @@ def arima_residuals(bars: DataFrame, order=DEFAULT_ORDER, y: str = "close", seri
                     dt: str = "dt", m: int | None = None, mode: str = "auto") -> DataFrame:
     """FM4: in-sample residuals eps_t = z_t - phi . z lags - theta . e lags.
     Rows before d + m + max(p, q) have no residual and are dropped."""
+    mode = resolve_mode(bars, series, mode)
     p, d, q = order
     m = m or long_ar_order(p, q)
     base = _stage_frame(bars, y, d, m, series, dt, mode)
@@ -174,6 +176,7 @@ def arima_forecast(bars: DataFrame, order=DEFAULT_ORDER, horizons=(1, 2, 5), y:
     """FM2: fit on the whole history, forecast the given horizons from the last
     bar. The per-series state (last level, p diffs, q innovations) is the top-1
     row per series; the recursion runs batched over series."""
+    mode = resolve_mode(bars, series, mode)
     p, d, q = order
     if d != 1:
         raise ValueError("forecast recursion implemented for d = 1")
@@ -219,6 +222,7 @@ def rolling_backtest(bars: DataFrame, order=DEFAULT_ORDER, horizons=(1, 5), rati
     each step is the observed bar. Returns ``series, idx, n_split, horizon,
     predicted`` (NULL when the origin's system is singular or history < 10).
     Score with ``evaluate.align`` (JN4 default) + ``forecast_metrics``."""
+    mode = resolve_mode(bars, series, mode)
     p, d, q = order
     if d != 1:
         raise ValueError("rolling recursion implemented for d = 1")
@@ -329,6 +333,7 @@ def expanding_ar1(bars: DataFrame, y: str = "close", series: str = "series", dt:
                   mode: str = "auto") -> DataFrame:
     """WN18: expanding-window least squares of z_t on z_(t-1) (no constant) at
     every origin, from running moment sums: phi_t = sum z z_1 / sum z_1^2."""
+    mode = resolve_mode(bars, series, mode)
     lay = series_layout(bars, series, dt, lookback=2, mode=mode)
     w = lay.window()
     z = F.col(y) - F.lag(y, 1).over(w)

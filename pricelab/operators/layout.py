@@ -57,6 +57,29 @@ class SeriesLayout:
         return df.drop(CHUNK, OWN)
 
 
+def resolve_mode(df: DataFrame, series: str = "series", mode: str = "auto", min_chunk: int = 5000) -> str:
+    """Pick the layout from one scalar aggregate over the series sizes.
+
+    * largest series above ``pricelab.series.maxRowsPerTask`` -> ``halo``;
+    * fewer series than task slots and long enough to cut -> ``halo:<rows>``
+      with chunks sized to spread the rows over about twice the slots;
+    * otherwise ``plain``.
+    Operators resolve once and pass the result to every layout they build."""
+    if mode != "auto":
+        return mode
+    spark = df.sparkSession
+    limit = conf_int(spark, MAX_ROWS_PER_TASK_KEY, 5_000_000)
+    r = df.groupBy(series).count().agg(F.max("count").alias("m"), F.count(F.lit(1)).alias("k"),
+                                       F.sum("count").alias("t")).first()
+    biggest, n_series, total = (r["m"] or 0), (r["k"] or 0), (r["t"] or 0)
+    if biggest > limit:
+        return "halo"
+    slots = spark.sparkContext.defaultParallelism
+    if n_series < slots and biggest >= 2 * min_chunk:
+        return f"halo:{max(min_chunk, -(-total // (2 * slots)))}"
+    return "plain"
+
+
 def _order_number(c: str, dtype: str) -> Column:
     """A numeric, order-preserving image of the first order column."""
     if dtype == "date":
@@ -76,14 +99,13 @@ def series_layout(df: DataFrame, series: str = "series", order="dt", lookback: i
     """
     spark = df.sparkSession
     order = [order] if isinstance(order, str) else list(order)
-    if mode == "auto":
-        limit = conf_int(spark, MAX_ROWS_PER_TASK_KEY, 5_000_000)
-        biggest = df.groupBy(series).count().agg(F.max("count")).first()[0] or 0
-        mode = "plain" if biggest <= limit else "halo"
+    mode = resolve_mode(df, series, mode)
     if mode == "plain":
         return SeriesLayout(df, series, order, [series], False)
+    hint = int(mode.split(":")[1]) if ":" in mode else None
 
-    c_rows = chunk_rows or conf_int(spark, CHUNK_ROWS_KEY, 1_000_000)
+    c_rows = chunk_rows or (max(hint, 4 * (lookback + lookahead)) if hint else None) \
+        or conf_int(spark, CHUNK_ROWS_KEY, 1_000_000)
     if lookback > c_rows or lookahead > c_rows:
         raise ValueError("chunk_rows must cover lookback and lookahead")
     dtype = dict(df.dtypes)[order[0]]
@@ -134,15 +156,12 @@ def with_positions(df: DataFrame, series: str = "series", order="dt", mode: str
     prefix-summed (see ``series_layout``), sizes from a grouped count, so no task
     sorts a whole hot series."""
     order = [order] if isinstance(order, str) else list(order)
-    if mode == "auto":
-        limit = conf_int(df.sparkSession, MAX_ROWS_PER_TASK_KEY, 5_000_000)
-        biggest = df.groupBy(series).count().agg(F.max("count")).first()[0] or 0
-        mode = "plain" if biggest <= limit else "halo"
+    mode = resolve_mode(df, series, mode)
     if mode == "plain":
         w = Window.partitionBy(series).orderBy(*order)
         return df.select("*", (F.row_number().over(w) - 1).alias(POS),
                          F.count(F.lit(1)).over(Window.partitionBy(series)).alias("_n"))
-    lay = series_layout(df, series, order, 0, 0, mode="halo", chunk_rows=chunk_rows)
+    lay = series_layout(df, series, order, 0, 0, mode=mode, chunk_rows=chunk_rows)
     idx = lay.finish_keep_pos(lay.df)
     sizes = df.groupBy(series).agg(F.count(F.lit(1)).alias("_n"))
     return idx.join(sizes, series)

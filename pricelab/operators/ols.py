@@ -82,9 +82,12 @@ def expanding_sums(lay: SeriesLayout, df: DataFrame, exprs: dict[str, Column], u
     local = df.select("*", *[F.sum(F.when(own, e)).over(w).alias(n) for n, e in exprs.items()])
     tot = df.where(own).groupBy(lay.series, CHUNK).agg(*[F.sum(e).alias(f"_t_{n}") for n, e in exprs.items()])
     cw = Window.partitionBy(lay.series).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = tot.select(lay.series, CHUNK, *[F.coalesce(F.sum(f"_t_{n}").over(cw), F.lit(0.0)).alias(f"_c_{n}")
-                                           for n in exprs])
+    carry = tot.select(lay.series, CHUNK, *[F.sum(f"_t_{n}").over(cw).alias(f"_c_{n}") for n in exprs])
     j = local.join(carry, [lay.series, CHUNK], "left")
+
+    def add(a, b):  # SQL sum semantics: NULL only when no input was non-null
+        return F.when(a.isNull() & b.isNull(), F.lit(None).cast("double")).otherwise(
+            F.coalesce(a, F.lit(0.0)) + F.coalesce(b, F.lit(0.0)))
+
     return j.select(*[c for c in local.columns if c not in exprs],
-                    *[(F.coalesce(F.col(n), F.lit(0.0)) + F.coalesce(F.col(f"_c_{n}"), F.lit(0.0))).alias(n)
-                      for n in exprs])
+                    *[add(F.col(n), F.col(f"_c_{n}")).alias(n) for n in exprs])

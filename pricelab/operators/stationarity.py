@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from ..functions.stats_math import SparkOps, adf_pvalue
 from . import ols
-from .layout import OWN, series_layout
+from .layout import OWN, resolve_mode, series_layout
 
 
 def max_lag(n: int) -> int:
@@ -60,6 +60,7 @@ def adf_test(df: DataFrame, value: str, series: str = "series", dt: str = "dt",
              lag: int | None = None, mode: str = "auto", alpha: float = 0.05) -> DataFrame:
     """Per series: adf_stat, p_value, used_lag, nobs, stationary (p < alpha)."""
     n_max = df.groupBy(series).agg(F.count(value).alias("n")).agg(F.max("n")).first()[0] or 0
+    mode = resolve_mode(df, series, mode)
     L = max_lag(n_max) if autolag else int(lag or 0)
     frame = _frame(df, value, series, dt, L, mode)
     n_col = F.col("_n")

@@ -17,7 +17,7 @@ from pyspark.sql.types import DoubleType
 from ..functions.expr import pdiv
 from ..functions.stats_math import (SparkOps, chi2_sf, chi2_sf_var, kurtosistest_z, skewtest_z,
                                     z_two_sided)
-from .layout import OWN, POS, series_layout, with_positions
+from .layout import OWN, POS, resolve_mode, series_layout, with_positions
 
 ALPHA = 0.05
 Z95 = z_two_sided(ALPHA)
