@@ -68,7 +68,7 @@ def resolve_mode(df: DataFrame, series: str = "series", mode: str = "auto", min_
     if mode != "auto":
         return mode
     spark = df.sparkSession
-    limit = conf_int(spark, MAX_ROWS_PER_TASK_KEY, 5_000_000)
+    limit = conf_int(spark, MAX_ROWS_PER_TASK_KEY, 1_000_000)
     r = df.groupBy(series).count().agg(F.max("count").alias("m"), F.count(F.lit(1)).alias("k"),
                                        F.sum("count").alias("t")).first()
     biggest, n_series, total = (r["m"] or 0), (r["k"] or 0), (r["t"] or 0)
@@ -105,7 +105,7 @@ def series_layout(df: DataFrame, series: str = "series", order="dt", lookback: i
     hint = int(mode.split(":")[1]) if ":" in mode else None
 
     c_rows = chunk_rows or (max(hint, 4 * (lookback + lookahead)) if hint else None) \
-        or conf_int(spark, CHUNK_ROWS_KEY, 1_000_000)
+        or conf_int(spark, CHUNK_ROWS_KEY, 250_000)
     if lookback > c_rows or lookahead > c_rows:
         raise ValueError("chunk_rows must cover lookback and lookahead")
     dtype = dict(df.dtypes)[order[0]]
