@@ -11,8 +11,15 @@ from pyspark.sql import SparkSession
 from ..sources import landing
 
 
-def run(spark: SparkSession, landing_root: str, out_path: str, date: str, forced: bool = False,
+def run(spark: SparkSession, landing_root: str, out_path: str, date: str | None, forced: bool | None = None,
         scan_date: str | None = None, glob: str = "*.json", one_doc_per_line: bool = False) -> int:
+    """``date`` None = today (UTC), not forced; an explicit date is validated and
+    forced unless ``forced`` says otherwise. ``scan_date='process'`` reads only
+    that day's ``raw/YYYY/MM/DD`` folder, as the scheduled job does."""
+    date, explicit = landing.parse_process_date(date)
+    forced = explicit if forced is None else forced
+    if scan_date == "process":
+        scan_date = date
     docs = landing.scan_raw_landing(spark, landing_root, scan_date, glob, one_doc_per_line)
     rows = landing.parse_raw_payload(docs)
     chosen = landing.select_process_date(rows, date, forced)

@@ -170,6 +170,20 @@ def raw_reject_report(docs: DataFrame) -> DataFrame:
 # PF5, AG8, AG9, AG10
 # ---------------------------------------------------------------------------
 
+def parse_process_date(date: str | None, today: str | None = None) -> tuple[str, bool]:
+    """SC6 / PF5 input: an explicit date must be ``YYYY-MM-DD`` and is forced;
+    none means today (UTC), not forced. A malformed date raises ValueError
+    (the job answers with an error instead of guessing)."""
+    import datetime as _dt
+    if date is None:
+        return (today or _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d")), False
+    try:
+        _dt.datetime.strptime(date, "%Y-%m-%d")
+    except ValueError as exc:
+        raise ValueError(f"Invalid process_date format, expected YYYY-MM-DD, got: {date}") from exc
+    return date, True
+
+
 def resolve_process_date(rows: DataFrame, date: str, forced: bool) -> str | None:
     """PF5: the date to process. A one-row aggregate returns a scalar to the
     driver, so the final filter is a literal that prunes partitions/pushes down."""

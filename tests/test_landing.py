@@ -71,3 +71,11 @@ def test_stream_equals_batch(spark, scratch):
     run_landing_stream(spark, root, table, f"{scratch}/ckpt")
     got = read_processed(spark, table).collect()
     assert len(got) == 1 and got[0]["close"] == 9.0
+
+
+def test_parse_process_date():
+    import pytest
+    assert landing.parse_process_date("2024-01-02") == ("2024-01-02", True)
+    assert landing.parse_process_date(None, today="2024-03-04") == ("2024-03-04", False)
+    with pytest.raises(ValueError):
+        landing.parse_process_date("2024/01/02")
