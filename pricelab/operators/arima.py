@@ -153,22 +153,29 @@ def arima_residuals(bars: DataFrame, order=DEFAULT_ORDER, y: str = "close", seri
 # Forecasting (FM2, FM11, UD1)
 # ---------------------------------------------------------------------------
 
-def _recurse(y_last, z_hist, e_hist, phi, theta, horizons):
-    """Forecast levels for each horizon from the last p diffs / q innovations
-    (d = 1: level = last level + cumulative forecast diffs)."""
+def recurse_batch(y_last: np.ndarray, Z: np.ndarray, E: np.ndarray, PHI: np.ndarray, THETA: np.ndarray,
+                  horizons) -> np.ndarray:
+    """Vectorised forecast recursion for B rows at once (loop only over steps).
+
+    Z (B, p): last diffs, most recent first; E (B, q): last innovations;
+    PHI (B, p), THETA (B, q). Returns (B, len(horizons)) levels (d = 1)."""
+    B, p = Z.shape
+    q = E.shape[1]
     hmax = max(horizons)
-    p, q = len(phi), len(theta)
-    zs = list(z_hist)  # most recent first
-    es = list(e_hist)
+    zs = np.concatenate([np.zeros((B, hmax)), Z], axis=1)  # column hmax-1 .. : newest first after fill
+    es = np.concatenate([np.zeros((B, hmax)), E], axis=1)
+    level = y_last.astype(float).copy()
     out = {}
-    level = y_last
     for h in range(1, hmax + 1):
-        zf = sum(phi[i] * zs[i] for i in range(p)) + sum(theta[j] * es[j] for j in range(q))
-        zs.insert(0, zf)
-        es.insert(0, 0.0)
+        start = hmax - h + 1  # most recent known value sits at column `start`
+        zf = np.einsum("bi,bi->b", PHI, zs[:, start:start + p]) if p else np.zeros(B)
+        if q:
+            zf = zf + np.einsum("bj,bj->b", THETA, es[:, start:start + q])
+        zs[:, start - 1] = zf
+        es[:, start - 1] = 0.0
         level = level + zf
-        out[h] = level
-    return [out[h] for h in horizons]
+        out[h] = level.copy()
+    return np.stack([out[h] for h in horizons], axis=1)
 
 
 def arima_forecast(bars: DataFrame, order=DEFAULT_ORDER, horizons=(1, 2, 5), y: str = "close",
@@ -199,13 +206,22 @@ def arima_forecast(bars: DataFrame, order=DEFAULT_ORDER, horizons=(1, 2, 5), y:
 
     def run(it):
         for pdf in it:
-            rows = []
-            for r in pdf.itertuples(index=False):
-                ph, th = list(getattr(r, "phi")), list(getattr(r, "theta"))
-                f = _recurse(r.y_last, list(r.zh)[:p], list(r.eh)[:q], ph, th, hs) \
-                    if None not in (ph, th) and np.all(np.isfinite(ph)) and np.all(np.isfinite(th)) else [None] * len(hs)
-                rows += [(getattr(r, series), r.as_of, h, fv) for h, fv in zip(hs, f)]
-            yield pd.DataFrame(rows, columns=[series, "as_of", "horizon", "forecast"])
+            if pdf.empty:
+                continue
+            PHI = np.stack([np.asarray(a, dtype=float) for a in pdf["phi"]]) if p else np.zeros((len(pdf), 0))
+            TH = np.stack([np.asarray(a, dtype=float) for a in pdf["theta"]]) if q else np.zeros((len(pdf), 0))
+            Z = np.stack([np.asarray(a, dtype=float)[:p] for a in pdf["zh"]]) if p else np.zeros((len(pdf), 0))
+            E = np.stack([np.asarray(a, dtype=float)[:q] for a in pdf["eh"]]) if q else np.zeros((len(pdf), 0))
+            ok = np.isfinite(PHI).all(1) & np.isfinite(TH).all(1) & np.isfinite(Z).all(1) & np.isfinite(E).all(1)
+            F_ = recurse_batch(pdf["y_last"].to_numpy(dtype=float), np.nan_to_num(Z), np.nan_to_num(E),
+                               np.nan_to_num(PHI), np.nan_to_num(TH), hs)
+            F_[~ok] = np.nan
+            out = pd.DataFrame({series: np.repeat(pdf[series].to_numpy(), len(hs)),
+                                "as_of": np.repeat(pdf["as_of"].to_numpy(), len(hs)),
+                                "horizon": np.tile(np.asarray(hs, dtype=np.int32), len(pdf)),
+                                "forecast": F_.reshape(-1)})
+            out["forecast"] = out["forecast"].where(np.isfinite(out["forecast"]), None)
+            yield out
 
     return st.mapInPandas(run, schema)
 
@@ -301,25 +317,29 @@ def rolling_backtest(bars: DataFrame, order=DEFAULT_ORDER, horizons=(1, 5), rati
             S = np.stack([np.asarray(a, dtype=float) for a in pdf["_Sb"]])
             xtx, xty, _ = ols.unpack(S, k)
             b = ols.solve(xtx, xty)
-            enough = (pdf["_nh"].to_numpy() >= min_history) & (pdf["_nb"].fillna(0).to_numpy() > k)
-            rows = []
-            zc = ["z"] + [f"z{i}" for i in range(1, p)]
+            is_train = (pdf["split"] == "train").to_numpy()
+            i = np.where(is_train, 0, pdf["idx"].to_numpy(dtype=float) + 1).astype(np.int64)
+            nsplit = np.where(is_train, -1, pdf["n_split"].to_numpy(dtype=float)).astype(np.int64)
+            keep = is_train | (i < nsplit)
+            zc = ["z"] + [f"z{j}" for j in range(1, p)]
             ec = ["e"] + [f"e{j}" for j in range(1, q)]
             Z = pdf[zc].to_numpy(dtype=float) if p else np.zeros((len(pdf), 0))
             E = pdf[ec].to_numpy(dtype=float) if q else np.zeros((len(pdf), 0))
-            for r in range(len(pdf)):
-                is_train = pdf["split"].iat[r] == "train"
-                # test step i whose history ends at this row
-                i = 0 if is_train else int(pdf["idx"].iat[r]) + 1
-                nsplit = int(pdf["n_split"].iat[r]) if not is_train else None
-                if not is_train and i >= nsplit:
-                    continue
-                coef = b[r]
-                ok = enough[r] and np.all(np.isfinite(coef)) and np.all(np.isfinite(Z[r])) and np.all(np.isfinite(E[r]))
-                f = _recurse(pdf["_y"].iat[r], Z[r][:p], E[r][:q], coef[:p], coef[p:], hs) if ok else [None] * len(hs)
-                for h, fv in zip(hs, f):
-                    rows.append((pdf[series].iat[r], pdf[dt].iat[r], i, nsplit if nsplit is not None else -1, h, fv))
-            yield pd.DataFrame(rows, columns=[series, "origin_dt", "idx", "n_split", "horizon", "predicted"])
+            enough = (pdf["_nh"].to_numpy() >= min_history) & (pdf["_nb"].fillna(0).to_numpy() > k)
+            ok = enough & np.isfinite(b).all(axis=1) & np.isfinite(Z).all(axis=1) & np.isfinite(E).all(axis=1)
+            F_ = recurse_batch(pdf["_y"].to_numpy(dtype=float), np.nan_to_num(Z), np.nan_to_num(E),
+                               np.nan_to_num(b[:, :p]), np.nan_to_num(b[:, p:]), hs)
+            F_[~ok] = np.nan
+            n = int(keep.sum())
+            out = pd.DataFrame({
+                series: np.repeat(pdf[series].to_numpy()[keep], len(hs)),
+                "origin_dt": np.repeat(pdf[dt].to_numpy()[keep], len(hs)),
+                "idx": np.repeat(i[keep], len(hs)),
+                "n_split": np.repeat(nsplit[keep], len(hs)),
+                "horizon": np.tile(np.asarray(hs, dtype=np.int32), n),
+                "predicted": F_[keep].reshape(-1)})
+            out["predicted"] = out["predicted"].where(np.isfinite(out["predicted"]), None)
+            yield out
 
     fc = origins.mapInPandas(forecast, out_schema)
     # n_split of the test split for origins that are the last train row
