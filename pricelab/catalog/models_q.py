@@ -109,7 +109,7 @@ x AS (SELECT b.series, close - lag(close) OVER (PARTITION BY b.series ORDER BY d
   lag(close - mu) OVER (PARTITION BY b.series ORDER BY dt) AS ylag FROM bars_daily b JOIN m ON b.series = m.series),
 r AS (SELECT series, regr_count(dy, ylag) AS n, regr_slope(dy, ylag) AS b, regr_sxx(dy, ylag) AS sxx,
   regr_syy(dy, ylag) AS syy, regr_sxy(dy, ylag) AS sxy FROM x GROUP BY series)
-SELECT series, round({tau}, 6) AS adf_stat, round({p}, 6) AS p_value, 0 AS used_lag, n AS nobs,
+SELECT series, round({tau}, 6) AS adf_stat, round({p}, 6) AS p_value, 0 AS used_lag, CAST(n AS BIGINT) AS nobs,
   {p} < 0.05 AS stationary FROM r""", "bars_daily")
 
 

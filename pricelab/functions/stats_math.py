@@ -225,6 +225,3 @@ def adf_pvalue(tau, ops=SparkOps):
     p = ops.when(tau <= L(ADF_C_TAU_STAR), norm_cdf(small, ops), norm_cdf(large, ops))
     return ops.when(tau > L(ADF_C_TAU_MAX), L(1.0), ops.when(tau < L(ADF_C_TAU_MIN), L(0.0), p))
 
-
-def col_or_sql(x) -> Column | S:
-    return x

@@ -57,10 +57,6 @@ def _stage_frame(bars: DataFrame, y: str, d: int, m: int, series: str, dt: str,
                                 *([POS] if POS in df.columns else [])))
 
 
-def _sums_schema(extra: list[T.StructField]) -> T.StructType:
-    return T.StructType(extra)
-
-
 def _coef_table(sums: DataFrame, series: str, k: int, names: list[str]) -> DataFrame:
     """Per-series solve of packed sums -> coefficient array, SSR and n."""
     schema = T.StructType([T.StructField(series, T.StringType()), T.StructField("n", T.LongType()),

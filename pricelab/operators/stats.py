@@ -20,7 +20,6 @@ from ..functions.stats_math import (SparkOps, chi2_sf, chi2_sf_var, kurtosistest
 from .layout import OWN, POS, resolve_mode, series_layout, with_positions
 
 ALPHA = 0.05
-Z95 = z_two_sided(ALPHA)
 TRADING_DAYS = 252
 
 
