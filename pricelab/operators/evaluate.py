@@ -124,11 +124,18 @@ def align_prefix(preds: DataFrame, actuals: DataFrame, keys=("series",), pred_or
     """JN5: positional pairing of the k-th prediction with the k-th actual row
     (the reference's tree scoring; off by the dropped warm-up rows). Kept for
     parity only."""
-    wp = Window.partitionBy(*keys).orderBy(pred_order)
-    wa = Window.partitionBy(*keys).orderBy(actual_order)
-    p = preds.withColumn("_k", F.row_number().over(wp))
-    a = actuals.select(*keys, F.row_number().over(wa).alias("_k"), "actual")
-    return p.join(a, [*keys, "_k"]).drop("_k")
+    k = list(keys)
+    series = k[0] if len(k) == 1 else None
+    if series is None:
+        wp = Window.partitionBy(*k).orderBy(pred_order)
+        wa = Window.partitionBy(*k).orderBy(actual_order)
+        p = preds.withColumn("_k", F.row_number().over(wp))
+        a = actuals.select(*k, F.row_number().over(wa).alias("_k"), "actual")
+    else:  # skew-safe positions per series
+        p = with_positions(preds, series, pred_order).withColumnRenamed(POS, "_k").drop("_n")
+        a = with_positions(actuals.select(series, actual_order, "actual"), series, actual_order) \
+            .select(series, F.col(POS).alias("_k"), "actual")
+    return p.join(a, [*k, "_k"]).drop("_k")
 
 
 # ---------------------------------------------------------------------------

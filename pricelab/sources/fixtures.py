@@ -7,7 +7,7 @@ subsets, so the work grows with the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bars import resample_ohlcv
@@ -71,22 +71,30 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registered versions: every run with a model, numbered per model by start time."""
-    r = runs_flat(spark, sf_dir).where(F.col("model_path").isNotNull())
-    w = Window.partitionBy("experiment").orderBy("start_time", "run_id")
-    v = F.row_number().over(w).cast("int")
-    return r.select(F.col("experiment").alias("model_name"), v.alias("version"), "run_id") \
+    from ..operators.layout import POS, with_positions
+    r = runs_flat(spark, sf_dir).where(F.col("model_path").isNotNull()).select("experiment", "start_time", "run_id")
+    # Version = position in start order per model; positions are skew-safe
+    # (an experiment may hold a large share of all runs).
+    p = with_positions(r, "experiment", ["start_time", "run_id"])
+    v = (F.col(POS) + 1).cast("int")
+    return p.select(F.col("experiment").alias("model_name"), v.alias("version"), "run_id") \
         .withColumn("aliases", F.when(F.col("version") % 7 == 0, F.array(F.lit("Production")))
                     .otherwise(F.array().cast("array<string>")))
 
 
 def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two SQL-able predictors per daily series (naive, 5-day mean), horizon 1."""
+    from ..operators.layout import OWN, series_layout
     b = bars_daily(spark, sf_dir)
-    w = Window.partitionBy("series").orderBy("dt")
-    naive = b.select("series", "dt", F.lit("naive").alias("model"), F.lit(1).alias("horizon"),
-                     F.col("close").alias("actual"), F.lag("close").over(w).alias("predicted"))
-    ma5 = b.select("series", "dt", F.lit("ma5").alias("model"), F.lit(1).alias("horizon"),
-                   F.col("close").alias("actual"), F.avg("close").over(w.rowsBetween(-5, -1)).alias("predicted"))
+    lay = series_layout(b, lookback=5)
+    w = lay.window()
+    keep = [OWN] if lay.halo else []
+    p = lay.finish(lay.df.select("series", "dt", "close", *keep, F.lag("close").over(w).alias("_naive"),
+                                 F.avg("close").over(w.rowsBetween(-5, -1)).alias("_ma5")))
+    naive = p.select("series", "dt", F.lit("naive").alias("model"), F.lit(1).alias("horizon"),
+                     F.col("close").alias("actual"), F.col("_naive").alias("predicted"))
+    ma5 = p.select("series", "dt", F.lit("ma5").alias("model"), F.lit(1).alias("horizon"),
+                   F.col("close").alias("actual"), F.col("_ma5").alias("predicted"))
     return naive.unionByName(ma5)
 
 
