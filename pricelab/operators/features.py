@@ -67,22 +67,30 @@ class Windows:
     def __init__(self, w: WindowSpec):
         self.w = w
         self.cols: dict[str, Column] = {}
+        self._frames: dict[int, WindowSpec] = {}
 
-    def _add(self, name: str, expr: Column) -> Column:
-        self.cols.setdefault(name, expr)
+    def _add(self, name: str, make) -> Column:
+        """Register ``make()`` under ``name`` once (built lazily: py4j calls only
+        for new aggregates)."""
+        if name not in self.cols:
+            self.cols[name] = make()
         return F.col(name)
 
+    def _frame(self, k: int) -> WindowSpec:
+        if k not in self._frames:
+            self._frames[k] = self.w.rowsBetween(1 - k, 0)
+        return self._frames[k]
+
     def lag(self, c: str, k: int) -> Column:
-        return self._add(f"_lag{k}_{c}", F.lag(c, k).over(self.w))
+        return self._add(f"_lag{k}_{c}", lambda: F.lag(c, k).over(self.w))
 
     def lead(self, c: str, k: int) -> Column:
-        return self._add(f"_lead{k}_{c}", F.lead(c, k).over(self.w))
+        return self._add(f"_lead{k}_{c}", lambda: F.lead(c, k).over(self.w))
 
     def full(self, fn: str, c: str, k: int) -> Column:
         """pandas rolling(k).<fn>() with min_periods=k."""
-        frame = self.w.rowsBetween(1 - k, 0)
-        n = self._add(f"_n{k}_{c}", F.count(F.col(c)).over(frame))
-        a = self._add(f"_{fn}{k}_{c}", _AGG_FNS[fn](F.col(c)).over(frame))
+        n = self._add(f"_n{k}_{c}", lambda: F.count(F.col(c)).over(self._frame(k)))
+        a = self._add(f"_{fn}{k}_{c}", lambda: _AGG_FNS[fn](F.col(c)).over(self._frame(k)))
         return F.when(n == k, a)
 
     def select(self, df: DataFrame) -> DataFrame:
