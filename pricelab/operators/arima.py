@@ -53,8 +53,8 @@ def _stage_frame(bars: DataFrame, y: str, d: int, m: int, series: str, dt: str,
     df = lay.df.select("*", z.alias("z"))
     df = df.select("*", *[F.lag("z", i).over(w).alias(f"z{i}") for i in range(1, m + 1)])
     keep = [OWN] if lay.halo else []
-    return lay.finish(df.select(series, dt, y, "z", *[f"z{i}" for i in range(1, m + 1)], *keep,
-                                *([POS] if POS in df.columns else [])))
+    pos = [POS] if POS in df.columns else []
+    return lay.finish_keep_pos(df.select(series, dt, y, "z", *[f"z{i}" for i in range(1, m + 1)], *keep, *pos))
 
 
 def _coef_table(sums: DataFrame, series: str, k: int, names: list[str]) -> DataFrame:
@@ -97,8 +97,9 @@ def _innovations(base: DataFrame, order, m: int, series: str, dt: str, mode: str
     sums = full.groupBy(series).agg(F.count(F.lit(1)).alias("n"), F.array(*[F.sum(c) for c in prods]).alias("s"))
     coef = _coef_table(sums, series, m, [f"z{i}" for i in range(1, m + 1)]).select(series, F.col("coef").alias("_phi_a"))
     pred = sum((F.col("_phi_a")[i - 1] * F.col(f"z{i}") for i in range(1, m + 1)), F.lit(0.0))
+    pos = [POS] if POS in base.columns else []
     e = base.join(coef, series).select(series, dt, "z", *[f"z{i}" for i in range(1, max(p, 1) + 1)],
-                                       (F.col("z") - pred).alias("e"))
+                                       (F.col("z") - pred).alias("e"), *pos)
     lay = series_layout(e, series, dt, lookback=q, mode=mode)
     w = lay.window()
     out = lay.df.select("*", *[F.lag("e", j).over(w).alias(f"e{j}") for j in range(1, q + 1)])
@@ -249,8 +250,8 @@ def rolling_backtest(bars: DataFrame, order=DEFAULT_ORDER, horizons=(1, 5), rati
     prods = ols.cross_products(lags, F.col("z"))
     exprs = {f"_sa{i}": F.when(ok_a, c) for i, c in enumerate(prods)}
     sa = ols.expanding_sums(lay_a, lay_a.df.select("*", *([] if not lay_a.halo else [])), exprs, upto=-1)
-    sa = lay_a.finish(sa.select("*", F.array(*[F.coalesce(F.col(n), F.lit(0.0)) for n in exprs]).alias("_Sa"))
-                      .drop(*exprs.keys()))
+    sa = lay_a.finish_keep_pos(sa.select("*", F.array(*[F.coalesce(F.col(n), F.lit(0.0)) for n in exprs])
+                                         .alias("_Sa")).drop(*exprs.keys()))
     e_schema = T.StructType(sa.schema.fields + [T.StructField("e", T.DoubleType())])
     sa = sa.select(*[c for c in sa.columns])
 
@@ -355,7 +356,7 @@ def expanding_ar1(bars: DataFrame, y: str = "close", series: str = "series", dt:
     z = F.col(y) - F.lag(y, 1).over(w)
     df = lay.df.select("*", z.alias("z"))
     df = df.select("*", F.lag("z", 1).over(w).alias("z1"))
-    df = lay.finish(df.select(series, dt, "z", "z1", *([OWN] if lay.halo else [])))
+    df = lay.finish_keep_pos(df.select(series, dt, "z", "z1", *([OWN, POS] if lay.halo else [])))
     lay2 = series_layout(df, series, dt, lookback=0, mode=mode)
     s = ols.expanding_sums(lay2, lay2.df, {"sxy": F.col("z") * F.col("z1"), "sxx": F.col("z1") * F.col("z1")})
     s = lay2.finish(s)

@@ -108,6 +108,32 @@ def series_layout(df: DataFrame, series: str = "series", order="dt", lookback: i
         or conf_int(spark, CHUNK_ROWS_KEY, 250_000)
     if lookback > c_rows or lookahead > c_rows:
         raise ValueError("chunk_rows must cover lookback and lookahead")
+    base_cols = [c for c in df.columns if c != POS]
+    if POS in df.columns:
+        # Positions carried over from an earlier layout of the same rows: reuse.
+        indexed = df
+    else:
+        indexed = _index_positions(df, series, order, c_rows)
+
+    # 4. chunk and halo copies (narrow: no shuffle until the windows run).
+    chunk = F.floor(F.col(POS) / c_rows).cast("long")
+    r = F.col(POS) % c_rows
+    targets = F.array(F.struct(chunk.alias("c"), F.lit(True).alias("o")))
+    if lookback:
+        targets = F.when(r >= c_rows - lookback,
+                         F.array_union(targets, F.array(F.struct((chunk + 1).alias("c"), F.lit(False).alias("o"))))
+                         ).otherwise(targets)
+    if lookahead:
+        targets = F.when((r < lookahead) & (chunk > 0),
+                         F.array_union(targets, F.array(F.struct((chunk - 1).alias("c"), F.lit(False).alias("o"))))
+                         ).otherwise(targets)
+    out = (indexed.select("*", F.explode(targets).alias("_t"))
+           .select(*base_cols, POS, F.col("_t.c").alias(CHUNK), F.col("_t.o").alias(OWN)))
+    return SeriesLayout(out, series, order, [series, CHUNK], True)
+
+
+def _index_positions(df: DataFrame, series: str, order: list[str], c_rows: int) -> DataFrame:
+    """Add ``_pos`` without a whole-series sort (steps 1-3)."""
     dtype = dict(df.dtypes)[order[0]]
     t = _order_number(order[0], dtype)
 
@@ -128,23 +154,7 @@ def series_layout(df: DataFrame, series: str = "series", order="dt", lookback: i
     # 3. global position = bucket offset + rank inside the bucket.
     inner = Window.partitionBy(series, "_tb").orderBy(*order)
     pos = (F.col("_off") + F.row_number().over(inner) - 1).alias(POS)
-    indexed = with_tb.join(offsets, [series, "_tb"]).select(*df.columns, pos)
-
-    # 4. chunk and halo copies (narrow: no shuffle until the windows run).
-    chunk = F.floor(F.col(POS) / c_rows).cast("long")
-    r = F.col(POS) % c_rows
-    targets = F.array(F.struct(chunk.alias("c"), F.lit(True).alias("o")))
-    if lookback:
-        targets = F.when(r >= c_rows - lookback,
-                         F.array_union(targets, F.array(F.struct((chunk + 1).alias("c"), F.lit(False).alias("o"))))
-                         ).otherwise(targets)
-    if lookahead:
-        targets = F.when((r < lookahead) & (chunk > 0),
-                         F.array_union(targets, F.array(F.struct((chunk - 1).alias("c"), F.lit(False).alias("o"))))
-                         ).otherwise(targets)
-    out = (indexed.select("*", F.explode(targets).alias("_t"))
-           .select(*df.columns, POS, F.col("_t.c").alias(CHUNK), F.col("_t.o").alias(OWN)))
-    return SeriesLayout(out, series, order, [series, CHUNK], True)
+    return with_tb.join(offsets, [series, "_tb"]).select(*df.columns, pos)
 
 
 def with_positions(df: DataFrame, series: str = "series", order="dt", mode: str = "auto",
