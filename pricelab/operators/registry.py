@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.expr import inf, pdiv
 from .groups import top_k
 
+# Fixed values that must equal the reference's registry conventions.
 PRODUCTION = "Production"
 MODEL_FILE = "MLmodel"
 

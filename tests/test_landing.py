@@ -79,3 +79,17 @@ def test_parse_process_date():
     assert landing.parse_process_date(None, today="2024-03-04") == ("2024-03-04", False)
     with pytest.raises(ValueError):
         landing.parse_process_date("2024/01/02")
+
+
+def test_processed_daily_rerun_overwrites_only_its_day(spark, scratch):
+    def rows(day, close):
+        return spark.createDataFrame([(f"{day} 00:00:00", "GC=F", 1.0, 2.0, 0.5, close, 3)],
+                                     "datetime string, ticker string, open double, high double, low double, "
+                                     "close double, volume long")
+    from pricelab.plans.landing_job import read_processed_daily
+    out = f"{scratch}/processed"
+    landing.write_processed_daily(rows("2024-01-02", 1.0), out)
+    landing.write_processed_daily(rows("2024-01-03", 2.0), out)
+    landing.write_processed_daily(rows("2024-01-02", 5.0), out)
+    got = {r["datetime"][:10]: r["close"] for r in read_processed_daily(spark, out).collect()}
+    assert got == {"2024-01-02": 5.0, "2024-01-03": 2.0}

@@ -87,3 +87,14 @@ def test_exact_quantiles_match_numpy(spark):
     q = {r["q"]: r["value"] for r in exact_quantiles(df, "close").collect()}
     for p in (0.25, 0.5, 0.75):
         assert q[p] == pytest.approx(float(np.quantile(vals, p)))
+
+
+def test_no_forecast_from_origins_with_under_ten_rows(spark):
+    from pricelab.operators.arima import rolling_backtest
+    rng = np.random.default_rng(9)
+    y = 20 + np.cumsum(rng.normal(size=16))
+    got = rolling_backtest(_series(spark, y), order=(1, 1, 0), horizons=(1,), ratio=0.5, mode="plain")
+    pred = {r["idx"]: r["predicted"] for r in got.collect()}
+    # test step i has 8 + i rows of history: steps 0 and 1 (8, 9 rows) give nothing
+    assert pred[0] is None and pred[1] is None
+    assert all(pred[i] is not None for i in range(2, 8))
