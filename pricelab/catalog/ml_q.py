@@ -154,3 +154,42 @@ def daily_forecasts(spark, sf):
     """ARIMA(3,1,3) t+1 / t+2 payload per series."""
     f = ar.arima_forecast(fixtures.bars_daily(spark, sf), order=(3, 1, 3), horizons=(1, 2))
     return fc.daily_payload(f)
+
+
+COMPARE_MODELS = ["ARIMA", "GBT", "RF"]
+
+
+@query("model_comparison", None, ("FM3", "FM5", "FM6", "AG4", "AG14", "AG15", "WN17"))
+def model_comparison(spark, sf):
+    """ARIMA(3,1,3) rolling backtest vs boosted trees and a random forest on the
+    last 20 % of every series, day and week horizons: the metric matrix with
+    the RMSE rank of each model and the improvement of the best over ARIMA."""
+    from functools import reduce
+
+    bars = fixtures.bars_daily(spark, sf)
+    # ARIMA, target-aligned against the test split of the bars.
+    fc = ar.rolling_backtest(bars, order=(3, 1, 3), horizons=(1, 5), ratio=0.8)
+    test = ev.time_split(bars.select("series", "dt", "close"), 0.8).where(F.col("split") == "test")
+    arima = ev.align(fc, test.select("series", "idx", F.col("close").alias("actual")), "target") \
+        .select("series", F.lit("ARIMA").alias("model"), "horizon", "actual", "predicted")
+    # Trees on scaled optimized features, scored on the test split of the feature rows.
+    f = _split_features(spark, sf)
+    f = ml.standard_scale(f, OPT, fit_on=F.col("split") == "train", suffix="_z")
+    cols = [c + "_z" for c in OPT]
+    train, test_f = f.where(F.col("split") == "train"), f.where(F.col("split") == "test")
+    trees = []
+    for kind, name in (("gbt", "GBT"), ("rf", "RF")):
+        for h in (1, 5):
+            model = ml.fit_trees(train, cols, h, kind)
+            trees.append(ml.predict_trees(model, test_f, cols, h).select(
+                "series", F.lit(name).alias("model"), "horizon", "actual", "predicted"))
+    preds = reduce(lambda a, b: a.unionByName(b), [arima, *trees])
+    metrics = ev.forecast_metrics(preds, ["series", "model", "horizon"])
+    matrix = ev.metric_matrix(metrics, COMPARE_MODELS, ["series", "horizon"], digits=2)
+    ranks = ev.rank_models(metrics, COMPARE_MODELS, ["series", "horizon"], "rmse") \
+        .groupBy("series", "horizon").pivot("model", COMPARE_MODELS).agg(F.first("rank"))
+    ranks = ranks.select("series", "horizon", *[F.col(m).alias(f"rmse_rank_{m}") for m in COMPARE_MODELS])
+    imp = ev.improvement_pct(metrics, ["series", "horizon"], baseline="ARIMA")
+    return (matrix.where(F.col("metric") == "rmse").drop("metric")
+            .join(ranks, ["series", "horizon"]).join(imp.select("series", "horizon", "best_model", "improvement_pct"),
+                                                     ["series", "horizon"]))
