@@ -108,43 +108,45 @@ def scan_raw_landing(spark: SparkSession, root: str, date: str | None = None, gl
 def _decode(docs: DataFrame) -> DataFrame:
     """Explode documents to ticker-row level, tagging each piece with a reason.
 
+    One pass: ``posexplode_outer`` keeps a rejected document (or ticker key) as
+    a single row, so document, key and row rejects come out of the same chain
+    and the source is read once.
     Output: file_name, key_pos, ticker_raw, row_pos, row (struct), reason."""
     # PERMISSIVE from_json keeps an unreadable file's text in the corrupt-record
     # field; NaN numbers are accepted (the landing writer emits them).
     env = docs.select("file_name", F.from_json("value", ENVELOPE_SCHEMA_CORRUPT,
                                                {"columnNameOfCorruptRecord": "_corrupt"}).alias("env"))
-    env = env.select("file_name", "env", (F.col("env._corrupt").isNull() & F.col("env").isNotNull()).alias("_valid"))
+    valid = F.col("env._corrupt").isNull() & F.col("env").isNotNull()
     data = F.col("env.data")
     dmap = F.from_json(data, "map<string,string>")
-    kind = (F.when(~F.col("_valid"), "read_error")
-            .when(data.isNull(), F.lit(None))
-            .when(_first_char(data) != "{", "bad_data_type")
-            .when(F.map_contains_key(dmap, "error"), "error_payload"))
-    d1 = env.select("file_name", kind.alias("doc_reason"),
-                    F.when(kind.isNull(), dmap).alias("_map"))
-    doc_rejects = d1.where(F.col("doc_reason").isNotNull()).select(
-        "file_name", F.lit(None).cast("int").alias("key_pos"), F.lit(None).cast("string").alias("ticker_raw"),
-        F.lit(None).cast("int").alias("row_pos"), F.lit(None).cast(ROW_SCHEMA).alias("row"),
-        F.col("doc_reason").alias("reason"))
-    keys = d1.where(F.col("_map").isNotNull()).select(
-        "file_name", F.posexplode(F.map_entries("_map")).alias("key_pos", "_kv"))
-    keys = keys.select("file_name", "key_pos", F.col("_kv.key").alias("ticker_raw"),
+    doc_reason = (F.when(~valid, "read_error")
+                  .when(data.isNull(), F.lit(None))
+                  .when(_first_char(data) != "{", "bad_data_type")
+                  .when(F.map_contains_key(dmap, "error"), "error_payload"))
+    d1 = env.select("file_name", doc_reason.alias("_dr"), dmap.alias("_map"))
+    keys = d1.select("file_name", "_dr", F.posexplode_outer(
+        F.when(F.col("_dr").isNull(), F.map_entries("_map"))).alias("key_pos", "_kv"))
+    keys = keys.select("file_name", "_dr", "key_pos", F.col("_kv.key").alias("ticker_raw"),
                        F.col("_kv.value").alias("_rows_raw"))
-    key_reason = (F.when(F.col("ticker_raw").isin(*METADATA_KEYS), "metadata_key")
+    key_reason = (F.when(F.col("_dr").isNotNull() | F.col("ticker_raw").isNull(), F.lit(None))
+                  .when(F.col("ticker_raw").isin(*METADATA_KEYS), "metadata_key")
                   .when(F.col("_rows_raw").isNull() | (_first_char(F.col("_rows_raw")) != "["), "bad_rows_type"))
     keys = keys.select("*", key_reason.alias("_kr"))
-    key_rejects = keys.where(F.col("_kr").isNotNull()).select(
-        "file_name", "key_pos", "ticker_raw", F.lit(None).cast("int").alias("row_pos"),
-        F.lit(None).cast(ROW_SCHEMA).alias("row"), F.col("_kr").alias("reason"))
-    rows = keys.where(F.col("_kr").isNull()).select(
-        "file_name", "key_pos", "ticker_raw",
-        F.posexplode(F.from_json("_rows_raw", "array<string>")).alias("row_pos", "_row_raw"))
+    usable = F.col("_dr").isNull() & F.col("ticker_raw").isNotNull() & F.col("_kr").isNull()
+    rows = keys.select("file_name", "_dr", "key_pos", "ticker_raw", "_kr", F.posexplode_outer(
+        F.when(usable, F.from_json("_rows_raw", "array<string>"))).alias("row_pos", "_row_raw"))
     parsed = F.from_json(F.col("_row_raw"), ROW_SCHEMA)
-    row_reason = (F.when(F.col("_row_raw").isNull() | (_first_char(F.col("_row_raw")) != "{"), "bad_row_type")
+    rows = rows.select("*", parsed.alias("row"))
+    row_reason = (F.when(F.col("_row_raw").isNull(), F.lit(None))
+                  .when(_first_char(F.col("_row_raw")) != "{", "bad_row_type")
                   .when(F.coalesce(F.col("row.datetime"), F.lit("")) == "", "missing_datetime"))
-    rows = rows.select("file_name", "key_pos", "ticker_raw", "row_pos", "_row_raw", parsed.alias("row"))
-    rows = rows.select("file_name", "key_pos", "ticker_raw", "row_pos", "row", row_reason.alias("reason"))
-    return doc_rejects.unionByName(key_rejects).unionByName(rows)
+    reason = F.coalesce(F.col("_dr"), F.col("_kr"), row_reason)
+    out = rows.select("file_name", "key_pos", "ticker_raw", "row_pos", "row", reason.alias("reason"),
+                      F.col("_row_raw").isNotNull().alias("_has_row"))
+    # Keep rejects and real rows; drop the placeholder rows of empty maps/arrays.
+    out = out.where(F.col("reason").isNotNull() | F.col("_has_row"))
+    return out.select("file_name", "key_pos", "ticker_raw", "row_pos",
+                      F.when(F.col("reason").isNull(), F.col("row")).alias("row"), "reason")
 
 
 def parse_raw_payload(docs: DataFrame) -> DataFrame:
