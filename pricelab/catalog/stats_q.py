@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import stats_math as sm
 from ..operators import evaluate as ev
 from ..operators import stats as st
+from ..operators.layout import resolve_mode
 from ..sources import fixtures
 from ..sources.fixtures import with_ctes
 from .registry import query, round_df
@@ -19,7 +20,8 @@ _RET = ("_r AS (SELECT series, dt, close, " + pdiv("close", "lag(close) OVER (PA
 
 
 def _returns(spark, sf):
-    return st.simple_returns(fixtures.bars_daily(spark, sf))
+    b = fixtures.bars_daily(spark, sf)
+    return st.simple_returns(b, mode=resolve_mode(b))
 
 
 def _sql(body: str) -> str:

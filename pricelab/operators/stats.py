@@ -24,9 +24,9 @@ TRADING_DAYS = 252
 
 
 def simple_returns(df: DataFrame, price: str = "close", series: str = "series", dt: str = "dt",
-                   out: str = "returns") -> DataFrame:
+                   out: str = "returns", mode: str = "auto") -> DataFrame:
     """pct_change of the price per series (first row NULL)."""
-    lay = series_layout(df, series, dt, lookback=1)
+    lay = series_layout(df, series, dt, lookback=1, mode=mode)
     w = lay.window()
     prev = F.lag(price, 1).over(w)
     return lay.finish(lay.df.select("*", (pdiv(F.col(price), prev) - 1).alias(out)))
@@ -154,7 +154,7 @@ def normal_pdf_grid(df: DataFrame, value: str, points: int = 100, series: str =
 # ---------------------------------------------------------------------------
 
 def acf(df: DataFrame, value: str, nlags: int = 30, series: str = "series", dt: str = "dt",
-        alpha: float = ALPHA) -> DataFrame:
+        alpha: float = ALPHA, mode: str = "auto") -> DataFrame:
     """TS1: sample autocorrelation per lag 0..nlags with the Bartlett band
     (statsmodels' ``acf(alpha=...)``): var_1 = 1/n, var_k = (1 + 2*sum_{j<k} rho_j^2)/n.
 
@@ -164,7 +164,7 @@ def acf(df: DataFrame, value: str, nlags: int = 30, series: str = "series", dt:
     v = df.where(F.col(value).isNotNull())
     mean = v.groupBy(series).agg(F.avg(value).alias("_mu"), F.count(value).alias("_n"))
     c = v.join(mean, series).withColumn("_d", F.col(value) - F.col("_mu"))
-    lay = series_layout(c, series, dt, lookback=nlags)
+    lay = series_layout(c, series, dt, lookback=nlags, mode=mode)
     w = lay.window()
     keep = [OWN] if lay.halo else []
     prods = lay.finish(lay.df.select(series, "_n", *keep, *[(F.col("_d") * F.lag("_d", k).over(w)).alias(f"_p{k}")
