@@ -36,13 +36,14 @@ def simple_returns(df: DataFrame, price: str = "close", series: str = "series",
 # AG1 / AG2 / AG3
 # ---------------------------------------------------------------------------
 
-def exact_quantiles(df: DataFrame, value: str, probs=(0.25, 0.5, 0.75), series: str = "series") -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, probs=(0.25, 0.5, 0.75), series: str = "series",
+                    mode: str = "auto") -> DataFrame:
     """Linear-interpolation quantiles (numpy/pandas default) per series.
 
     Positions in value order come from ``with_positions`` (skew-safe), then
     only the 2 rows around each cut are kept and interpolated."""
     v = df.select(series, F.col(value).alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    p = with_positions(v, series, ["_v"])
+    p = with_positions(v, series, ["_v"], mode)
     picks = []
     for q in probs:
         h = (F.col("_n") - 1) * F.lit(float(q))
@@ -61,12 +62,13 @@ def exact_quantiles(df: DataFrame, value: str, probs=(0.25, 0.5, 0.75), series:
 def describe(df: DataFrame, cols: list[str], series: str = "series", digits: int | None = 2) -> DataFrame:
     """AG1: count, mean, std (ddof 1), min, 25/50/75 %, max per (series, column)."""
     outs = []
+    mode = resolve_mode(df, series)
     for c in cols:
         x = F.col(c)
         base = df.groupBy(series).agg(F.count(x).alias("count"), F.avg(x).alias("mean"),
                                       F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
                                       F.max(x).alias("max"))
-        q = exact_quantiles(df, c, (0.25, 0.5, 0.75), series)
+        q = exact_quantiles(df, c, (0.25, 0.5, 0.75), series, mode)
         qw = q.groupBy(series).pivot("q", [0.25, 0.5, 0.75]).agg(F.first("value"))
         qw = qw.select(series, *[F.col(f"`{k}`").alias(n) for k, n in (("0.25", "p25"), ("0.5", "p50"),
                                                                       ("0.75", "p75"))])
