@@ -8,7 +8,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pricelab.llm import common as C
-from pricelab.llm import ngram_join
+from pricelab.llm import decontam, ngram_join, packing, toxicity
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"))
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(C.table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    C.prepare(spark)
+    docs = C.table(spark, sf_dir, "documents")
+    return toxicity.predict(docs, toxicity.fit(docs, C.table(spark, sf_dir, "labels")))
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +35,9 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op6_toxicity": op6_toxicity,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
