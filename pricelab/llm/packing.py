@@ -56,7 +56,7 @@ def token_bytes(texts, path: str):
         if len(cache) > 400_000:
             cache.clear()
             cache[""] = b""
-        new = list(set(parts) - cache.keys())
+        new = [p for p in set(parts) if p not in cache]
         for p, e in zip(new, tok.encode_batch_fast(new, add_special_tokens=False)):
             cache[p] = np.array(e.ids, "<u4").tobytes()
         yield b"".join([cache[p] for p in parts])
