@@ -207,7 +207,7 @@ def text_groups(docs: DataFrame, groups: int, columns: list[str] | None = None)
             if not batch.num_rows:
                 continue
             row = batch.column(0)
-            tab = pa.RecordBatch.from_arrays(row.flatten(), fields_of(row.type))
+            tab = pa.RecordBatch.from_arrays(row.flatten(), schema=fields_of(row.type))
             g = batch.column(1).to_numpy()
             order = np.argsort(g, kind="stable")
             cuts = np.flatnonzero(np.diff(g[order], prepend=-1))

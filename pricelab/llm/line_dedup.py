@@ -180,9 +180,11 @@ def line_set(payload: bytes) -> np.ndarray:
     return np.unique(shingle_hashes(b, np.array([0]), np.array([len(b)]))[0])
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` with duplicate lines taken out of ``text`` and the columns
-    ``n_lines`` (non-blank lines before) and ``n_removed``."""
+def dedup_lines(docs: DataFrame, counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
+    """``docs`` with duplicate lines taken out of ``text`` and two more columns:
+    non-blank lines before and lines removed (named by ``counts``)."""
+    if set(counts) & set(docs.columns):
+        raise ValueError(f"docs already has a column named like one of {counts}")
     spark = docs.sparkSession
     C.prepare(spark)
     groups = C.group_count(docs)
@@ -200,23 +202,17 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     keeper = of.groupBy("comp").agg(F.min(place).alias("k"))
     verdict = of.join(keeper, "comp").select("g", "line", (F.struct("doc_id", "row", "no", "g") == F.col("k")).alias("keeps"))
 
-    extra = [c for c in ("n_lines", "n_removed") if c not in docs.columns]
     schema = StructType([*docs.schema.fields])
-    for c in extra:
+    for c in counts:
         schema = schema.add(c, LongType())
-    names = docs.columns
 
     def strip(left, right):
-        return _strip(C.group_rows(left), right, names, extra) if left.num_rows else _empty(names, extra)
+        return _strip(C.group_rows(left), right, counts)
 
     return packed.groupBy("g").cogroup(verdict.groupBy("g")).applyInArrow(strip, schema)
 
 
-def _empty(names, extra):
-    return pa.table({c: pa.array([], pa.null()) for c in [*names, *extra]})
-
-
-def _strip(rows: pa.Table, verdict: pa.Table, names: list[str], extra: list[str]) -> pa.Table:
+def _strip(rows: pa.Table, verdict: pa.Table, counts: tuple[str, str]) -> pa.Table:
     """Rewrite the texts of one group. A line of the group stays if it is the first
     of its text here and the verdict, if there is one, says that it keeps."""
     line = verdict.column("line").to_numpy().view(np.uint64)
@@ -244,18 +240,16 @@ def _strip(rows: pa.Table, verdict: pa.Table, names: list[str], extra: list[str]
     for r, numbers in drop.items():
         left = [x for i, x in enumerate(texts[r].split("\n")) if i not in numbers]
         texts[r] = "\n".join(left) if any(x.strip() for x in left) else ""
-    out = {c: rows.column(c) for c in names}
+    out = {c: rows.column(c) for c in rows.column_names}
     out["text"] = pa.array(texts, rows.column("text").type)
-    for c, v in (("n_lines", lines), ("n_removed", removed)):
-        if c in extra:
-            out[c] = pa.array(v.astype(np.int64))
+    out[counts[0]], out[counts[1]] = pa.array(lines.astype(np.int64)), pa.array(removed.astype(np.int64))
     return pa.table(out)
 
 
 def drop_duplicate_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the columns it has, without duplicate lines; a document that
     lost all of its lines goes, since every line of it stays elsewhere."""
-    mark = docs.withColumns({c: F.lit(None).cast("long") for c in ()})
-    out = dedup_lines(mark)
-    gone = (F.col("n_removed") > 0) & (F.col("n_removed") == F.col("n_lines"))
+    lines, removed = "line_dedup:lines", "line_dedup:removed"
+    out = dedup_lines(docs, (lines, removed))
+    gone = (F.col(f"`{removed}`") > 0) & (F.col(f"`{removed}`") == F.col(f"`{lines}`"))
     return out.where(~gone).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -146,8 +146,19 @@ def join_components(docs: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each group: the one whose id names the
-    component. Wordless documents stay; repeated rows of one doc_id are one row."""
-    keep = (join_components(docs).where(F.col("component_id").eqNullSafe(F.col("doc_id")))
-            .select(F.col("doc_id").alias("keep_id")).distinct())
-    once = docs.where("doc_id is not null").dropDuplicates(["doc_id"]).join(keep, F.col("doc_id") == F.col("keep_id"), "left_semi")
-    return once.unionByName(docs.where("doc_id is null"))
+    component. Wordless documents and null ids stay; of rows that repeat a
+    doc_id one stays (the first of its group)."""
+    keep = join_components(docs).where("component_id = doc_id").select(F.col("doc_id").alias("keep_id")).distinct()
+    groups = C.group_count(docs)
+    packed = C.text_groups(docs, groups)
+    keep = keep.withColumn("g", F.pmod(F.xxhash64("keep_id"), F.lit(groups)).cast("int"))
+
+    def pick(left, right):
+        rows = C.group_rows(left)
+        ids = C.id_array(rows.column("doc_id"))
+        first = np.zeros(len(ids), bool)
+        first[np.unique(ids, return_index=True)[1]] = True
+        stay = (first & np.isin(ids, right.column("keep_id").to_numpy())) | (ids == C.NO_ID)
+        return rows.filter(pa.array(stay))
+
+    return packed.groupBy("g").cogroup(keep.groupBy("g")).applyInArrow(pick, docs.schema)

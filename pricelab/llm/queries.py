@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pricelab.llm import common as C
-from pricelab.llm import decontam, ngram_join, packing, toxicity
+from pricelab.llm import decontam, line_dedup, ngram_join, packing, toxicity
 
 
 def tokenizer_path() -> str:
@@ -20,6 +20,12 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, non-blank lines, removed lines and the text that stays."""
+    docs = C.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(C.table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -34,8 +40,15 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_components(C.table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
+    "pipeline": pipeline,
     "op1_decontamination": op1_decontamination,
+    "op2_line_dedup": op2_line_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_toxicity": op6_toxicity,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
