@@ -49,10 +49,10 @@ def shingle_sets(texts: pa.Array):
             if z - a >= SHINGLE:
                 yield lo + r, np.unique(s[a:z - SHINGLE + 1])
             elif z > a:   # fewer words: the whole sequence is the one shingle
-                h = _U(z - a)
+                h = np.array([z - a], np.uint64)
                 for x in w[a:z]:
-                    h = C.mix(np.array([h * _MULT[0] + x], np.uint64))[0]
-                yield lo + r, np.array([h], np.uint64)
+                    h = C.mix(h * _MULT[0] + x)
+                yield lo + r, h
             else:
                 yield lo + r, np.empty(0, np.uint64)
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pricelab.llm import common as C
-from pricelab.llm import decontam, line_dedup, ngram_join, packing, toxicity
+from pricelab.llm import decontam, langid, line_dedup, line_rules, ngram_join, packing, toxicity
 
 
 def tokenizer_path() -> str:
@@ -36,6 +36,18 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predict(docs, toxicity.fit(docs, C.table(spark, sf_dir, "labels")))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    C.prepare(spark)
+    docs = C.table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    C.prepare(spark)
+    docs = C.table(spark, sf_dir, "documents")
+    return line_rules.judge(docs, line_rules.fit(docs, C.table(spark, sf_dir, "labels")))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_components(C.table(spark, sf_dir, "documents"))
 
@@ -51,6 +63,8 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_toxicity": op6_toxicity,
+    "op7_language_id": op7_language_id,
+    "op9_quality_rules": op9_quality_rules,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
