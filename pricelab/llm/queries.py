@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pricelab.llm import common as C
-from pricelab.llm import decontam, langid, line_dedup, line_rules, ngram_join, packing, toxicity
+from pricelab.llm import decontam, langid, line_dedup, line_rules, ngram_join, packing, quality_lm, quotes, suffix_dedup, toxicity
 
 
 def tokenizer_path() -> str:
@@ -26,10 +26,18 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op3_chat_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.conversations(C.table(spark, sf_dir, "conversations"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(C.table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_substrings(C.table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     C.prepare(spark)
     docs = C.table(spark, sf_dir, "documents")
@@ -42,6 +50,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.fit(docs))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_lm.classify(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "labels"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     C.prepare(spark)
     docs = C.table(spark, sf_dir, "documents")
@@ -61,9 +73,12 @@ QUERIES = {
     "pipeline": pipeline,
     "op1_decontamination": op1_decontamination,
     "op2_line_dedup": op2_line_dedup,
+    "op3_chat_quotations": op3_chat_quotations,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_toxicity": op6_toxicity,
     "op7_language_id": op7_language_id,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_quality_rules": op9_quality_rules,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
