@@ -17,6 +17,8 @@ packed and returned as null; extra columns are ignored.
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 
 import numpy as np
@@ -32,20 +34,25 @@ END_ID = 1
 SHARD_PIECES = 25_000
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _TOKENIZERS: dict[str, tuple] = {}
+CACHED = 800_000
+_SIMPLE = re.compile(r"([A-Za-z]+)([.,!?;:]*)").fullmatch
 
 
 def token_bytes(texts, path: str):
     """Little-endian uint32 ids of each text, without end id.
 
     The tokenizer's pre-tokenizer never joins across white space, so a text's ids
-    are those of its space- and newline-separated chunks; the chunks' ids are
-    kept in a bounded cache per worker."""
+    are those of its space- and newline-separated chunks. A chunk of ASCII letters
+    and closing marks is one word and one mark for it; its word goes to the
+    tokenizer's model directly (normalisation only lower-cases it). Both kinds are
+    kept in bounded caches per worker."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # Spark's tasks are the parallelism
     from tokenizers import Tokenizer
 
     if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = (Tokenizer.from_file(path), {"": b""})
-    tok, cache = _TOKENIZERS[path]
+        tok = Tokenizer.from_file(path)
+        _TOKENIZERS[path] = (tok, {"": b""}, {}, tok.model)
+    tok, cache, words, model = _TOKENIZERS[path]
     for text in texts:
         parts = (text or "").replace("\n", " ").split(" ")
         try:
@@ -53,12 +60,31 @@ def token_bytes(texts, path: str):
             continue
         except KeyError:
             pass
-        if len(cache) > 400_000:
+        if len(cache) > CACHED:
             cache.clear()
+            words.clear()
             cache[""] = b""
-        new = [p for p in set(parts) if p not in cache]
-        for p, e in zip(new, tok.encode_batch_fast(new, add_special_tokens=False)):
-            cache[p] = np.array(e.ids, "<u4").tobytes()
+        other = []
+        for p in set(parts):
+            if p in cache:
+                continue
+            m = _SIMPLE(p)
+            if m is None:
+                other.append(p)
+                continue
+            word, mark = m.groups()
+            word = word.lower()
+            ids = words.get(word)
+            if ids is None:
+                ids = words[word] = struct.pack(f"<{len(t := model.tokenize(word))}I", *[x.id for x in t])
+            if mark:
+                if mark not in words:
+                    words[mark] = np.array(tok.encode(mark, add_special_tokens=False).ids, "<u4").tobytes()
+                ids += words[mark]
+            cache[p] = ids
+        if other:
+            for p, e in zip(other, tok.encode_batch_fast(other, add_special_tokens=False)):
+                cache[p] = np.array(e.ids, "<u4").tobytes()
         yield b"".join([cache[p] for p in parts])
 
 
