@@ -318,17 +318,21 @@ def _shard(key, tab):
     s = size[head]
     owners = np.empty(int((s - LENGTH + 1).sum()), np.int64)
     w_off = np.concatenate([[0], np.cumsum(s - LENGTH + 1)])
-    # suffix arrays over ranges of minimisers of bounded size; one minimiser stays whole
+    # a minimiser with one content only: all its windows have that content's owner
     border = np.flatnonzero(np.concatenate([[True], m[head][1:] != m[head][:-1]]))
-    border = np.append(border, len(head))
-    csum = np.concatenate([[0], np.cumsum(s)])
+    alone = np.repeat(np.diff(np.append(border, len(head))) == 1, np.diff(np.append(border, len(head))))
+    owners[:] = np.repeat(docs[head], s - LENGTH + 1)
+    # the others: suffix arrays over ranges of minimisers of bounded size; one minimiser stays whole
+    many = np.flatnonzero(~alone)
+    border = np.append(np.flatnonzero(np.concatenate([[True], m[head[many]][1:] != m[head[many]][:-1]])) if len(many) else [], len(many)).astype(np.int64)
+    csum = np.concatenate([[0], np.cumsum(s[many])])
     lo = 0
-    while lo < len(head):
+    while lo < len(many):
         hi = border[max(np.searchsorted(csum[border], csum[lo] + SHARD_BYTES, "right") - 1, np.searchsorted(border, lo, "right"))]
-        pick = head[lo:hi]
-        n = s[lo:hi]
+        pick, n = head[many[lo:hi]], s[many[lo:hi]]
         text = body[np.repeat(off[pick] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-        owners[w_off[lo]:w_off[hi]] = smallest_owner(text, n, docs[pick])
+        c = n - LENGTH + 1
+        owners[np.repeat(w_off[many[lo:hi]] - (np.cumsum(c) - c), c) + np.arange(c.sum())] = smallest_owner(text, n, docs[pick])
         lo = hi
     out = {"g": [], "shard": [], "owners": []}
     count = size - LENGTH + 1
@@ -356,27 +360,28 @@ def _mark(left, right):
     ids, (row, at, index), (_, _, size, _, _) = _shared_runs(rows, shared)
     owners = np.concatenate([np.empty(0, np.int64), *[C.unpack_raw(o, np.int64) for _, o in back]])
     w_off = np.concatenate([[0], np.cumsum(size - LENGTH + 1)])
-    by_row = np.argsort(row, kind="stable")
-    cut = np.searchsorted(row[by_row], np.arange(len(ids) + 1))
+    # all windows that start in a document with a smaller id, as places in their rows
+    count = (size - LENGTH + 1)[index]
+    inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    dup = owners[np.repeat(w_off[index], count) + inside] < np.repeat(ids[row], count)
+    dup_row, dup_at = np.repeat(row, count)[dup], (np.repeat(at, count) + inside)[dup]
+    order = np.argsort(dup_row, kind="stable")
+    dup_row, dup_at = dup_row[order], dup_at[order]
     out = {c: [] for c in _OUT.names}
     for lo, raw, offs in C.chunks(rows.column("text")):
-        for r in range(lo, lo + len(offs) - 1):
-            text = raw[offs[r - lo]:offs[r - lo + 1]]
-            n = len(text)
-            runs = by_row[cut[r]:cut[r + 1]]
-            removed = spans = 0
-            if len(runs):
-                edge = np.zeros(n + 1, np.int64)
-                for i in runs:
-                    dup = np.flatnonzero(owners[w_off[index[i]]:w_off[index[i] + 1]] < ids[r]) + at[i]
-                    edge[dup] += 1
-                    edge[dup + LENGTH] -= 1
-                gone = np.cumsum(edge[:n]) > 0
-                removed = int(gone.sum())
-                spans = int((gone & ~np.concatenate([[False], gone[:-1]])).sum())
-                if removed:
-                    text = text[~gone]
-            for c, v in zip(out, (int(ids[r]), n, removed, spans, hashlib.sha256(text.tobytes()).hexdigest())):
+        n_rows = len(offs) - 1
+        a, z = np.searchsorted(dup_row, [lo, lo + n_rows])
+        place = dup_at[a:z] + offs[dup_row[a:z] - lo]
+        edge = np.bincount(place, minlength=len(raw) + 1) - np.bincount(place + LENGTH, minlength=len(raw) + 1)
+        gone = np.cumsum(edge[:len(raw)]) > 0
+        begins = gone & ~np.concatenate([[False], gone[:-1]])[:len(raw)]
+        begins[offs[:-1][offs[:-1] < len(raw)]] |= gone[offs[:-1][offs[:-1] < len(raw)]]
+        removed, spans = (np.diff(np.concatenate([[0], np.cumsum(x)])[offs]) for x in (gone, begins))
+        for r in range(n_rows):
+            text = raw[offs[r]:offs[r + 1]]
+            if removed[r]:
+                text = text[~gone[offs[r]:offs[r + 1]]]
+            for c, v in zip(out, (int(ids[lo + r]), int(offs[r + 1] - offs[r]), int(removed[r]), int(spans[r]), hashlib.sha256(text.tobytes()).hexdigest())):
                 out[c].append(v)
     return pa.table(out, schema=_OUT)
 
