@@ -355,38 +355,52 @@ def components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     return nxt.select(F.col("u").alias("id"), F.col("v").alias("comp"))
 
 
-def link_components(sets: DataFrame, to_set, similar, tile: int = 2048) -> DataFrame:
+def link_components(sets: DataFrame, to_set, similar, tile: int = 2048, rounds: int = 5) -> DataFrame:
     """Exact components of the sets that share a key and are ``similar``.
 
     ``sets``: (sid long, n int, keys array<long>, bitmap binary, payload binary),
     one row per distinct set, already written out. ``to_set(payload)`` gives the
     sorted distinct uint64 values, ``similar(inter, na, nb)`` the exact test.
 
-    1. Star: each set is verified against the smallest set that shares a key with
-       it; components of these links.
+    1. Stars: each set is verified against one pivot that shares a key with it and
+       is in another component, first the smallest, then (for keys whose sets are
+       still apart) other ones chosen by a hash; components of all links so far.
     2. Rest: keys whose sets are still in different components. Their sets meet
        in size-banded tiles of bounded size; bitmap bit counts bound each
        overlap from above, and the surviving pairs are verified exactly.
     Pairs inside one component need no test, so large groups of copies cost
-    linear work. Returns (sid, comp) for sets in components of two or more."""
+    linear work. The stars only save work: the rest covers every pair of a key
+    that is not in one component. Returns (sid, comp) for components of two or more."""
     keys = sets.select("sid", F.explode("keys").alias("key"))
-    low = keys.groupBy("key").agg(F.min("sid").alias("m"), F.max("sid").alias("x")).where("m <> x").select("key", "m")
-    star = (keys.join(low, "key").groupBy("sid").agg(F.min("m").alias("pivot")).where("pivot < sid")
-            .select(F.col("pivot").alias("a"), F.col("sid").alias("b")))
-    links = cut(verify_pairs(star, sets, to_set, similar))
-    comp = components(links)
-
-    keyed = cut(keys.join(low, "key", "left_semi").join(comp.withColumnRenamed("id", "sid"), "sid", "left")
-                .select("key", "sid", F.coalesce("comp", "sid").alias("comp")))
+    shared = keys.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo <> hi").select("key")
+    keys = cut(keys.join(shared, "key", "left_semi"))
+    keyed, links, seen, comp = keys.withColumn("comp", F.col("sid")), None, None, None
+    for r in range(rounds):
+        score = F.col("sid") if r == 0 else F.xxhash64("sid", F.lit(r))
+        pivots = (keyed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct(score.alias("s"), "sid", "comp")).alias("p"))
+                  .where("lo <> hi").select("key", F.col("p.sid").alias("pivot"), F.col("p.comp").alias("pcomp")))
+        choice = F.struct((F.col("pivot") if r == 0 else F.xxhash64("key", F.lit(r))).alias("s"), "pivot")
+        star = (keyed.join(pivots, "key").where("comp <> pcomp").groupBy("sid").agg(F.min(choice).alias("c"))
+                .select(F.least("sid", "c.pivot").alias("a"), F.greatest("sid", "c.pivot").alias("b")).distinct())
+        star = cut(star if seen is None else star.join(seen, ["a", "b"], "left_anti"))
+        found = cut(verify_pairs(star, sets, to_set, similar))
+        seen = star if seen is None else seen.union(star)
+        fresh = found.count()
+        links = found if links is None else links.union(found)
+        if fresh or comp is None:
+            comp = components(links)
+            keyed = cut(keys.join(comp.withColumnRenamed("id", "sid"), "sid", "left").select("key", "sid", F.coalesce("comp", "sid").alias("comp")))
+        if fresh * 50 < star.count() or not fresh:
+            break
+
     mixed = keyed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi")
     rest = keyed.join(mixed.select("key", "size"), "key")
     slim = sets.select("sid", "n", "bitmap")
     pairs = tile_pairs(rest.join(slim, "sid"), similar, tile)
-    seen = star.select("a", "b")
     more = cut(verify_pairs(pairs.join(seen, ["a", "b"], "left_anti"), sets, to_set, similar))
-    if more.isEmpty():
-        return comp.select(F.col("id").alias("sid"), "comp")
-    return components(links.union(more)).select(F.col("id").alias("sid"), "comp")
+    if not more.isEmpty():
+        comp = components(links.union(more))
+    return comp.select(F.col("id").alias("sid"), "comp")
 
 
 def verify_pairs(pairs: DataFrame, sets: DataFrame, to_set, similar) -> DataFrame:
@@ -432,31 +446,43 @@ def tile_pairs(rest: DataFrame, similar, tile: int) -> DataFrame:
     dealt = (rest.withColumn("blocks", blocks).withColumn("own", own)
              .withColumn("band", F.explode(F.array(band, band + 1, band + 2))).withColumn("home", F.col("band") == band)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("key", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "home", "sid", "comp", "n", "bitmap"))
+             .withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+             .select(F.xxhash64("key", "band", "i", "j").alias("tile"), "i", "j", "own", "home", "sid", "comp", "n", "bitmap"))
+    # small tiles share a task group: one group per hash of the tile's name, as many
+    # groups as hold some thousand rows each
+    count = max(1, dealt.count() // 4000)
+    dealt = dealt.withColumn("lot", F.pmod(F.xxhash64("tile"), F.lit(count)))
 
     def test(key, t):
-        i, j = key[2].as_py(), key[3].as_py()
-        home = t.column("home").to_numpy(zero_copy_only=False)
-        sid, comp, n, own = (t.column(c).to_numpy() for c in ("sid", "comp", "n", "own"))
-        bits = np.frombuffer(b"".join(t.column("bitmap").to_pylist()), np.uint8).reshape(len(sid), -1).view(np.uint64)
+        tiles = t.column("tile").to_numpy()
+        order = np.argsort(tiles, kind="stable")
+        home = t.column("home").to_numpy(zero_copy_only=False)[order]
+        i, j, sid, comp, n, own = (t.column(c).to_numpy()[order] for c in ("i", "j", "sid", "comp", "n", "own"))
+        bits = np.frombuffer(b"".join(t.column("bitmap").to_pylist()), np.uint8).reshape(len(sid), -1).view(np.uint64)[order]
+        cuts = np.append(np.flatnonzero(np.diff(tiles[order], prepend=tiles[order][0] - 1)), len(sid))
         left, right = [], []
-        for x in np.flatnonzero(home):
-            # each pair once: home-home by id, home-guest always; across blocks i < j
-            m = (comp != comp[x]) & (~home | (sid > sid[x]))
-            if i != j:
-                m &= own != own[x]
-            y = np.flatnonzero(m)
-            if not len(y):
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            if hi - lo < 2 or (comp[lo:hi] == comp[lo]).all():
                 continue
-            bound = np.minimum(n[x] - np.bitwise_count(bits[x] & ~bits[y]).sum(1, dtype=np.int64),
-                               n[y] - np.bitwise_count(bits[y] & ~bits[x]).sum(1, dtype=np.int64))
-            y = y[similar(np.minimum(bound, np.minimum(n[x], n[y])), n[x], n[y])]
-            left.append(np.minimum(sid[x], sid[y]))
-            right.append(np.maximum(sid[x], sid[y]))
+            for x in lo + np.flatnonzero(home[lo:hi]):
+                # each pair once: home-home by id, home-guest always; across blocks i < j
+                m = (comp[lo:hi] != comp[x]) & (~home[lo:hi] | (sid[lo:hi] > sid[x]))
+                if i[x] != j[x]:
+                    m &= own[lo:hi] != own[x]
+                y = lo + np.flatnonzero(m)
+                y = y[similar(np.minimum(n[x], n[y]), n[x], n[y])]
+                if not len(y):
+                    continue
+                bound = np.minimum(n[x] - np.bitwise_count(bits[x] & ~bits[y]).sum(1, dtype=np.int64),
+                                   n[y] - np.bitwise_count(bits[y] & ~bits[x]).sum(1, dtype=np.int64))
+                y = y[similar(bound, n[x], n[y])]
+                left.append(np.minimum(sid[x], sid[y]))
+                right.append(np.maximum(sid[x], sid[y]))
         none = np.empty(0, np.int64)
-        return pa.table({"a": np.concatenate([none, *left]), "b": np.concatenate([none, *right])})
+        ab = np.unique(np.stack([np.concatenate([none, *left]), np.concatenate([none, *right])], 1), axis=0)
+        return pa.table({"a": ab[:, 0], "b": ab[:, 1]})
 
-    return dealt.groupBy("key", "band", "i", "j").applyInArrow(test, "a long, b long").distinct()
+    return dealt.groupBy("lot").applyInArrow(test, "a long, b long").distinct()
 
 
 def jaccard_80(inter, na, nb):

@@ -23,6 +23,8 @@ other columns pass through.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 
@@ -35,48 +37,48 @@ SHINGLE = 8
 BANDS, ROWS = 12, 4
 BINS = 64                       # one-permutation bins; BANDS * ROWS of them are used
 _U = np.uint64
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 11, 12, 13, 32]] = True
+_TO_LOWER_SPACE = bytes.maketrans(bytes(range(65, 91)) + b"\t\v\f\r", bytes(range(97, 123)) + b"    ")
+_RUNS, _EDGES = re.compile(rb"  +"), re.compile(rb" ?\n ?")
 
 
 def normalised_lines(raw: np.ndarray, offs: np.ndarray):
     """``(bytes, starts, ends, row, line_no)`` of the non-blank lines of some rows,
     in normalised form; each line is followed by one newline byte in ``bytes``."""
-    n = len(raw)
-    b = np.full(n + len(offs) - 1, 10, np.uint8)             # every row ends in a newline
-    at = np.arange(n) + np.repeat(np.arange(len(offs) - 1), np.diff(offs))
-    b[at] = C.LOWER[raw]
-    space, nl = _SPACE[b], b == 10
-    prev_gap = np.concatenate([[True], (space | nl)[:-1]])
-    # a space stays if it opens a run inside a line; the run's end decides below
-    keep = ~(space & prev_gap)
-    line = np.cumsum(nl) - nl
-    row_of_line = np.searchsorted(offs[1:] + np.arange(len(offs) - 1), np.flatnonzero(nl))
-    b, line = b[keep], line[keep]
-    nl = b == 10
-    trail = _SPACE[b] & np.concatenate([nl[1:], [True]])     # a space before the line's end
-    b, line = np.where(_SPACE[b], 32, b)[~trail].astype(np.uint8), line[~trail]
+    n_rows = len(offs) - 1
+    whole = raw.tobytes()
+    data = b"\n".join([whole[offs[r]:offs[r + 1]] for r in range(n_rows)]) + b"\n"
+    number = np.concatenate([[0], np.cumsum(raw == 10)])
+    lines = number[offs[1:]] - number[offs[:-1]] + 1            # of each row, blank ones too
+    data = _RUNS.sub(b" ", data.translate(_TO_LOWER_SPACE))
+    b = np.frombuffer(_EDGES.sub(b"\n", data).lstrip(b" "), np.uint8)
     ends = np.flatnonzero(b == 10)
-    starts = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
-    first = np.searchsorted(row_of_line, np.arange(len(offs) - 1))
-    number = np.arange(len(ends)) - first[row_of_line] if len(ends) else ends
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    row = np.repeat(np.arange(n_rows), lines)
+    no = np.arange(len(ends)) - np.repeat(np.cumsum(lines) - lines, lines)
     full = ends > starts
-    return b, starts[full], ends[full], row_of_line[full], number[full]
+    return b, starts[full], ends[full], row[full], no[full]
 
 
 def shingle_hashes(b: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-    """``(hashes, ptr)``: the shingle hashes of each line, not yet distinct."""
+    """``(hashes, ptr)``: the shingle hashes of each line, not yet distinct; lines come
+    in the order of their bytes."""
     width = ends - starts
-    grams = C.gram_hashes(b, SHINGLE)
     count = np.maximum(width - SHINGLE + 1, 1)
     ptr = np.concatenate([[0], np.cumsum(count)])
-    at = np.repeat(starts - ptr[:-1], count) + np.arange(ptr[-1])
+    grams = C.gram_hashes(b, SHINGLE)
+    edge = np.zeros(len(b) + 1, np.int8)                       # 1 where a shingle of a line may start
+    long = width >= SHINGLE
+    edge[starts[long]] += 1
+    edge[starts[long] + count[long]] -= 1
     out = np.empty(ptr[-1], np.uint64)
-    short = np.repeat(width < SHINGLE, count)
-    out[~short] = grams[at[~short]]
-    few = np.flatnonzero(width < SHINGLE)
+    few = np.flatnonzero(~long)
     if len(few):
+        wide = np.ones(ptr[-1], bool)
+        wide[ptr[few]] = False
+        out[wide] = grams[np.cumsum(edge[:len(grams)]).astype(bool)]
         out[ptr[few]] = C.span_hashes(b, starts[few], ends[few])
+    else:
+        out[:] = grams[np.cumsum(edge[:len(grams)]).astype(bool)]
     return out, ptr
 
 
@@ -121,7 +123,7 @@ def _lines(rows: pa.Table):
 def _fresh(h: np.ndarray, seen: np.ndarray) -> np.ndarray:
     """First place of each line hash that ``seen`` (sorted) does not hold."""
     u, at = np.unique(h, return_index=True)
-    return at[~C.lookup(u, seen)[1]]
+    return np.sort(at[~C.lookup(u, seen)[1]])
 
 
 def _group_values(rows: pa.Table):
@@ -153,7 +155,8 @@ def _candidates(key, left, right):
     for b, s, e, row, no, h in _lines(rows):
         place = np.lexsort((no, row, ids[row]))
         u, at = np.unique(h[place], return_index=True)
-        at = place[at]
+        by = np.argsort(place[at])
+        u, at = u[by], place[at][by]
         equal = C.lookup(C.mix(u), shared)[1]
         hashes, ptr = shingle_hashes(b, s[at], e[at])
         keys = band_keys(signatures(hashes, ptr))
