@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import CALENDAR_NAMES, calendar_columns
 from ..operators import features as fe
-from ..operators.ema import add_ema
+from ..operators.ema import add_ema, ema_lookback
 from ..operators.layout import series_layout
 from ..sources import fixtures
 from ..sources.fixtures import with_ctes
@@ -248,7 +248,7 @@ _register_family("calendar", lambda b, W2: calendar_columns("dt"), calendar_sql(
 
 def _ema_query(spark, sf):
     b = _bars(spark, sf)
-    lay = series_layout(b, lookback=0, lookahead=0)
+    lay = series_layout(b, lookback=ema_lookback(fe.EMA_SPANS, fe.MACD), lookahead=0)
     out = add_ema(lay, price="close", spans=fe.EMA_SPANS, macd=fe.MACD)
     cols = [f"ema_{s}" for s in fe.EMA_SPANS] + ["macd", "macd_signal", "macd_histogram"]
     return _rounded(lay.finish(out.select("series", "dt", *cols)))

@@ -57,7 +57,7 @@ def _corr_sql() -> str:
         f"SELECT series, '{c}' AS feature, corr(CAST(\"{c}\" AS DOUBLE), y_day) AS c FROM s WHERE split = 'train' "
         f"GROUP BY series" for c in _CORR_FEATURES)
     return (f"WITH {_SPLIT},\nl AS (SELECT series, feature, CASE WHEN isnan(c) THEN NULL ELSE c END AS c FROM ({rows}) u),\n"
-            "r AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY abs(c) DESC NULLS LAST, feature) AS rk FROM l)\n"
+            "r AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY round(abs(c), 9) DESC NULLS LAST, feature) AS rk FROM l)\n"
             "SELECT series, feature, round(c, 9) AS corr, CAST(rk AS INTEGER) AS rank FROM r WHERE rk <= 12")
 
 

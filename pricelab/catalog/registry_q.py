@@ -131,19 +131,16 @@ def log_runs(spark, sf):
 
 
 @query("union_runs", with_ctes(f"""
-WITH c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY experiment ORDER BY rmse_day ASC NULLS LAST, run_id) AS rk
-  FROM runs WHERE experiment IN ('1-URGENT', '2-HIGH', '5-LOW')) x WHERE rk <= 50)
+WITH c AS (SELECT * FROM runs WHERE experiment IN ('1-URGENT', '2-HIGH', '5-LOW'))
 SELECT model_type, run_id, experiment, value FROM (
   SELECT model_type, run_id, experiment, rmse_day AS value,
     row_number() OVER (PARTITION BY model_type ORDER BY rmse_day, start_time, run_id) AS rn
   FROM c WHERE {_OK}) y WHERE rn = 1""", "runs"), ("ST3", "SRC5", "AG6"))
 def union_runs(spark, sf):
-    """Candidates searched per experiment (best 50 each), unioned, then the best
-    run per model type across them."""
-    from functools import reduce
-    r = _runs(spark, sf)
-    parts = [rg.scan_runs(r, [e], "rmse_next_day", 50).drop("rank") for e in ("1-URGENT", "2-HIGH", "5-LOW")]
-    return rg.best_run_per_type(reduce(lambda a, b: a.unionByName(b), parts))
+    """Candidates of several experiments in one scan, then the best run per model
+    type across them (validity first, no cap)."""
+    r = rg.scan_runs(_runs(spark, sf), ["1-URGENT", "2-HIGH", "5-LOW"], "rmse_next_day", None)
+    return rg.best_run_per_type(r)
 
 
 @query("arima_model_table", None, ("SNK6",))

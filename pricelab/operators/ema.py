@@ -41,6 +41,8 @@ def add_ema(lay: SeriesLayout, df: DataFrame | None = None, price: str = "close"
             spans=(7, 12, 26, 50), macd: tuple[int, int, int] | None = (12, 26, 9),
             prefix: str = "ema_") -> DataFrame:
     """Append ``ema_<span>`` columns (and ``macd, macd_signal, macd_histogram``)."""
+    if lay.halo and lay.lookback < ema_lookback(spans, macd or ()):
+        raise ValueError(f"halo layout looks back {lay.lookback} rows; these spans need {ema_lookback(spans, macd or ())}")
     df = lay.df if df is None else df
     order = list(lay.order)
     names = [f"{prefix}{s}" for s in spans]

@@ -41,6 +41,7 @@ class SeriesLayout:
     order: list[str]
     part: list[str]
     halo: bool
+    lookback: int = 0
 
     def window(self) -> WindowSpec:
         return Window.partitionBy(*self.part).orderBy(*self.order)
@@ -129,7 +130,7 @@ def series_layout(df: DataFrame, series: str = "series", order="dt", lookback: i
                          ).otherwise(targets)
     out = (indexed.select("*", F.explode(targets).alias("_t"))
            .select(*base_cols, POS, F.col("_t.c").alias(CHUNK), F.col("_t.o").alias(OWN)))
-    return SeriesLayout(out, series, order, [series, CHUNK], True)
+    return SeriesLayout(out, series, order, [series, CHUNK], True, lookback)
 
 
 def _index_positions(df: DataFrame, series: str, order: list[str], c_rows: int) -> DataFrame:

@@ -43,13 +43,14 @@ def standard_scale(df: DataFrame, cols: list[str], fit_on: Column | None = None,
 
 def top_k_by_correlation(df: DataFrame, cols: list[str], target: str, k: int = 12,
                          series: str = "series") -> DataFrame:
-    """AG13: features ranked by |corr(feature, target)| per series (ties by name).
+    """AG13: features ranked by |corr(feature, target)| per series, rounded to nine
+    digits so that features equal by definition tie whatever the summation order (ties by name).
     One aggregate pass of all correlations, then a rank over <= len(cols) rows."""
     g = df.groupBy(series).agg(*[F.corr(F.col(c).cast("double"), target).alias(c) for c in cols])
     g = g.select(series, *[F.when(~F.isnan(c), F.col(c)).alias(c) for c in cols])  # constant -> NULL
     lng = g.select(series, F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("corr"))
                                                for c in cols])).alias("r")).select(series, "r.*")
-    w = Window.partitionBy(series).orderBy(F.abs("corr").desc_nulls_last(), F.col("feature"))
+    w = Window.partitionBy(series).orderBy(F.round(F.abs("corr"), 9).desc_nulls_last(), F.col("feature"))
     return lng.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k)
 
 

@@ -79,6 +79,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(current)
         return current
     # Only reached in local tests / bench: a cluster names a shared folder.
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="pricelab-ckpt-", dir=os.environ.get("PRICELAB_SCRATCH", "/tmp"))
     sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)

@@ -33,7 +33,7 @@ def read_bars_csv(spark: SparkSession, path: str, series: str | None = None,
     ts = F.coalesce(F.try_to_timestamp(F.col(f"`{time_col}`")),
                     F.try_to_timestamp(F.col(f"`{time_col}`"), F.lit("yyyy-MM-dd HH:mm:ssXXX")))
     base = raw.select((F.col(f"`{key}`") if key else F.lit(series or "default")).alias("series"), ts.alias("dt"),
-                      *[F.col(f"`{c}`") for c in header if c not in (time_col, key)])
+                      *[F.col(f"`{c}`") for c in header if c not in (time_col, key, "datetime", "Date")])
     norm = normalize_columns(base)
     cols = ["series", "dt"]
     for b in BAR_COLUMNS:
@@ -98,7 +98,8 @@ def flatten_name(name) -> str:
 def normalize_columns(df: DataFrame) -> DataFrame:
     """PF1: keep columns whose name starts with open/high/low/close/volume
     (case-insensitive, so 'Adj Close' is dropped) and rename each by the first
-    of open, high, low, close, volume it contains. Other columns pass through
+    of open, high, low, close, volume it contains. A second column for the same
+    name (another ticker) raises. Other columns pass through
     only if they are the time index ('dt', 'Date', 'datetime', 'series')."""
     keep = []
     taken = set()
@@ -111,7 +112,7 @@ def normalize_columns(df: DataFrame) -> DataFrame:
             continue
         target = next(b for b in BAR_COLUMNS if b in lc)
         if target in taken:
-            continue
+            raise ValueError(f"more than one column for {target} ({c}): read one ticker at a time")
         taken.add(target)
         keep.append(F.col(f"`{c}`").alias(target))
     return df.select(*keep)

@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 ENVELOPE_SCHEMA = ("struct<timestamp_utc:string,interval:string,lookback_days:int,"
                    "tickers:array<string>,data:string>")
-ENVELOPE_SCHEMA_CORRUPT = ENVELOPE_SCHEMA[:-1] + ",_corrupt:string>"
+# Decoding looks at ``data`` only: a wrong type in another field keeps the document.
+DATA_SCHEMA_CORRUPT = "struct<data:string,_corrupt:string>"
 ROW_SCHEMA = "struct<datetime:string,Open:double,High:double,Low:double,Close:double,Volume:double>"
 METADATA_KEYS = ("error", "traceback", "tickers")
 PROCESSED_COLUMNS = ("datetime", "ticker", "open", "high", "low", "close", "volume")
@@ -114,7 +115,7 @@ def _decode(docs: DataFrame) -> DataFrame:
     Output: file_name, key_pos, ticker_raw, row_pos, row (struct), reason."""
     # PERMISSIVE from_json keeps an unreadable file's text in the corrupt-record
     # field; NaN numbers are accepted (the landing writer emits them).
-    env = docs.select("file_name", F.from_json("value", ENVELOPE_SCHEMA_CORRUPT,
+    env = docs.select("file_name", F.from_json("value", DATA_SCHEMA_CORRUPT,
                                                {"columnNameOfCorruptRecord": "_corrupt"}).alias("env"))
     valid = F.col("env._corrupt").isNull() & F.col("env").isNotNull()
     data = F.col("env.data")
@@ -220,7 +221,7 @@ def available_dates(rows: DataFrame) -> DataFrame:
 
 def has_data(docs: DataFrame) -> DataFrame:
     """AG10: per landed document, whether any ticker has >= 1 row; 200 or 207."""
-    env = docs.select("file_name", F.from_json("value", ENVELOPE_SCHEMA).alias("env"))
+    env = docs.select("file_name", F.from_json("value", "struct<data:string>").alias("env"))
     dmap = F.from_json(F.col("env.data"), "map<string,string>")
     sizes = F.transform(F.map_values(dmap), lambda v: F.coalesce(F.size(F.from_json(v, "array<string>")), F.lit(0)))
     any_rows = F.coalesce(F.exists(sizes, lambda n: n > 0), F.lit(False))

@@ -18,7 +18,6 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from ..session import cut_lineage, ensure_checkpoint_dir
 from ..sources import landing
@@ -32,10 +31,16 @@ def _read_stream(spark: SparkSession, root: str, wholetext: bool, glob: str):
     r = spark.readStream.format("text")
     if wholetext:
         r = r.option("wholetext", True)
-    src = r.option("pathGlobFilter", glob).load(os.path.join(root, "*"))
+    # dated landings are folders of folders: raw/YYYY/MM/DD/*.json
+    src = r.option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(root)
     return src.select(F.col("_metadata.file_path").alias("file_name"), "value")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def merge_batch(batch: DataFrame, table_path: str) -> None:
     spark = batch.sparkSession
     rows = landing.parse_raw_payload(batch).withColumn(PART, F.substring("datetime", 1, 7))
@@ -43,11 +48,9 @@ def merge_batch(batch: DataFrame, table_path: str) -> None:
     if not parts:
         return
     merged = rows
-    try:
+    if _exists(spark, table_path):  # an unreadable or changed table must fail, not be overwritten
         old = spark.read.parquet(table_path).where(F.col(PART).isin(*parts))
         merged = rows.unionByName(old.select(*rows.columns))
-    except AnalysisException:  # first batch: no table yet
-        merged = rows
     best = landing.dedup_last(merged.drop(PART), KEYS, ORDER).withColumn(PART, F.substring("datetime", 1, 7))
     best = cut_lineage(best)
     (best.repartition(PART).sortWithinPartitions("ticker", "datetime")
@@ -56,15 +59,19 @@ def merge_batch(batch: DataFrame, table_path: str) -> None:
 
 
 def run_landing_stream(spark: SparkSession, root: str, table_path: str, checkpoint: str | None = None,
-                       wholetext: bool = False, glob: str = "*.txt", timeout_s: int = 600) -> None:
-    """Process everything landed under ``root`` once (availableNow) into ``table_path``."""
+                       wholetext: bool = False, glob: str = "*.txt", timeout_s: int | None = None) -> None:
+    """Process everything landed under ``root`` once (availableNow) into ``table_path``.
+
+    Waits until all of it is processed; a ``timeout_s`` that runs out raises."""
     ckpt = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "landing_stream")
     q = (_read_stream(spark, root, wholetext, glob).writeStream
          .foreachBatch(lambda df, _id: merge_batch(df, table_path))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
-    if q.isActive:
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
+        raise TimeoutError(f"landing stream still running after {timeout_s} s")
     if q.exception():
         raise q.exception()
 
