@@ -88,15 +88,15 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
                     tox.update(feats)
             yield pd.DataFrame({"feature": list(all_), "tox": [tox[f] for f in all_], "total": list(all_.values())})
 
-    # two-proportion z of each feature; the strongest ones are kept
+    # two-proportion z of each feature; the strongest ones that speak for toxicity are
+    # kept, so a text without any of them is clean whatever else it says
     p1, p0 = F.col("tox") / n_tox, (F.col("total") - F.col("tox")) / n_clean
     pool = F.col("total") / (n_tox + n_clean)
     z = (p1 - p0) / F.sqrt(pool * (1.0000001 - pool) * (1 / n_tox + 1 / n_clean))
     strong = (sample.mapInPandas(count, "feature string, tox long, total long").groupBy("feature")
               .agg(F.sum("tox").alias("tox"), F.sum("total").alias("total")).where(F.col("total") >= MIN_DOCS)
-              .withColumn("z", z).where(F.abs("z") >= MIN_Z).orderBy(F.abs("z").desc(), "feature").limit(MAX_FEATURES).collect())
+              .withColumn("z", z).where(F.col("z") >= MIN_Z).orderBy(F.col("z").desc(), "feature").limit(MAX_FEATURES).collect())
     names = [r["feature"] for r in strong]
-    marked = {r["feature"] for r in strong if r["z"] > 0}
     if not names:
         return OrdinalModel()
     index = {f: i for i, f in enumerate(names)}
@@ -109,7 +109,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
                 for w in document_words(text):
                     own = [f for f in word_features(w) if f in index]
                     c.update(index[f] for f in own)
-                    hit += any(f in marked for f in own)
+                    hit += bool(own)
                 ids.append(list(c))
                 vals.append(list(c.values()))
                 hits.append(hit)
