@@ -23,8 +23,6 @@ other columns pass through.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 
@@ -38,7 +36,6 @@ BANDS, ROWS = 12, 4
 BINS = 64                       # one-permutation bins; BANDS * ROWS of them are used
 _U = np.uint64
 _TO_LOWER_SPACE = bytes.maketrans(bytes(range(65, 91)) + b"\t\v\f\r", bytes(range(97, 123)) + b"    ")
-_RUNS, _EDGES = re.compile(rb"  +"), re.compile(rb" ?\n ?")
 
 
 def normalised_lines(raw: np.ndarray, offs: np.ndarray):
@@ -47,10 +44,12 @@ def normalised_lines(raw: np.ndarray, offs: np.ndarray):
     n_rows = len(offs) - 1
     whole = raw.tobytes()
     data = b"\n".join([whole[offs[r]:offs[r + 1]] for r in range(n_rows)]) + b"\n"
-    number = np.concatenate([[0], np.cumsum(raw == 10)])
-    lines = number[offs[1:]] - number[offs[:-1]] + 1            # of each row, blank ones too
-    data = _RUNS.sub(b" ", data.translate(_TO_LOWER_SPACE))
-    b = np.frombuffer(_EDGES.sub(b"\n", data).lstrip(b" "), np.uint8)
+    number = np.searchsorted(np.flatnonzero(raw == 10), offs)
+    lines = np.diff(number) + 1                                 # of each row, blank ones too
+    data = data.translate(_TO_LOWER_SPACE)
+    while b"  " in data:
+        data = data.replace(b"  ", b" ")
+    b = np.frombuffer(data.replace(b" \n", b"\n").replace(b"\n ", b"\n").lstrip(b" "), np.uint8)
     ends = np.flatnonzero(b == 10)
     starts = np.concatenate([[0], ends[:-1] + 1])
     row = np.repeat(np.arange(n_rows), lines)
@@ -65,20 +64,25 @@ def shingle_hashes(b: np.ndarray, starts: np.ndarray, ends: np.ndarray):
     width = ends - starts
     count = np.maximum(width - SHINGLE + 1, 1)
     ptr = np.concatenate([[0], np.cumsum(count)])
-    grams = C.gram_hashes(b, SHINGLE)
+    # eight bytes are one integer; the mixer is one to one, so equal hashes are equal shingles
+    grams = np.ndarray(max(len(b) - SHINGLE + 1, 0), "<u8", b, 0, (1,)) * _U(0x9E3779B97F4A7C15)
+    grams ^= grams >> _U(32)
+    grams *= _U(0xD6E8FEB86659FD93)
+    grams ^= grams >> _U(29)
     edge = np.zeros(len(b) + 1, np.int8)                       # 1 where a shingle of a line may start
     long = width >= SHINGLE
     edge[starts[long]] += 1
     edge[starts[long] + count[long]] -= 1
+    inside = np.cumsum(edge[:len(grams)], dtype=np.int8).view(bool)
     out = np.empty(ptr[-1], np.uint64)
     few = np.flatnonzero(~long)
     if len(few):
         wide = np.ones(ptr[-1], bool)
         wide[ptr[few]] = False
-        out[wide] = grams[np.cumsum(edge[:len(grams)]).astype(bool)]
+        out[wide] = grams[inside]
         out[ptr[few]] = C.span_hashes(b, starts[few], ends[few])
     else:
-        out[:] = grams[np.cumsum(edge[:len(grams)]).astype(bool)]
+        out[:] = grams[inside]
     return out, ptr
 
 
@@ -90,14 +94,15 @@ def signatures(hashes: np.ndarray, ptr: np.ndarray) -> np.ndarray:
     slot = np.repeat(np.arange(lines), np.diff(ptr)) * BINS + (hashes >> _U(58)).astype(np.int64)
     np.minimum.at(sig, slot, hashes)
     sig = sig.reshape(lines, BINS)
-    empty = sig == ~_U(0)
+    full = sig != ~_U(0)
     far = np.zeros(sig.shape, np.uint64)
-    while empty.any():
-        take = np.roll(sig, -1, 1)
-        step = np.roll(far, -1, 1) + _U(1)
-        ready = empty & ~np.roll(empty, -1, 1)
-        sig[ready], far[ready] = take[ready], step[ready]
-        empty &= ~ready
+    gaps = np.flatnonzero(~full.all(1))
+    if len(gaps):
+        place = np.where(full[gaps], np.arange(BINS, dtype=np.int16), np.int16(2 * BINS))
+        place = np.concatenate([place, place + np.int16(BINS)], 1)          # bins go round
+        follow = np.minimum.accumulate(place[:, ::-1], 1)[:, ::-1][:, :BINS].astype(np.int64)
+        far[gaps] = follow - np.arange(BINS)
+        sig[gaps] = np.take_along_axis(sig[gaps], follow % BINS, 1)
     return sig + far * _U(0x9E3779B97F4A7C15)
 
 
