@@ -56,6 +56,13 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete shuffle and checkpoint files that nothing refers to: its
+    cleaner acts when the driver's JVM collects garbage, which iterative jobs reach
+    long after their files have filled the disks."""
+    spark.sparkContext._jvm.System.gc()
+
+
 # ---------------------------------------------------------------- numpy on text
 
 _U = np.uint64
@@ -336,23 +343,28 @@ def components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     e = cut(edges.where(F.col("a") != F.col("b"))
             .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     for _ in range(max_rounds):
+        if all_stars(e):
+            release(e.sparkSession)
+            return e.select(F.col("u").alias("id"), F.col("v").alias("comp"))
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         # large star: every larger neighbour of u hangs on the smallest one
         large = (both.where(F.col("v") > F.col("u")).join(low, "u")
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).where(F.col("u") != F.col("v")).distinct())
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")).where(F.col("u") != F.col("v")))
         # small star: u and its smaller neighbours hang on the smallest one
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        nxt = (large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where(F.col("u") != F.col("v"))
-               .union(least.select("u", F.col("m").alias("v"))).distinct())
-        nxt = cut(nxt)
-        stat = [F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))]
-        if e.agg(*stat).first() == nxt.agg(*stat).first():
-            break
-        e = nxt
-    else:
-        raise RuntimeError("components did not settle")
-    return nxt.select(F.col("u").alias("id"), F.col("v").alias("comp"))
+        e = cut(large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where(F.col("u") != F.col("v"))
+                .union(least.select("u", F.col("m").alias("v"))).distinct())
+    raise RuntimeError("components did not settle")
+
+
+def all_stars(e: DataFrame) -> bool:
+    """Whether every id of ``e (u, v)`` is either a centre ``v`` or hangs on exactly
+    one: then the components are found, and no further round is needed."""
+    ends = (e.select(F.col("u").alias("id"), F.lit(1).alias("hangs"), F.lit(0).alias("centre"))
+            .union(e.select(F.col("v").alias("id"), F.lit(0).alias("hangs"), F.lit(1).alias("centre"))))
+    mixed = ends.groupBy("id").agg(F.sum("hangs").alias("hangs"), F.max("centre").alias("centre"))
+    return mixed.where("hangs + centre > 1").isEmpty()
 
 
 def link_components(sets: DataFrame, to_set, similar, tile: int = 2048, rounds: int = 5) -> DataFrame:
@@ -374,7 +386,7 @@ def link_components(sets: DataFrame, to_set, similar, tile: int = 2048, rounds:
     keys = sets.select("sid", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo <> hi").select("key")
     keys = cut(keys.join(shared, "key", "left_semi"))
-    keyed, links, seen, comp = keys.withColumn("comp", F.col("sid")), None, None, None
+    keyed, seen, comp = keys.withColumn("comp", F.col("sid")), None, None
     for r in range(rounds):
         score = F.col("sid") if r == 0 else F.xxhash64("sid", F.lit(r))
         pivots = (keyed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct(score.alias("s"), "sid", "comp")).alias("p"))
@@ -386,11 +398,13 @@ def link_components(sets: DataFrame, to_set, similar, tile: int = 2048, rounds:
         found = cut(verify_pairs(star, sets, to_set, similar))
         seen = star if seen is None else seen.union(star)
         fresh = found.count()
-        links = found if links is None else links.union(found)
         if fresh or comp is None:
-            comp = components(links)
+            comp = components(found if comp is None else comp.toDF("a", "b").union(found))
             keyed = cut(keys.join(comp.withColumnRenamed("id", "sid"), "sid", "left").select("key", "sid", F.coalesce("comp", "sid").alias("comp")))
-        if fresh * 50 < star.count() or not fresh:
+        tried = star.count()
+        del pivots, choice, star, found
+        release(sets.sparkSession)
+        if fresh * 50 < tried or not fresh:
             break
 
     mixed = keyed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi")
@@ -399,7 +413,7 @@ def link_components(sets: DataFrame, to_set, similar, tile: int = 2048, rounds:
     pairs = tile_pairs(rest.join(slim, "sid"), similar, tile)
     more = cut(verify_pairs(pairs.join(seen, ["a", "b"], "left_anti"), sets, to_set, similar))
     if not more.isEmpty():
-        comp = components(links.union(more))
+        comp = components(comp.toDF("a", "b").union(more))
     return comp.select(F.col("id").alias("sid"), "comp")
 
 

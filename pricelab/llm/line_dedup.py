@@ -200,8 +200,8 @@ def dedup_lines(docs: DataFrame, counts: tuple[str, str] = ("n_lines", "n_remove
     shared = C.shared_hashes(packed, _group_values, groups, C.GROUP_BYTES // 25)
     cand = C.written(packed.groupBy("g").cogroup(shared.groupBy("g")).applyInArrow(
         _candidates, "g int, line long, doc_id long, row int, no int, n int, keys array<long>, bitmap binary, payload binary"))
+    C.release(spark)
     place = F.struct("doc_id", "row", "no", "g")
-
     sets = C.written(cand.where(F.size("keys") > 0).groupBy(F.col("line").alias("sid"))
                      .agg(F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("bitmap").alias("bitmap"), F.first("payload").alias("payload")))
     comp = C.link_components(sets, line_set, C.jaccard_80)
