@@ -385,8 +385,7 @@ def link_components(sets: DataFrame, to_set, similar, tile: int = 2048, rounds:
     that is not in one component. Returns (sid, comp) for components of two or more."""
     keys = sets.select("sid", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo <> hi").select("key")
-    keys = cut(keys.join(shared, "key", "left_semi"))
-    keyed, seen, comp = keys.withColumn("comp", F.col("sid")), None, None
+    keyed, seen, comp = cut(keys.join(shared, "key", "left_semi")).withColumn("comp", F.col("sid")), None, None
     for r in range(rounds):
         score = F.col("sid") if r == 0 else F.xxhash64("sid", F.lit(r))
         pivots = (keyed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min(F.struct(score.alias("s"), "sid", "comp")).alias("p"))
@@ -400,7 +399,11 @@ def link_components(sets: DataFrame, to_set, similar, tile: int = 2048, rounds:
         fresh = found.count()
         if fresh or comp is None:
             comp = components(found if comp is None else comp.toDF("a", "b").union(found))
-            keyed = cut(keys.join(comp.withColumnRenamed("id", "sid"), "sid", "left").select("key", "sid", F.coalesce("comp", "sid").alias("comp")))
+            # a key whose sets are in one component stays so: only the others go on
+            now = keyed.drop("comp").join(comp.withColumnRenamed("id", "sid"), "sid", "left").select("key", "sid", F.coalesce("comp", "sid").alias("comp"))
+            apart = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+            keyed = cut(now.join(apart, "key", "left_semi"))
+            del now, apart
         tried = star.count()
         del pivots, choice, star, found
         release(sets.sparkSession)
