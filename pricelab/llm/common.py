@@ -367,11 +367,11 @@ def all_stars(e: DataFrame) -> bool:
     return mixed.where("hangs + centre > 1").isEmpty()
 
 
-def link_components(sets: DataFrame, to_set, similar, tile: int = 2048, rounds: int = 5) -> DataFrame:
+def link_components(sets: DataFrame, to_set, similar, tile: int = 2048, rounds: int = 5, carry: bool = False) -> DataFrame:
     """Exact components of the sets that share a key and are ``similar``.
 
-    ``sets``: (sid long, n int, keys array<long>, bitmap binary, payload binary),
-    one row per distinct set, already written out. ``to_set(payload)`` gives the
+    ``sets``: (sid long, n int, keys array<long>, payload binary; bitmap binary unless
+    ``carry``), one row per distinct set, already written out. ``to_set(payload)`` gives the
     sorted distinct uint64 values, ``similar(inter, na, nb)`` the exact test.
 
     1. Stars: each set is verified against one pivot that shares a key with it and
@@ -379,11 +379,14 @@ def link_components(sets: DataFrame, to_set, similar, tile: int = 2048, rounds:
        still apart) other ones chosen by a hash; components of all links so far.
     2. Rest: keys whose sets are still in different components. Their sets meet
        in size-banded tiles of bounded size; bitmap bit counts bound each
-       overlap from above, and the surviving pairs are verified exactly.
+       overlap from above, and the surviving pairs are verified exactly: after the
+       tiles, or with ``carry`` (small payloads, few keys a set) inside them, so that
+       a tile returns links that join components there, fewer than its rows, however
+       many near misses meet in it. Stars then end as soon as every key fits a tile.
     Pairs inside one component need no test, so large groups of copies cost
     linear work. The stars only save work: the rest covers every pair of a key
     that is not in one component. Returns (sid, comp) for components of two or more."""
-    keys = sets.select("sid", F.explode("keys").alias("key"))
+    keys = sets.select("sid", "n", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo <> hi").select("key")
     keyed, seen, comp = cut(keys.join(shared, "key", "left_semi")).withColumn("comp", F.col("sid")), None, None
     for r in range(rounds):
@@ -400,7 +403,7 @@ def link_components(sets: DataFrame, to_set, similar, tile: int = 2048, rounds:
         if fresh or comp is None:
             comp = components(found if comp is None else comp.toDF("a", "b").union(found))
             # a key whose sets are in one component stays so: only the others go on
-            now = keyed.drop("comp").join(comp.withColumnRenamed("id", "sid"), "sid", "left").select("key", "sid", F.coalesce("comp", "sid").alias("comp"))
+            now = keyed.drop("comp").join(comp.withColumnRenamed("id", "sid"), "sid", "left").select("key", "sid", "n", F.coalesce("comp", "sid").alias("comp"))
             apart = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
             keyed = cut(now.join(apart, "key", "left_semi"))
             del now, apart
@@ -409,12 +412,16 @@ def link_components(sets: DataFrame, to_set, similar, tile: int = 2048, rounds:
         release(sets.sparkSession)
         if fresh * 50 < tried or not fresh:
             break
+        if carry and keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > tile).isEmpty():
+            break
 
-    mixed = keyed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi")
-    rest = keyed.join(mixed.select("key", "size"), "key")
-    slim = sets.select("sid", "n", "bitmap")
-    pairs = tile_pairs(rest.join(slim, "sid"), similar, tile)
-    more = cut(verify_pairs(pairs.join(seen, ["a", "b"], "left_anti"), sets, to_set, similar))
+    mixed = keyed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight")).where("lo <> hi")
+    rest = keyed.join(mixed.select("key", "size", "weight"), "key")
+    if carry:
+        more = cut(tile_links(rest, sets, to_set, similar, tile))
+    else:
+        pairs = tile_pairs(rest.join(sets.select("sid", "bitmap"), "sid"), similar, tile)
+        more = cut(verify_pairs(pairs.join(seen, ["a", "b"], "left_anti"), sets, to_set, similar))
     if not more.isEmpty():
         comp = components(comp.toDF("a", "b").union(more))
     return comp.select(F.col("id").alias("sid"), "comp")
@@ -443,10 +450,10 @@ def verify_pairs(pairs: DataFrame, sets: DataFrame, to_set, similar) -> DataFram
 BITMAP_BITS = 1024
 
 
-def bitmap(values: np.ndarray) -> bytes:
-    """Hashed bitmap signature of a set."""
-    out = np.zeros(BITMAP_BITS, bool)
-    out[(mix(values) >> _U(64 - 10)).astype(np.int64)] = True
+def bitmap(values: np.ndarray, bits: int = BITMAP_BITS) -> bytes:
+    """Hashed bitmap signature of a set; ``bits`` is a power of two."""
+    out = np.zeros(bits, bool)
+    out[(mix(values) >> _U(65 - bits.bit_length())).astype(np.int64)] = True
     return np.packbits(out).tobytes()
 
 
@@ -502,6 +509,77 @@ def tile_pairs(rest: DataFrame, similar, tile: int) -> DataFrame:
     return dealt.groupBy("lot").applyInArrow(test, "a long, b long").distinct()
 
 
+LOT_ROWS = 4000
+TILE_VALUES = 2 << 20           # set values on one side of a tile
+WIDE_BITS = 4096
+
+
+def tile_links(rest: DataFrame, sets: DataFrame, to_set, similar, tile: int) -> DataFrame:
+    """Verified links between different components, found inside the tiles.
+
+    ``rest``: (key, sid, comp, size, weight, n), ``weight`` the sum of n over the key;
+    ``sets``: (sid, payload). A key of up to ``tile`` rows and ``TILE_VALUES`` set values is one tile; a
+    larger one is banded by size (base 1.26, so partners of similarity 0.8 are one
+    band apart at most) and cut into blocks, every pair of blocks being a tile.
+    A tile links its components like a union-find does, so it returns fewer links
+    than it has rows; which ones depends on the order of rows, what they join
+    does not."""
+    blocks = F.greatest(F.ceil(F.col("size") / tile), F.ceil(F.col("weight") / F.lit(TILE_VALUES))).cast("int")
+    own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
+    band = F.floor(F.log(F.greatest(F.col("n"), F.lit(1)).cast("double")) / F.log(F.lit(1.26))).cast("int")
+    cut_up = F.col("blocks") > 1
+    rest = rest.withColumn("blocks", blocks)
+    copies = F.when(cut_up, 2 * F.col("blocks")).otherwise(1)
+    total = rest.agg(F.sum(copies), F.sum(copies * F.col("n"))).first()
+    lots = max(1, (total[0] or 0) // LOT_ROWS, (total[1] or 0) // TILE_VALUES)
+    dealt = (rest.join(sets.select("sid", "payload"), "sid").withColumn("own", own)
+             .withColumn("band", F.explode(F.when(cut_up, F.array(band, band + 1)).otherwise(F.array(F.lit(0)))))
+             .withColumn("home", ~cut_up | (F.col("band") == band))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+             .select(F.xxhash64("key", "band", "i", "j").alias("tile"), "i", "j", "own", "home", "sid", "comp", "n", "payload"))
+
+    def link(key, t):
+        tiles = t.column("tile").to_numpy()
+        order = np.argsort(tiles, kind="stable")
+        home = t.column("home").to_numpy(zero_copy_only=False)[order]
+        i, j, sid, comp, n, own = (t.column(c).to_numpy()[order] for c in ("i", "j", "sid", "comp", "n", "own"))
+        names, first, which = np.unique(t.column("sid").to_numpy(), return_index=True, return_inverse=True)
+        which = which[order]
+        payload = t.column("payload")
+        sets = [to_set(payload[int(x)].as_py()) for x in first]
+        bits = np.frombuffer(b"".join([bitmap(x, WIDE_BITS) for x in sets]), np.uint64).reshape(len(names), -1)
+        cuts = np.append(np.flatnonzero(np.diff(tiles[order], prepend=tiles[order][0] - 1)), len(sid))
+        left, right = [], []
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            label = comp[lo:hi].copy()
+            if hi - lo < 2 or (label == label[0]).all():
+                continue
+            here, m_ = bits[which[lo:hi]], n[lo:hi]
+            for x in np.flatnonzero(home[lo:hi]):
+                m = (label != label[x]) & (~home[lo:hi] | (sid[lo:hi] > sid[lo + x])) & similar(np.minimum(m_[x], m_), m_[x], m_)
+                if i[lo] != j[lo]:
+                    m &= own[lo:hi] != own[lo + x]
+                y = np.flatnonzero(m)
+                if not len(y):
+                    continue
+                bound = np.minimum(m_[x] - np.bitwise_count(here[x] & ~here[y]).sum(1, dtype=np.int64),
+                                   m_[y] - np.bitwise_count(here[y] & ~here[x]).sum(1, dtype=np.int64))
+                mine = sets[which[lo + x]]
+                for z in y[similar(bound, m_[x], m_[y])]:
+                    if label[z] == label[x]:
+                        continue
+                    inter = len(np.intersect1d(mine, sets[which[lo + z]], assume_unique=True))
+                    if similar(inter, m_[x], m_[z]):
+                        label[label == label[z]] = label[x]
+                        left.append(min(sid[lo + x], sid[lo + z]))
+                        right.append(max(sid[lo + x], sid[lo + z]))
+        return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+
+    return (dealt.withColumn("lot", F.pmod(F.xxhash64("tile"), F.lit(lots))).groupBy("lot")
+            .applyInArrow(link, "a long, b long").distinct())
+
+
 def jaccard_80(inter, na, nb):
     """100 * intersection >= 80 * union, in integers."""
     return 100 * inter >= 80 * (na + nb - inter)

@@ -144,12 +144,12 @@ def _group_values(rows: pa.Table):
 
 
 _CAND = pa.schema([("g", pa.int32()), ("line", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int32()), ("no", pa.int32()),
-                   ("n", pa.int32()), ("keys", pa.list_(pa.int64())), ("bitmap", pa.binary()), ("payload", pa.binary())])
+                   ("n", pa.int32()), ("keys", pa.list_(pa.int64())), ("payload", pa.binary())])
 
 
 def _candidates(key, left, right):
     """The lines of a group with a shared key, once per text: first place, set size,
-    shared band keys, bitmap and normalised text."""
+    shared band keys and normalised text."""
     if not left.num_rows:
         return _CAND.empty_table()
     shared, _ = C.read_answers(right)
@@ -173,11 +173,11 @@ def _candidates(key, left, right):
                 continue
             best[name] = here
             values = np.unique(hashes[ptr[i]:ptr[i + 1]])
-            out[name] = (len(values), C.signed(keys[i][hit[i]]), C.bitmap(values), b[s[at[i]]:e[at[i]]].tobytes())
+            out[name] = (len(values), C.signed(keys[i][hit[i]]), b[s[at[i]]:e[at[i]]].tobytes())
     cols = {c: [] for c in _CAND.names}
-    for name, (n, k, bits, text) in out.items():
+    for name, (n, k, text) in out.items():
         signed = name - (1 << 64) if name >> 63 else name
-        for c, v in zip(cols, (key[0].as_py(), signed, *best[name], n, k, bits, text)):
+        for c, v in zip(cols, (key[0].as_py(), signed, *best[name], n, k, text)):
             cols[c].append(v)
     return pa.table(cols, schema=_CAND)
 
@@ -199,12 +199,12 @@ def dedup_lines(docs: DataFrame, counts: tuple[str, str] = ("n_lines", "n_remove
     packed = C.text_groups(docs, groups)
     shared = C.shared_hashes(packed, _group_values, groups, C.GROUP_BYTES // 25)
     cand = C.written(packed.groupBy("g").cogroup(shared.groupBy("g")).applyInArrow(
-        _candidates, "g int, line long, doc_id long, row int, no int, n int, keys array<long>, bitmap binary, payload binary"))
+        _candidates, "g int, line long, doc_id long, row int, no int, n int, keys array<long>, payload binary"))
     C.release(spark)
     place = F.struct("doc_id", "row", "no", "g")
     sets = C.written(cand.where(F.size("keys") > 0).groupBy(F.col("line").alias("sid"))
-                     .agg(F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("bitmap").alias("bitmap"), F.first("payload").alias("payload")))
-    comp = C.link_components(sets, line_set, C.jaccard_80)
+                     .agg(F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("payload").alias("payload")))
+    comp = C.link_components(sets, line_set, C.jaccard_80, carry=True)
     of = C.cut(cand.select("g", "line", "doc_id", "row", "no").join(comp.withColumnRenamed("sid", "line"), "line", "left")
                .withColumn("comp", F.coalesce("comp", "line")))
     keeper = of.groupBy("comp").agg(F.min(place).alias("k"))

@@ -120,6 +120,24 @@ def test_tile_pairs_cut_into_blocks(spark):
     assert want <= got and all(a < b for a, b in got)
 
 
+def test_tile_links_join_what_all_pairs_join(spark, monkeypatch):
+    """One key over blocks of three rows, of few values, or uncut: the verified links
+    join what all similar pairs join, and stay fewer than the rows of the tiles."""
+    sets = [np.sort(C.mix(np.arange(a, a + n, dtype=np.uint64))) for a, n in [(0, 20), (1, 20), (2, 21), (3, 20), (6, 20), (200, 20), (201, 19), (0, 16), (0, 24), (400, 1), (400, 1)]]
+    frame = spark.createDataFrame([(i, bytearray(C.pack_u64(s))) for i, s in enumerate(sets)], "sid long, payload binary")
+    rows = [(7, i, i, len(sets), sum(map(len, sets)), len(s)) for i, s in enumerate(sets)]
+    rest = spark.createDataFrame(rows, "key long, sid long, comp long, size long, weight long, n int")
+    near = lambda a, b: C.jaccard_80(len(np.intersect1d(sets[a], sets[b])), len(sets[a]), len(sets[b]))
+    want = components(range(len(sets)), near)
+    for tile, values in ((3, C.TILE_VALUES), (2048, 40), (2048, C.TILE_VALUES)):
+        monkeypatch.setattr(C, "TILE_VALUES", values)
+        links = {(r.a, r.b) for r in C.tile_links(rest, frame, C.unpack_u64, C.jaccard_80, tile).collect()}
+        assert all(near(a, b) for a, b in links)
+        assert components(range(len(sets)), lambda a, b: (a, b) in links or (b, a) in links) == want
+        if tile == 2048 and values > 40:
+            assert len(links) == len(sets) - len(set(want.values()))
+
+
 def test_keep_first(spark):
     out = ngram_join.keep_first(odd(spark))
     ids = sorted(r.doc_id for r in out.collect() if r.doc_id is not None)
