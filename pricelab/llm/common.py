@@ -367,11 +367,11 @@ def all_stars(e: DataFrame) -> bool:
     return mixed.where("hangs + centre > 1").isEmpty()
 
 
-def link_components(sets: DataFrame, to_set, similar, tile: int = 2048, rounds: int = 5, carry: bool = False) -> DataFrame:
+def link_components(sets: DataFrame, to_set, similar, tile: int = 2048, rounds: int = 5, to_values=None) -> DataFrame:
     """Exact components of the sets that share a key and are ``similar``.
 
     ``sets``: (sid long, n int, keys array<long>, payload binary; bitmap binary unless
-    ``carry``), one row per distinct set, already written out. ``to_set(payload)`` gives the
+    ``to_values``), one row per distinct set, already written out. ``to_set(payload)`` gives the
     sorted distinct uint64 values, ``similar(inter, na, nb)`` the exact test.
 
     1. Stars: each set is verified against one pivot that shares a key with it and
@@ -380,7 +380,7 @@ def link_components(sets: DataFrame, to_set, similar, tile: int = 2048, rounds:
     2. Rest: keys whose sets are still in different components. Their sets meet
        in size-banded tiles of bounded size; bitmap bit counts bound each
        overlap from above, and the surviving pairs are verified exactly: after the
-       tiles, or with ``carry`` (small payloads, few keys a set) inside them, so that
+       tiles, or with ``to_values`` (for small payloads and few keys a set) inside them, so that
        a tile returns links that join components there, fewer than its rows, however
        many near misses meet in it. Stars then end as soon as every key fits a tile.
     Pairs inside one component need no test, so large groups of copies cost
@@ -412,13 +412,13 @@ def link_components(sets: DataFrame, to_set, similar, tile: int = 2048, rounds:
         release(sets.sparkSession)
         if fresh * 50 < tried or not fresh:
             break
-        if carry and keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > tile).isEmpty():
+        if to_values and keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > tile).isEmpty():
             break
 
     mixed = keyed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight")).where("lo <> hi")
     rest = keyed.join(mixed.select("key", "size", "weight"), "key")
-    if carry:
-        more = cut(tile_links(rest, sets, to_set, similar, tile))
+    if to_values:
+        more = cut(tile_links(rest, sets, to_values, similar, tile))
     else:
         pairs = tile_pairs(rest.join(sets.select("sid", "bitmap"), "sid"), similar, tile)
         more = cut(verify_pairs(pairs.join(seen, ["a", "b"], "left_anti"), sets, to_set, similar))
@@ -514,7 +514,19 @@ TILE_VALUES = 2 << 20           # set values on one side of a tile
 WIDE_BITS = 4096
 
 
-def tile_links(rest: DataFrame, sets: DataFrame, to_set, similar, tile: int) -> DataFrame:
+def bitmaps(hashes: np.ndarray, ptr: np.ndarray, bits: int) -> np.ndarray:
+    """``bitmap`` of many sets ``hashes[ptr[i]:ptr[i + 1]]`` (repeats allowed), one row each."""
+    step, out = 512, []
+    for lo in range(0, len(ptr) - 1, step):
+        hi = min(lo + step, len(ptr) - 1)
+        own = hashes[ptr[lo]:ptr[hi]]
+        mark = np.zeros((hi - lo) * bits, bool)
+        mark[np.repeat(np.arange(hi - lo) * bits, np.diff(ptr[lo:hi + 1])) + (mix(own) >> _U(65 - bits.bit_length())).astype(np.int64)] = True
+        out.append(np.packbits(mark).view(np.uint64).reshape(hi - lo, -1))
+    return np.concatenate(out)
+
+
+def tile_links(rest: DataFrame, sets: DataFrame, to_values, similar, tile: int) -> DataFrame:
     """Verified links between different components, found inside the tiles.
 
     ``rest``: (key, sid, comp, size, weight, n), ``weight`` the sum of n over the key;
@@ -546,9 +558,15 @@ def tile_links(rest: DataFrame, sets: DataFrame, to_set, similar, tile: int) ->
         i, j, sid, comp, n, own = (t.column(c).to_numpy()[order] for c in ("i", "j", "sid", "comp", "n", "own"))
         names, first, which = np.unique(t.column("sid").to_numpy(), return_index=True, return_inverse=True)
         which = which[order]
-        payload = t.column("payload")
-        sets = [to_set(payload[int(x)].as_py()) for x in first]
-        bits = np.frombuffer(b"".join([bitmap(x, WIDE_BITS) for x in sets]), np.uint64).reshape(len(names), -1)
+        hashes, ptr = to_values(t.column("payload").take(pa.array(first)).to_pylist())
+        bits = bitmaps(hashes, ptr, WIDE_BITS)
+        sets: dict[int, np.ndarray] = {}
+
+        def values(k):
+            if k not in sets:
+                sets[k] = np.unique(hashes[ptr[k]:ptr[k + 1]])
+            return sets[k]
+
         cuts = np.append(np.flatnonzero(np.diff(tiles[order], prepend=tiles[order][0] - 1)), len(sid))
         left, right = [], []
         for lo, hi in zip(cuts[:-1], cuts[1:]):
@@ -565,12 +583,12 @@ def tile_links(rest: DataFrame, sets: DataFrame, to_set, similar, tile: int) ->
                     continue
                 bound = np.minimum(m_[x] - np.bitwise_count(here[x] & ~here[y]).sum(1, dtype=np.int64),
                                    m_[y] - np.bitwise_count(here[y] & ~here[x]).sum(1, dtype=np.int64))
-                mine = sets[which[lo + x]]
                 for z in y[similar(bound, m_[x], m_[y])]:
                     if label[z] == label[x]:
                         continue
-                    inter = len(np.intersect1d(mine, sets[which[lo + z]], assume_unique=True))
-                    if similar(inter, m_[x], m_[z]):
+                    mine, other = values(which[lo + x]), values(which[lo + z])
+                    inter = len(np.intersect1d(mine, other, assume_unique=True))
+                    if similar(inter, len(mine), len(other)):
                         label[label == label[z]] = label[x]
                         left.append(min(sid[lo + x], sid[lo + z]))
                         right.append(max(sid[lo + x], sid[lo + z]))

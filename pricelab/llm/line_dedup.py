@@ -147,6 +147,17 @@ _CAND = pa.schema([("g", pa.int32()), ("line", pa.int64()), ("doc_id", pa.int64(
                    ("n", pa.int32()), ("keys", pa.list_(pa.int64())), ("payload", pa.binary())])
 
 
+def distinct_counts(hashes: np.ndarray, ptr: np.ndarray) -> np.ndarray:
+    """How many distinct values each ``hashes[ptr[i]:ptr[i + 1]]`` has: one sort of all
+    lines' values, each under its line's number."""
+    lines = len(ptr) - 1
+    bits = max(1, int(lines).bit_length())
+    line = np.repeat(np.arange(lines, dtype=np.uint64), np.diff(ptr))
+    v = np.sort((line << _U(64 - bits)) | (hashes >> _U(bits)))
+    new = np.concatenate([[True], v[1:] != v[:-1]])
+    return np.bincount((v[new] >> _U(64 - bits)).astype(np.int64), minlength=lines)
+
+
 def _candidates(key, left, right):
     """The lines of a group with a shared key, once per text: first place, set size,
     shared band keys and normalised text."""
@@ -155,31 +166,32 @@ def _candidates(key, left, right):
     shared, _ = C.read_answers(right)
     rows = C.group_rows(left)
     ids = C.id_array(rows.column("doc_id"))
-    best: dict[int, tuple] = {}
-    out: dict[int, tuple] = {}
+    parts = []
     for b, s, e, row, no, h in _lines(rows):
         place = np.lexsort((no, row, ids[row]))
         u, at = np.unique(h[place], return_index=True)
         by = np.argsort(place[at])
         u, at = u[by], place[at][by]
-        equal = C.lookup(C.mix(u), shared)[1]
         hashes, ptr = shingle_hashes(b, s[at], e[at])
         keys = band_keys(signatures(hashes, ptr))
         hit = C.lookup(keys.ravel(), shared)[1].reshape(keys.shape)
-        for i in np.flatnonzero(equal | hit.any(1)):
-            name, here = int(u[i]), (int(ids[row[at[i]]]), int(row[at[i]]), int(no[at[i]]))
-            if name in best:
-                best[name] = min(best[name], here)
-                continue
-            best[name] = here
-            values = np.unique(hashes[ptr[i]:ptr[i + 1]])
-            out[name] = (len(values), C.signed(keys[i][hit[i]]), b[s[at[i]]:e[at[i]]].tobytes())
-    cols = {c: [] for c in _CAND.names}
-    for name, (n, k, text) in out.items():
-        signed = name - (1 << 64) if name >> 63 else name
-        for c, v in zip(cols, (key[0].as_py(), signed, *best[name], n, k, text)):
-            cols[c].append(v)
-    return pa.table(cols, schema=_CAND)
+        some = C.lookup(C.mix(u), shared)[1] | hit.any(1)
+        if not some.any():
+            continue
+        n, at, keys, hit = distinct_counts(hashes, ptr)[some], at[some], keys[some], hit[some]
+        ends = np.concatenate([[0], np.cumsum(hit.sum(1))])
+        text = b.tobytes()
+        parts.append(pa.table([pa.array(np.full(len(at), key[0].as_py(), np.int32)), pa.array(C.signed(u[some])), pa.array(ids[row[at]]),
+                               pa.array(row[at].astype(np.int32)), pa.array(no[at].astype(np.int32)), pa.array(n.astype(np.int32)),
+                               pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(C.signed(keys[hit]))),
+                               pa.array([text[x:y] for x, y in zip(s[at].tolist(), e[at].tolist())], pa.binary())], schema=_CAND))
+    if not parts:
+        return _CAND.empty_table()
+    # of a text that several chunks hold, the first place
+    tab = pa.concat_tables(parts)
+    line, doc, row, no = (tab.column(c).to_numpy() for c in ("line", "doc_id", "row", "no"))
+    order = np.lexsort((no, row, doc, line))
+    return tab.take(pa.array(order[np.diff(line[order], prepend=line[order[0]] - 1) != 0]))
 
 
 def line_set(payload: bytes) -> np.ndarray:
@@ -188,6 +200,13 @@ def line_set(payload: bytes) -> np.ndarray:
     return np.unique(shingle_hashes(b, np.array([0]), np.array([len(b)]))[0])
 
 
+def line_values(payloads: list[bytes]):
+    """``(hashes, ptr)``: the shingle hashes of many normalised lines, not yet distinct."""
+    ends = np.cumsum([len(x) + 1 for x in payloads]) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    return shingle_hashes(np.frombuffer(b"\n".join(payloads) + b"\n", np.uint8), starts, ends)
+
+
 def dedup_lines(docs: DataFrame, counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
     """``docs`` with duplicate lines taken out of ``text`` and two more columns:
     non-blank lines before and lines removed (named by ``counts``)."""
@@ -204,7 +223,7 @@ def dedup_lines(docs: DataFrame, counts: tuple[str, str] = ("n_lines", "n_remove
     place = F.struct("doc_id", "row", "no", "g")
     sets = C.written(cand.where(F.size("keys") > 0).groupBy(F.col("line").alias("sid"))
                      .agg(F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("payload").alias("payload")))
-    comp = C.link_components(sets, line_set, C.jaccard_80, carry=True)
+    comp = C.link_components(sets, line_set, C.jaccard_80, to_values=line_values)
     of = C.cut(cand.select("g", "line", "doc_id", "row", "no").join(comp.withColumnRenamed("sid", "line"), "line", "left")
                .withColumn("comp", F.coalesce("comp", "line")))
     keeper = of.groupBy("comp").agg(F.min(place).alias("k"))

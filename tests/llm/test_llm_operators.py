@@ -129,15 +129,31 @@ def test_tile_links_join_what_all_pairs_join(spark, monkeypatch):
     rest = spark.createDataFrame(rows, "key long, sid long, comp long, size long, weight long, n int")
     near = lambda a, b: C.jaccard_80(len(np.intersect1d(sets[a], sets[b])), len(sets[a]), len(sets[b]))
     want = components(range(len(sets)), near)
+
+    def to_values(payloads):
+        out = [C.unpack_u64(x) for x in payloads]
+        return np.concatenate(out), np.concatenate([[0], np.cumsum([len(x) for x in out])])
+
     for tile, values in ((3, C.TILE_VALUES), (2048, 40), (2048, C.TILE_VALUES)):
         monkeypatch.setattr(C, "TILE_VALUES", values)
-        links = {(r.a, r.b) for r in C.tile_links(rest, frame, C.unpack_u64, C.jaccard_80, tile).collect()}
+        links = {(r.a, r.b) for r in C.tile_links(rest, frame, to_values, C.jaccard_80, tile).collect()}
         assert all(near(a, b) for a, b in links)
         assert components(range(len(sets)), lambda a, b: (a, b) in links or (b, a) in links) == want
         if tile == 2048 and values > 40:
             assert len(links) == len(sets) - len(set(want.values()))
 
 
+def test_many_sets_at_once():
+    rng = np.random.default_rng(3)
+    lines = [rng.choice([b"ab ", b"word ", b"x", b"long piece of text "], k).tolist() for k in (1, 2, 9, 40, 700)]
+    lines = [b"".join(x) for x in lines] + [b"z", b"z" * 500]
+    hashes, ptr = line_dedup.line_values(lines)
+    sets = [line_dedup.line_set(x) for x in lines]
+    assert [np.unique(hashes[a:b]).tolist() for a, b in zip(ptr, ptr[1:])] == [x.tolist() for x in sets]
+    assert line_dedup.distinct_counts(hashes, ptr).tolist() == [len(x) for x in sets]
+    assert [x.tobytes() for x in C.bitmaps(hashes, ptr, 4096)] == [C.bitmap(x, 4096) for x in sets]
+
+
 def test_keep_first(spark):
     out = ngram_join.keep_first(odd(spark))
     ids = sorted(r.doc_id for r in out.collect() if r.doc_id is not None)
