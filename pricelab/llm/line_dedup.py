@@ -58,6 +58,23 @@ def normalised_lines(raw: np.ndarray, offs: np.ndarray):
     return b, starts[full], ends[full], row[full], no[full]
 
 
+def line_hashes(b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of every non-empty line ``b[start:end]``: the sum of its eight-byte
+    blocks, each mixed with its place; the last block ends with the line."""
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    width = ends - starts
+    count = (width + 7) >> 3
+    first = np.cumsum(count) - count
+    k = np.arange(count.sum()) - np.repeat(first, count)
+    at = np.minimum(np.repeat(starts, count) + 8 * k, np.repeat(np.maximum(ends - 8, starts), count))
+    words = np.ndarray(len(b) + 1, "<u8", np.concatenate([b, np.zeros(8, np.uint8)]), 0, (1,))[at]
+    short = np.flatnonzero(width < 8)
+    words[first[short]] &= (_U(1) << (8 * width[short]).astype(np.uint64)) - _U(1)
+    words = C.mix(words + (k + 1).astype(np.uint64) * _U(0x9E3779B97F4A7C15))
+    return C.mix(np.add.reduceat(words, first) + width.astype(np.uint64))
+
+
 def shingle_hashes(b: np.ndarray, starts: np.ndarray, ends: np.ndarray):
     """``(hashes, ptr)``: the shingle hashes of each line, not yet distinct; lines come
     in the order of their bytes."""
@@ -80,7 +97,7 @@ def shingle_hashes(b: np.ndarray, starts: np.ndarray, ends: np.ndarray):
         wide = np.ones(ptr[-1], bool)
         wide[ptr[few]] = False
         out[wide] = grams[inside]
-        out[ptr[few]] = C.span_hashes(b, starts[few], ends[few])
+        out[ptr[few]] = line_hashes(b, starts[few], ends[few])
     else:
         out[:] = grams[inside]
     return out, ptr
@@ -122,7 +139,7 @@ def _lines(rows: pa.Table):
     for lo, raw, offs in C.chunks(rows.column("text")):
         b, s, e, row, no = normalised_lines(raw, offs)
         if len(s):
-            yield b, s, e, lo + row, no, C.span_hashes(b, s, e)
+            yield b, s, e, lo + row, no, line_hashes(b, s, e)
 
 
 def _fresh(h: np.ndarray, seen: np.ndarray) -> np.ndarray:

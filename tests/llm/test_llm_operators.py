@@ -143,6 +143,21 @@ def test_tile_links_join_what_all_pairs_join(spark, monkeypatch):
             assert len(links) == len(sets) - len(set(want.values()))
 
 
+def test_line_hashes():
+    """Equal lines have equal hashes wherever they stand; different ones differ."""
+    rng = np.random.default_rng(5)
+    lines = [bytes(rng.integers(97, 99, n, np.uint8)) for n in [*range(1, 40), *range(1, 40), 1000]]
+    lines += [b"a" * 16 + b"b" * 8, b"b" * 8 + b"a" * 16, b"a" * 8, b"a" * 9, b"a" * 7, b"a" * 7 + b"\0"]
+    got = {}
+    for order in (range(len(lines)), rng.permutation(len(lines))):
+        use = [lines[i] for i in order]
+        ends = np.cumsum([len(x) + 1 for x in use]) - 1
+        starts = ends - [len(x) for x in use]
+        for x, h in zip(use, line_dedup.line_hashes(np.frombuffer(b"\n".join(use) + b"\n", np.uint8), starts, ends).tolist()):
+            assert got.setdefault(x, h) == h
+    assert len(set(got.values())) == len(set(lines))
+
+
 def test_many_sets_at_once():
     rng = np.random.default_rng(3)
     lines = [rng.choice([b"ab ", b"word ", b"x", b"long piece of text "], k).tolist() for k in (1, 2, 9, 40, 700)]
