@@ -3,8 +3,11 @@
 Lines are split at ``\\n`` and normalised (A-Z lower-cased, runs of white space one
 space, outer white space gone). A line's set holds its 8-byte shingles (a shorter
 line is its own single shingle). Signatures are one-permutation MinHash with
-empty bins filled from the next full one; bands of four rows, twelve bands: a pair
-of similarity 0.8 shares a band with probability 0.998. Lines that share a band
+empty bins filled from the next full one; lines of few shingles, whose filled bins
+would repeat one another, have a minimum under each of 48 salts instead, and sets of
+``FEW`` up to ``1.25 * FEW`` shingles have both, so similar sets have one in common.
+Bands of four rows, twelve bands: a pair of similarity 0.8 shares a band with
+probability 0.998, whatever its length. Lines that share a band
 are verified by exact Jaccard similarity (>= 0.8) of their sets, links form
 components by distributed union-find, and the first line of each component by
 (doc_id, line number) stays. Equal lines meet through a hash of their whole
@@ -34,6 +37,7 @@ from pricelab.llm import common as C
 SHINGLE = 8
 BANDS, ROWS = 12, 4
 BINS = 64                       # one-permutation bins; BANDS * ROWS of them are used
+FEW = 128                       # sets below 1.25 times this have salted minima, from this on bins
 _U = np.uint64
 _TO_LOWER_SPACE = bytes.maketrans(bytes(range(65, 91)) + b"\t\v\f\r", bytes(range(97, 123)) + b"    ")
 
@@ -123,11 +127,41 @@ def signatures(hashes: np.ndarray, ptr: np.ndarray) -> np.ndarray:
     return sig + far * _U(0x9E3779B97F4A7C15)
 
 
-def band_keys(sig: np.ndarray) -> np.ndarray:
+_SALTS = C.mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
+
+
+def salted_minima(hashes: np.ndarray, ptr: np.ndarray) -> np.ndarray:
+    """MinHash of independent rows, shape (lines, BANDS * ROWS): the smallest hash under
+    each salt; no line is empty."""
+    out = np.empty((len(ptr) - 1, len(_SALTS)), np.uint64)
+    lo = 0
+    while lo < len(out):             # pieces that stay in the processor's cache
+        hi = max(lo + 1, int(np.searchsorted(ptr, ptr[lo] + 16_384, "right")) - 1)
+        own, first = hashes[ptr[lo]:ptr[hi]], ptr[lo:hi] - ptr[lo]
+        for i, salt in enumerate(_SALTS):
+            out[lo:hi, i] = np.minimum.reduceat((own ^ salt) * _U(0xD6E8FEB86659FD93), first)
+        lo = hi
+    return out
+
+
+def line_keys(hashes: np.ndarray, ptr: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Band keys of lines with ``n`` distinct shingles, shape (lines, 2 * BANDS): by salted
+    minima, then by bins; 0 where a line has no key. Sets of similarity 0.8 differ in
+    size by a quarter at most, so they have the first in common or the second."""
+    out = np.zeros((len(n), 2 * BANDS), np.uint64)
+    for at, use, sig_of, seed in ((0, 4 * n < 5 * FEW, salted_minima, BANDS), (BANDS, n >= FEW, signatures, 0)):
+        some = np.flatnonzero(use)
+        if len(some):
+            own = np.concatenate([[0], np.cumsum(np.diff(ptr)[some])])
+            out[some, at:at + BANDS] = band_keys(sig_of(hashes[np.repeat(use, np.diff(ptr))], own), seed)
+    return out
+
+
+def band_keys(sig: np.ndarray, seed: int = 0) -> np.ndarray:
     """Keys of the bands, shape (lines, BANDS); rows of a band lie far apart."""
     out = np.empty((len(sig), BANDS), np.uint64)
     for band in range(BANDS):
-        h = np.full(len(sig), _U(band + 1))
+        h = np.full(len(sig), _U(seed + band + 1))
         for r in range(ROWS):
             h = C.mix(h * _U(0x9E3779B97F4A7C15) + sig[:, (band + r * BANDS) % BINS])
         out[:, band] = h
@@ -154,8 +188,9 @@ def _group_values(rows: pa.Table):
         new = _fresh(h, seen)
         seen = np.union1d(seen, h)
         if len(new):
-            k = band_keys(signatures(*shingle_hashes(b, s[new], e[new])))
-            keys.append(k.ravel())
+            hashes, ptr = shingle_hashes(b, s[new], e[new])
+            k = line_keys(hashes, ptr, distinct_counts(hashes, ptr))
+            keys.append(k[k != 0])
     whole = C.mix(seen)                      # equal lines: their hash is a key too
     return np.unique(np.concatenate([whole, *keys]), return_counts=True)
 
@@ -190,12 +225,13 @@ def _candidates(key, left, right):
         by = np.argsort(place[at])
         u, at = u[by], place[at][by]
         hashes, ptr = shingle_hashes(b, s[at], e[at])
-        keys = band_keys(signatures(hashes, ptr))
+        n = distinct_counts(hashes, ptr)
+        keys = line_keys(hashes, ptr, n)
         hit = C.lookup(keys.ravel(), shared)[1].reshape(keys.shape)
         some = C.lookup(C.mix(u), shared)[1] | hit.any(1)
         if not some.any():
             continue
-        n, at, keys, hit = distinct_counts(hashes, ptr)[some], at[some], keys[some], hit[some]
+        n, at, keys, hit = n[some], at[some], keys[some], hit[some]
         ends = np.concatenate([[0], np.cumsum(hit.sum(1))])
         text = b.tobytes()
         parts.append(pa.table([pa.array(np.full(len(at), key[0].as_py(), np.int32)), pa.array(C.signed(u[some])), pa.array(ids[row[at]]),
