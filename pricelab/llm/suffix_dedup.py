@@ -6,7 +6,10 @@ is found first: every 50-byte window has a minimiser (the smallest hash of its
 24-byte strings), equal windows have equal minimisers, and groups of documents
 learn which minimisers occur at least twice anywhere (``common.shared_hashes``).
 Only runs of windows with such a minimiser travel, once per group and distinct
-content, to the shard of the minimiser.
+content, to the shard of the minimiser. Windows of a minimiser with more than
+``HOT_RUNS`` runs travel one by one to the shard of their own hash: its surroundings
+may all differ, and would fill one shard. The count is that of all groups, so equal
+windows travel alike.
 
 A shard concatenates its distinct runs, classifies suffixes as S or L, sorts the
 leftmost-smaller (LMS) substrings by induction, names them, sorts the string of
@@ -36,6 +39,7 @@ from pricelab.llm import common as C
 LENGTH = 50
 GRAM = 24
 SHARD_BYTES = 2 << 20
+HOT_RUNS = SHARD_BYTES // (2 * LENGTH - GRAM)    # so many distinct runs fill a suffix array
 _U = np.uint64
 
 
@@ -243,17 +247,30 @@ def _group_values(rows: pa.Table):
     return np.unique(m, return_counts=True)
 
 
-def _shared_runs(rows: pa.Table, shared: np.ndarray):
-    """The runs with a shared minimiser: occurrences (row, byte start in its row,
-    index of its content) and distinct contents ordered by (minimiser, hash)."""
+def single_windows(raw: np.ndarray, m: np.ndarray, start: np.ndarray, end: np.ndarray, row: np.ndarray, hot: np.ndarray):
+    """The runs with each ``hot`` one cut into its windows, keyed by their own hashes."""
+    count = (end - start - LENGTH + 1)[hot]
+    at = np.repeat(start[hot] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+    key = C.span_hashes(raw, at, at + LENGTH)
+    return (np.concatenate([m[~hot], key]), np.concatenate([start[~hot], at]), np.concatenate([end[~hot], at + LENGTH]),
+            np.concatenate([row[~hot], np.repeat(row[hot], count)]))
+
+
+def _shared_runs(rows: pa.Table, shared: np.ndarray, freq: np.ndarray, hot_runs: int):
+    """The runs with a shared minimiser (hot ones by window): occurrences (row, byte start
+    in its row, index of its content) and distinct contents ordered by (minimiser, hash)."""
     ids = C.id_array(rows.column("doc_id"))
     occ_row, occ_at, occ_m, occ_h, occ_len, parts = [], [], [], [], [], []
     for lo, raw, offs in C.chunks(rows.column("text")):
         m, s, e, row = window_runs(raw, offs)
-        hit = np.flatnonzero(C.lookup(m, shared)[1])
+        pos, found = C.lookup(m, shared)
+        hit = np.flatnonzero(found)
         if not len(hit):
             continue
         m, s, e, row = m[hit], s[hit], e[hit], row[hit]
+        hot = freq[pos[hit]] > hot_runs
+        if hot.any():
+            m, s, e, row = single_windows(raw, m, s, e, row, hot)
         occ_row.append(row + lo)
         occ_at.append(s - offs[row])
         occ_m.append(m)
@@ -281,11 +298,11 @@ _RUNS_SQL = "shard int, g int, minimisers binary, lengths binary, docs binary, b
 _BACK = pa.schema([("g", pa.int32()), ("shard", pa.int32()), ("owners", pa.binary())])
 
 
-def _sender(bits: int):
+def _sender(bits: int, hot_runs: int):
     def send(key, left, right):
         if not left.num_rows or not right.num_rows:
             return _RUNS.empty_table()
-        _, _, (m, _, size, docs, body) = _shared_runs(C.group_rows(left), C.read_answers(right)[0])
+        _, _, (m, _, size, docs, body) = _shared_runs(C.group_rows(left), *C.read_answers(right), hot_runs)
         edges = np.searchsorted(m >> _U(64 - bits), np.arange((1 << bits) + 1).astype(np.uint64)) if bits else np.array([0, len(m)])
         off = np.concatenate([[0], np.cumsum(size)])
         out = {c: [] for c in _RUNS.names}
@@ -349,15 +366,14 @@ def _shard(key, tab):
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
 
 
-def _mark(left, right):
+def _mark(left, right, hot_runs: int):
     """Bytes, removed bytes and spans, and the rest's checksum of each row of a group."""
     if not left.num_rows:
         return _OUT.empty_table()
     rows = C.group_rows(left)
-    keys = [(s, k) for s, k in zip(right.column("shard").to_pylist(), right.column("keys").to_pylist()) if k is not None]
     back = sorted((s, o) for s, o in zip(right.column("shard").to_pylist(), right.column("owners").to_pylist()) if o is not None)
-    shared = np.sort(np.concatenate([np.empty(0, np.uint64), *[C.unpack_u64(k) for _, k in keys]]))
-    ids, (row, at, index), (_, _, size, _, _) = _shared_runs(rows, shared)
+    answers = C.read_answers(right.filter(right.column("keys").is_valid()))
+    ids, (row, at, index), (_, _, size, _, _) = _shared_runs(rows, *answers, hot_runs)
     owners = np.concatenate([np.empty(0, np.int64), *[C.unpack_raw(o, np.int64) for _, o in back]])
     w_off = np.concatenate([[0], np.cumsum(size - LENGTH + 1)])
     # all windows that start in a document with a smaller id, as places in their rows
@@ -386,18 +402,23 @@ def _mark(left, right):
     return pa.table(out, schema=_OUT)
 
 
-def dedup_substrings(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+def dedup_substrings(docs: DataFrame, hot_runs: int = HOT_RUNS) -> DataFrame:
+    """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256. The windows of a minimiser
+    with more than ``hot_runs`` runs are spread; the result does not depend on it."""
     C.prepare(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     groups = C.group_count(docs)
     packed = C.text_groups(docs, groups)
     shared = C.shared_hashes(packed, _group_values, groups, C.GROUP_BYTES // 13)
     bits = max(0, (2 * groups - 1).bit_length())
-    sent = packed.groupBy("g").cogroup(shared.groupBy("g")).applyInArrow(_sender(bits), _RUNS_SQL)
+    sent = packed.groupBy("g").cogroup(shared.groupBy("g")).applyInArrow(_sender(bits, hot_runs), _RUNS_SQL)
     owners = sent.groupBy("shard").applyInArrow(_shard, "g int, shard int, owners binary")
     none = F.lit(None)
-    answers = (shared.select("g", none.cast("int").alias("shard"), "keys", none.cast("binary").alias("owners"))
-               .union(owners.select("g", "shard", none.cast("binary").alias("keys"), "owners")))
-    out = packed.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(_mark, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    answers = (shared.select("g", none.cast("int").alias("shard"), "keys", "freq", none.cast("binary").alias("owners"))
+               .union(owners.select("g", "shard", none.cast("binary").alias("keys"), none.cast("binary").alias("freq"), "owners")))
+
+    def mark(left, right):
+        return _mark(left, right, hot_runs)
+
+    out = packed.groupBy("g").cogroup(answers.groupBy("g")).applyInArrow(mark, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return out.withColumn("doc_id", F.nullif("doc_id", F.lit(int(C.NO_ID))))

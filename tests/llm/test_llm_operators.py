@@ -396,6 +396,31 @@ def test_suffix_dedup_equals_brute_force(spark, real):
     assert suffix_dedup.dedup_substrings(empty(spark)).count() == 0
 
 
+def hot_phrase_docs():
+    """One phrase with different neighbours everywhere, some of them alike."""
+    rng = np.random.default_rng(8)
+    word = lambda n: bytes(rng.integers(97, 123, n, np.uint8)).decode()     # noqa: E731
+    ends = [word(40) for _ in range(5)]
+    return [(i, word(40) + " a phrase that stands in every document " + (ends[i % 5] if i % 3 else word(40))) for i in range(80)]
+
+
+def test_suffix_dedup_hot_minimisers_are_spread():
+    """No key of a hot phrase gathers more than one content, whatever surrounds it."""
+    import pyarrow as pa
+    docs = hot_phrase_docs()
+    rows = pa.table({"doc_id": pa.array([i for i, _ in docs], pa.int64()), "text": [t for _, t in docs]})
+    keys, freq = suffix_dedup._group_values(rows)
+    most = lambda hot: np.unique(suffix_dedup._shared_runs(rows, keys, freq, hot)[2][0], return_counts=True)[1].max()
+    assert most(10 ** 6) > 20 and most(10) <= 10
+
+
+@pytest.mark.parametrize("hot_runs", [0, 10])
+def test_suffix_dedup_hot_minimisers_equal_brute_force(spark, hot_runs):
+    docs = hot_phrase_docs() + [(501, "é" * 60), (502, "x" + "é" * 40), (503, "ab" * 70), (504, "b" + "ab" * 30), (505, None), (506, "")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted(map(tuple, suffix_dedup.dedup_substrings(frame, hot_runs).collect())) == removed_bytes(docs)
+
+
 # -------------------------------------------------------------------------- 6
 
 def test_toxicity(spark):
