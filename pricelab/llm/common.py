@@ -199,13 +199,15 @@ def group_count(docs: DataFrame, group_bytes: int = GROUP_BYTES) -> int:
 
 
 def text_groups(docs: DataFrame, groups: int, columns: list[str] | None = None) -> DataFrame:
-    """``(g, blob)``: the documents dealt by a hash of doc_id into ``groups`` groups.
+    """``(g, blob)``: the documents dealt by a hash of doc_id (of the text, where that is
+    null) into ``groups`` groups.
 
     A blob is a zstd-compressed Arrow stream of the rows of one input batch that
     belong to group ``g``, with all ``columns`` (default: all), so one exchange
     moves the text compressed and every later step can read that exchange."""
     columns = columns or docs.columns
-    key = F.pmod(F.xxhash64("doc_id"), F.lit(groups)).cast("int")
+    dealt = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id")) if "text" in docs.columns else F.xxhash64("doc_id")
+    key = F.pmod(dealt, F.lit(groups)).cast("int")
     src = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), key.alias("g"))
 
     def pack(batches):

@@ -12,8 +12,9 @@ inside one component is not tested again and no group of copies is expanded.
 
 Defined results: null or wordless text has an empty set and links with nothing
 (its component is its own doc_id); equal sets always link; a null doc_id takes
-part as the largest id and is returned as null; rows that repeat a doc_id share
-its component; extra columns are ignored.
+part as the largest id and is returned as null; rows that repeat a doc_id or have
+none are documents of their own and link by their texts only; a component has the
+smallest doc_id of its rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -87,18 +88,25 @@ def prefix_length(n: int) -> int:
     return n - (4 * n + 4) // 5 + 1
 
 
-_SETS = "doc_id long, n_shingles long, local long, set_hash binary, keys array<long>, bitmap binary, payload binary"
-_SETS_ARROW = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("local", pa.int64()), ("set_hash", pa.binary()),
+_SETS = "doc_id long, n_shingles long, local long, set_hash binary, text_hash binary, keys array<long>, bitmap binary, payload binary"
+_SETS_ARROW = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("local", pa.int64()), ("set_hash", pa.binary()), ("text_hash", pa.binary()),
                          ("keys", pa.list_(pa.int64())), ("bitmap", pa.binary()), ("payload", pa.binary())])
 
 
-def _candidates(left, right):
-    """One row per document; the first document of each distinct set of the group
-    also carries its shared prefix keys, bitmap and array, if it has any."""
+def text_hash(text: str | None) -> bytes:
+    return hashlib.blake2b((text or "").encode(), digest_size=16).digest()
+
+
+def _candidates(key, left, right):
+    """One row per document with ``local``, the number of its set (unique over all
+    groups); the first document of each distinct set of the group also carries its
+    shared prefix keys, bitmap and array, if it has any."""
     if not left.num_rows:
         return _SETS_ARROW.empty_table()
     shared, freq = C.read_answers(right)
-    seen, member = _distinct_sets(C.group_rows(left))
+    rows = C.group_rows(left)
+    seen, member = _distinct_sets(rows)
+    number = {h: (key[0].as_py() << 32) + i for i, h in enumerate(seen)}
     extra = {}
     for h, (_, arr) in seen.items():
         at, found = C.lookup(arr >> _U(16) << _U(16), shared)
@@ -109,19 +117,19 @@ def _candidates(left, right):
             extra[h] = (C.signed(np.unique(keys)), C.bitmap(arr), C.pack_u64(arr))
     out = {n: [] for n in _SETS_ARROW.names}
     done = set()
-    for i, n, h in member:
-        rep = int(seen[h][0]) if h is not None else None
-        head = h is not None and rep == i and h not in done
+    for r, (i, n, h) in enumerate(member):
+        head = h is not None and seen[h][0] == i and h not in done
         if head:
             done.add(h)
         keys, bits, payload = extra.get(h, (None, None, None)) if head else (None, None, None)
-        for c, v in zip(out, (int(i), n, rep, h if head else None, keys, bits, payload)):
+        for c, v in zip(out, (int(i), n, number.get(h), h if head else None, text_hash(rows.column("text")[r].as_py()) if head else None, keys, bits, payload)):
             out[c].append(v)
     return pa.table(out, schema=_SETS_ARROW)
 
 
-def join_components(docs: DataFrame) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)`` per row of ``docs (doc_id, text)``."""
+def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``_candidates`` and, for each ``local`` set, its component: ``sid`` (one set
+    of it) and ``component`` (its smallest doc_id)."""
     spark = docs.sparkSession
     C.prepare(spark)
     docs = docs.select("doc_id", "text")
@@ -130,35 +138,47 @@ def join_components(docs: DataFrame) -> DataFrame:
     shared = C.shared_hashes(packed, _group_values, groups, C.GROUP_BYTES // 6)
     found = C.written(packed.groupBy("g").cogroup(shared.groupBy("g")).applyInArrow(_candidates, _SETS))
 
-    # equal sets: the smallest id over all groups stands for the set
+    # equal sets: the set of the smallest id over all groups stands for them
     heads = found.where("set_hash is not null")
-    reps = heads.groupBy("set_hash").agg(F.min("doc_id").alias("rep"))
-    local = heads.select("set_hash", F.col("doc_id").alias("local")).join(reps, "set_hash").select("local", "rep")
-    sets = (heads.where("keys is not null").join(reps, [heads.set_hash == reps.set_hash, F.col("doc_id") == F.col("rep")], "left_semi")
-            .select(F.col("doc_id").alias("sid"), F.col("n_shingles").alias("n"), "keys", "bitmap", "payload"))
-    comp = C.link_components(C.written(sets), C.unpack_u64, C.jaccard_80)
-    to = (local.join(comp, local.rep == comp.sid, "left").select("local", F.coalesce("comp", "rep").alias("component")))
+    reps = heads.groupBy("set_hash").agg(F.min(F.struct("doc_id", "local")).alias("r")).select("set_hash", F.col("r.doc_id").alias("rep"), F.col("r.local").alias("sid"))
+    sets = (heads.where("keys is not null").join(reps.select("sid"), F.col("local") == F.col("sid"), "left_semi")
+            .select(F.col("local").alias("sid"), F.col("n_shingles").alias("n"), "keys", "bitmap", "payload"))
+    comp = C.cut(C.link_components(C.written(sets), C.unpack_u64, C.jaccard_80))
+    # components are found over sets; the smallest doc_id of their sets names them
+    named = comp.unionByName(comp.select(F.col("comp").alias("sid"), "comp")).distinct().join(reps.select("sid", "rep"), "sid")
+    names = named.groupBy("comp").agg(F.min("rep").alias("name"))
+    of = named.select("sid", "comp").join(names, "comp")
+    to = (heads.select("set_hash", "local").join(reps, "set_hash").join(of, "sid", "left")
+          .select("local", F.coalesce("comp", "sid").alias("sid"), F.coalesce("name", "rep").alias("component")))
+    return found, to
+
+
+def join_components(docs: DataFrame) -> DataFrame:
+    """``(doc_id, n_shingles, component_id)`` per row of ``docs (doc_id, text)``."""
+    found, to = _linked(docs)
     none = F.lit(int(C.NO_ID))
-    return (found.select("doc_id", "n_shingles", "local").join(to, "local", "left")
+    return (found.select("doc_id", "n_shingles", "local").join(to.select("local", "component"), "local", "left")
             .select(F.nullif("doc_id", none).alias("doc_id"), "n_shingles",
                     F.nullif(F.coalesce("component", "doc_id"), none).alias("component_id")))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group: the one whose id names the
-    component. Wordless documents and null ids stay; of rows that repeat a
-    doc_id one stays (the first of its group)."""
-    keep = join_components(docs).where("component_id = doc_id").select(F.col("doc_id").alias("keep_id")).distinct()
-    groups = C.group_count(docs)
-    packed = C.text_groups(docs, groups)
-    keep = keep.withColumn("g", F.pmod(F.xxhash64("keep_id"), F.lit(groups)).cast("int"))
+    """``docs`` with one document of each component: the one with the smallest id, of
+    several with that id (or all without one) any. Wordless documents stay."""
+    found, to = _linked(docs)
+    heads = found.where("set_hash is not null").select("local", "doc_id", "text_hash")
+    keep = (heads.join(to, "local").groupBy("sid").agg(F.min(F.struct("doc_id", "local", "text_hash")).alias("k"))
+            .select(F.shiftright("k.local", 32).cast("int").alias("g"), "k.doc_id", "k.text_hash"))
+    packed = C.text_groups(docs, C.group_count(docs))
 
     def pick(left, right):
         rows = C.group_rows(left)
-        ids = C.id_array(rows.column("doc_id"))
-        first = np.zeros(len(ids), bool)
-        first[np.unique(ids, return_index=True)[1]] = True
-        stay = (first & np.isin(ids, right.column("keep_id").to_numpy())) | (ids == C.NO_ID)
-        return rows.filter(pa.array(stay))
+        want = set(zip(right.column("doc_id").to_pylist(), right.column("text_hash").to_pylist()))
+        stay = []
+        for i, text in zip(C.id_array(rows.column("doc_id")).tolist(), rows.column("text").to_pylist()):
+            row = (i, text_hash(text))
+            stay.append(row in want or not (text or "").strip(" \t\n\v\f\r"))
+            want.discard(row)
+        return rows.filter(pa.array(stay, pa.bool_()))
 
     return packed.groupBy("g").cogroup(keep.groupBy("g")).applyInArrow(pick, docs.schema)

@@ -175,6 +175,18 @@ def test_keep_first(spark):
     assert ids == [1, 4, 5, 6, 7, 9, 11, 12, 13] and out.columns == odd(spark).columns
 
 
+def test_ngram_join_null_and_repeated_ids(spark):
+    """Rows without an id, and rows that share one, link by their texts only."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    docs = [(None, a), (None, a + " end"), (None, b), (None, c), (None, "  "), (7, b), (7, d), (7, d), (9, d + " end"), (3, c + " end")]
+    df = spark.createDataFrame([(*r, "x") for r in docs], "doc_id long, text string, lang string")
+    got = sorted(map(tuple, ngram_join.join_components(df).collect()), key=str)
+    want = [(None, 56, None), (None, 57, None), (None, 56, 7), (None, 56, 3), (None, 0, None), (7, 56, 7), (7, 56, 7), (7, 56, 7), (9, 57, 7), (3, 57, 3)]
+    assert got == sorted(want, key=str)
+    kept = [(r.doc_id, r.text[:1]) for r in ngram_join.keep_first(df).collect()]
+    assert sorted(kept, key=str) == sorted([(None, "a"), (None, " "), (7, "b"), (7, "d"), (3, "c")], key=str)
+
+
 # -------------------------------------------------------------------------- 1
 
 def contaminated(docs, items):
