@@ -14,9 +14,9 @@ candidate hits are read again for the extension.
 
 Defined results: null or wordless text has no words, hits or items; a null item
 or null item_id never matches; equal items (by text) each count under their
-id; an item_id listed twice counts once; rows that repeat a doc_id are reported
-per row when they are equal and merged per doc_id otherwise; extra columns are
-ignored.
+id; an item_id listed twice counts once; rows that repeat a doc_id or have none are
+judged each by its own text (rows are known by doc_id and a hash of the text); extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -92,59 +92,74 @@ def _fingerprints(windows: DataFrame, length: int) -> DataFrame:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+    return _judged(docs, benchmark, span, broadcast_rows).drop("text_id")
+
+
+def _text_id() -> Column:
+    """Tells rows of one doc_id (or of none) apart."""
+    return F.xxhash64("text")
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame, span: int, broadcast_rows: int) -> DataFrame:
+    """``contamination`` with the ``text_id`` of each row."""
     C.prepare(docs.sparkSession)
     windows = C.cut(item_windows(benchmark, span))
     lengths = [r["len"] for r in windows.select("len").distinct().collect()]     # at most span values
     small = windows.count() <= broadcast_rows
-    text = docs.select("doc_id", words(F.col("text")).alias("w"))
+    text = docs.select("doc_id", _text_id().alias("text_id"), words(F.col("text")).alias("w"))
     hits = None
     for length in sorted(lengths):
         found = _hits(text, _fingerprints(windows, length), length, small)
         hits = found if hits is None else hits.unionByName(found)
-    counted = text.select("doc_id", F.size("w").cast("long").alias("n_words"))
+    counted = text.select("doc_id", "text_id", F.size("w").cast("long").alias("n_words"))
     if hits is None:
-        per_doc = counted.select("doc_id", F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items")).limit(0)
+        per_doc = counted.select("doc_id", "text_id", F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("items")).limit(0)
     else:
         per_doc = _per_document(C.written(hits), windows)
     none = F.array().cast("array<string>")
     items = F.array_join(F.sort_array(F.coalesce("items", none)), ",")
-    return (counted.join(per_doc.withColumnRenamed("doc_id", "hit_doc"), F.col("doc_id").eqNullSafe(F.col("hit_doc")), "left")
-            .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+    return (counted.join(per_doc.withColumnsRenamed({"doc_id": "hit_doc", "text_id": "hit_text"}), _same_row("hit_doc", "hit_text"), "left")
+            .select("doc_id", "text_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                     F.size(F.coalesce("items", none)).cast("long").alias("n_items"), F.sha2(items, 256).alias("items_sha256"),
                     (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated")))
 
 
+def _same_row(doc: str, text: str) -> Column:
+    return F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col("text_id") == F.col(text))
+
+
 def _hits(text: DataFrame, prints: DataFrame, length: int, small: bool) -> DataFrame:
-    """``(doc_id, at, words)``: every occurrence of a window of ``length`` words."""
+    """``(doc_id, text_id, at, words)``: every occurrence of a window of ``length`` words."""
     gram = min(GRAM, length)
     same = F.expr(f"slice(w, p - o + 1, {length})") == F.col("words")
     seeds = (text.where(F.size("w") >= length).withColumn("x", _hashes(F.col("w")))
-             .select("doc_id", "w", F.explode(_selected(F.col("w"), F.col("x"), length, gram)).alias("s"))
-             .select("doc_id", "w", "s.p", "s.h"))
+             .select("doc_id", "text_id", "w", F.explode(_selected(F.col("w"), F.col("x"), length, gram)).alias("s"))
+             .select("doc_id", "text_id", "w", "s.p", "s.h"))
     inside = (F.col("p") >= F.col("o")) & (F.col("p") - F.col("o") + length <= F.size("w"))
     if small:
         joined = seeds.join(F.broadcast(prints), "h")
     else:
-        near = seeds.select("doc_id", "p", "h").join(prints, "h").select("doc_id", "p", "o", "words").distinct()
-        joined = near.withColumnRenamed("doc_id", "d").join(text, F.col("d").eqNullSafe(F.col("doc_id"))).drop("d")
-    return joined.where(inside).where(same).select("doc_id", (F.col("p") - F.col("o")).alias("at"), "words").distinct()
+        near = seeds.select("doc_id", "text_id", "p", "h").join(prints, "h").select("doc_id", "text_id", "p", "o", "words").distinct()
+        joined = near.withColumnsRenamed({"doc_id": "d", "text_id": "t"}).join(text, _same_row("d", "t")).drop("d", "t")
+    return joined.where(inside).where(same).select("doc_id", "text_id", (F.col("p") - F.col("o")).alias("at"), "words").distinct()
 
 
 def _per_document(hits: DataFrame, windows: DataFrame) -> DataFrame:
     """Covered words and items of each document from its window occurrences."""
-    spans = hits.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("at", (F.col("at") + F.size("words")).alias("end")))).alias("s"))
+    spans = hits.groupBy("doc_id", "text_id").agg(F.array_sort(F.collect_set(F.struct("at", (F.col("at") + F.size("words")).alias("end")))).alias("s"))
     zero = F.struct(F.lit(0).alias("sum"), F.lit(0).alias("last"))
     covered = F.aggregate("s", zero, lambda a, x: F.struct(
         (a["sum"] + F.greatest(F.lit(0), x["end"] - F.greatest(x["at"], a["last"]))).alias("sum"),
         F.greatest(a["last"], x["end"]).alias("last")))["sum"]
     of_window = windows.select("words", "item_id").distinct()
-    items = (hits.select("doc_id", "words").distinct().join(of_window, "words")
-             .groupBy("doc_id").agg(F.collect_set("item_id").alias("items")))
-    return (spans.select("doc_id", covered.alias("n_hit"))
-            .join(items.withColumnRenamed("doc_id", "d"), F.col("doc_id").eqNullSafe(F.col("d"))).drop("d"))
+    items = (hits.select("doc_id", "text_id", "words").distinct().join(of_window, "words")
+             .groupBy("doc_id", "text_id").agg(F.collect_set("item_id").alias("items")))
+    return (spans.select("doc_id", "text_id", covered.alias("n_hit"))
+            .join(items.withColumnsRenamed({"doc_id": "d", "text_id": "t"}), _same_row("d", "t")).drop("d", "t"))
 
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> DataFrame:
-    """``docs`` without the documents that share a window with the benchmark."""
-    bad = (contamination(docs, benchmark, span).where("contaminated").select(F.col("doc_id").alias("bad_id")).distinct())
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti")
+    """``docs`` without the rows whose text shares a window with the benchmark."""
+    bad = (_judged(docs, benchmark, span, BROADCAST_ROWS).where("contaminated")
+           .select(F.col("doc_id").alias("bad_id"), F.col("text_id").alias("bad_text")).distinct())
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")) & (_text_id() == F.col("bad_text")), "left_anti")

@@ -231,6 +231,20 @@ def test_decontamination_edges(spark):
     assert not decontam.contamination(odd(spark), none).where("contaminated").count()
 
 
+@pytest.mark.parametrize("broadcast_rows", [10 ** 6, 0])
+def test_decontamination_null_and_repeated_ids(spark, broadcast_rows):
+    """Of rows without an id, or with one id, only those that share a window go."""
+    bench = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(12)))], "item_id long, text string")
+    bad = "see " + " ".join(f"w{i}" for i in range(12)) + " there"
+    docs = [(None, bad), (None, "clean text"), (None, None), (7, bad), (7, "another clean text"), (8, "w1 w2")]
+    df = spark.createDataFrame([(*r, "x") for r in docs], "doc_id long, text string, lang string")
+    got = decontam.contamination(df, bench, broadcast_rows=broadcast_rows)
+    assert got.columns == ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    assert sorted(map(tuple, got.collect()), key=str) == contaminated(docs, [(1, " ".join(f"w{i}" for i in range(12)))])
+    kept = [(r.doc_id, r.text) for r in decontam.keep_uncontaminated(df, bench).collect()]
+    assert sorted(kept, key=str) == sorted([d for d in docs if d[1] != bad], key=str)
+
+
 # -------------------------------------------------------------------------- 2
 
 def norm(line):
