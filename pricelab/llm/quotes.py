@@ -1,8 +1,10 @@
 """Quotation linking: quoted passages are joined to the messages they come from.
 
-Each line's nested quote level is the number of leading ``>``; quoted lines and, per
-level, the whole quoted passage are normalised (lower case, white space runs one
-space) and hashed, as are the lines and the whole own text of every message. A
+Each line's nested quote level is the number of leading ``>``; quoted lines, runs of
+lines of one level, their paragraphs (between blank lines) and, per level, the whole
+quoted passage are normalised (lower case, white space runs one space) and hashed, as
+are the lines, paragraphs and the whole own text of every message. So a passage is
+found although its lines were wrapped anew or replies stand between its parts. A
 quoted hash is joined first to an earlier message of the same conversation (the
 latest before it), else to the first message of an earlier conversation that has
 it; each side of these joins is reduced to one row per hash beforehand, so common
@@ -10,7 +12,8 @@ lines do not multiply. The parent of a message is the original with most hits at
 its lowest linked quote level, the earlier conversations last; without a quote it
 is the turn before. Conversations linked by quotes form one thread (union-find),
 ordered by (conv_id, turn), which puts every reply after what it answers. Bodies
-come without quoted lines and without the line that introduces a quote.
+come without quoted lines and without the line that introduces a quote; such lines
+inside a quote count for no passage either.
 
 DataFrame functions only. Defined results: null text has a null body and quotes
 nothing; blank lines never link; a null conv_id or turn takes part in no link and
@@ -26,6 +29,7 @@ from pricelab.llm import common as C
 
 _QUOTE = r"^(\s*>)+\s?"
 _INTRO = r"^(on|am|le|el)\b.{0,200}\b(wrote|schrieb|écrit|escribió)\s*:\s*$"
+_BLANK = r"^[\s\x{00A0}]*$"
 
 
 def _level(line: Column) -> Column:
@@ -40,29 +44,52 @@ def parse(messages: DataFrame) -> DataFrame:
     """Messages with ``lines``: array<struct<level, text>> in order, and ``body``."""
     lines = F.transform(F.split("text", "\r?\n", -1), lambda x: F.struct(_level(x).alias("level"), F.regexp_replace(x, _QUOTE, "").alias("text")))
     out = messages.select("conv_id", "turn", "role", "text", lines.alias("raw"))
-    # an introduction is an own line right before a quote
-    own = F.filter("raw", lambda x, i: (x["level"] == 0) & ~(F.lower(x["text"]).rlike(_INTRO) & (F.coalesce(F.get(F.col("raw"), i + 1)["level"], F.lit(0)) > 0)))
+    # an introduction is a line right before a quote of a higher level
+    clean = F.filter("raw", lambda x, i: ~(F.lower(x["text"]).rlike(_INTRO) & (F.coalesce(F.get(F.col("raw"), i + 1)["level"], F.lit(0)) > x["level"])))
+    own = F.filter("clean", lambda x: x["level"] == 0)
     quoted = F.size(F.filter("raw", lambda x: x["level"] > 0)) > 0
     body = F.when(quoted, F.trim(F.array_join(F.transform(own, lambda x: x["text"]), "\n"))).otherwise(F.col("text"))
-    return out.withColumn("own", own).withColumn("body", body)
+    return out.withColumn("clean", clean).withColumn("own", own).withColumn("body", body)
 
 
 def _hashed(text: Column) -> Column:
     return F.xxhash64(_norm(text))
 
 
+def _blocks(lines: Column, paragraphs: bool) -> Column:
+    """array<struct<level, text>> of the maximal runs of lines of one level, or of their
+    paragraphs (blank lines are runs of their own then)."""
+    def kind(x: Column) -> Column:
+        return F.struct(x["level"], x["text"].rlike(_BLANK)) if paragraphs else x["level"]
+
+    def cut(kinds: Column) -> Column:
+        first = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: (i == 0) | (F.get(kinds, i) != F.get(kinds, i - 1)))
+        return F.get(F.transform(F.array(first), lambda f: F.transform(f, lambda lo, k: _block(
+            F.slice(lines, lo + 1, F.coalesce(F.get(f, k + 1), F.size(lines)) - lo)))), F.lit(0))
+
+    some = F.get(F.transform(F.array(F.transform(lines, kind)), cut), F.lit(0))
+    return F.when(F.size(lines) > 0, some).otherwise(F.array().cast("array<struct<level:int,text:string>>"))
+
+
+def _block(lines: Column) -> Column:
+    return F.struct(F.get(lines, F.lit(0))["level"].alias("level"), F.array_join(F.transform(lines, lambda x: x["text"]), " ").alias("text"))
+
+
 def originals(parsed: DataFrame) -> DataFrame:
-    """``(hash, conv_id, turn)`` of every own line and whole body."""
-    texts = F.concat(F.transform("own", lambda x: x["text"]), F.array(F.array_join(F.transform("own", lambda x: x["text"]), " ")))
+    """``(hash, conv_id, turn)`` of every own line, paragraph and whole body."""
+    own_parts = F.filter(_blocks(F.col("clean"), True), lambda x: x["level"] == 0)
+    texts = F.concat(F.transform("own", lambda x: x["text"]), F.transform(own_parts, lambda x: x["text"]),
+                     F.array(F.array_join(F.transform("own", lambda x: x["text"]), " ")))
     return (parsed.where("conv_id is not null and turn is not null").select("conv_id", "turn", F.explode(texts).alias("t"))
             .where(_norm(F.col("t")) != "").select(_hashed(F.col("t")).alias("hash"), "conv_id", "turn").distinct())
 
 
 def quotations(parsed: DataFrame) -> DataFrame:
-    """``(conv_id, turn, level, hash)`` of every quoted line and whole passage."""
-    quoted = F.filter("raw", lambda x: x["level"] > 0)
-    q = parsed.where("conv_id is not null and turn is not null").select("conv_id", "turn", quoted.alias("q")).where(F.size("q") > 0)
-    line = q.select("conv_id", "turn", F.explode("q").alias("x")).select("conv_id", "turn", "x.level", F.col("x.text").alias("t"))
+    """``(conv_id, turn, level, hash)`` of every quoted line, run, paragraph and whole passage."""
+    quoted = F.filter("clean", lambda x: x["level"] > 0)
+    q = parsed.where("conv_id is not null and turn is not null").select("conv_id", "turn", "clean", quoted.alias("q")).where(F.size("q") > 0)
+    parts = F.filter(F.concat(_blocks(F.col("clean"), False), _blocks(F.col("clean"), True)), lambda x: x["level"] > 0)
+    line = q.select("conv_id", "turn", F.explode(F.concat("q", parts)).alias("x")).select("conv_id", "turn", "x.level", F.col("x.text").alias("t"))
     levels = F.array_distinct(F.transform("q", lambda x: x["level"]))
     passage = (q.select("conv_id", "turn", "q", F.explode(levels).alias("level"))
                .select("conv_id", "turn", "level", F.array_join(F.transform(F.filter("q", lambda x: x["level"] == F.col("level")), lambda x: x["text"]), " ").alias("t")))

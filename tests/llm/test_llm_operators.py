@@ -341,6 +341,23 @@ def test_quotations(spark):
     assert quotes.conversations(df.limit(0)).count() == 0
 
 
+def test_quotations_interleaved_nested_rewrapped(spark):
+    """Passages are found with replies between them, below introductions inside the
+    quote, and with their lines wrapped anew."""
+    m = [(1, 0, "user", "How old is the garden\nand its long fence?\n\nA part nobody quotes.\n\nWho built the old\nroof of the house?"),
+         (1, 1, "assistant", "Wait."),
+         (1, 2, "user", "> How old is the\n> garden and its long fence?\nTen years.\n> Who built the old roof\n> of the house?\nMy uncle."),
+         (2, 0, "user", "Alpha beta gamma\ndelta epsilon."),
+         (2, 1, "assistant", "On Monday, A wrote:\n> Alpha beta gamma\n> delta epsilon.\nI agree with all\nof that."),
+         (2, 2, "user", "Wait."),
+         (2, 3, "assistant", "On Tuesday, B wrote:\n> On Monday, A wrote:\n> > Alpha beta gamma delta\n> > epsilon.\n> I agree with\n> all of that.\nFine.")]
+    df = spark.createDataFrame(m, "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): (r.parent_conv, r.parent_turn, r.quote_level, r.body) for r in quotes.conversations(df).collect()}
+    assert got[1, 2] == (1, 0, 1, "Ten years.\nMy uncle.")
+    assert got[2, 1] == (2, 0, 1, "I agree with all\nof that.")
+    assert got[2, 3] == (2, 1, 1, "Fine.")
+
+
 # -------------------------------------------------------------------------- 4
 
 def test_packing(spark, real):
