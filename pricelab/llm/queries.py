@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pricelab.llm import common as C
-from pricelab.llm import decontam, langid, line_dedup, line_rules, ngram_join, packing, quality_lm, quotes, suffix_dedup, toxicity
+from pricelab.llm import decontam, langid, line_dedup, line_rules, ngram_join, packing, quality_lm, quotes, shallot, suffix_dedup, toxicity
+from pricelab.llm.sql import CLUSTERING
 
 
 def tokenizer_path() -> str:
@@ -64,6 +65,10 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_components(C.table(spark, sf_dir, "documents"))
 
 
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shallot.cluster(C.table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -81,8 +86,11 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_quality_rules": op9_quality_rules,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
 
 #: None of the operators is given SQL unless listed here; the others are tested
 #: against brute-force versions (tests/llm).
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op13_centroid_clustering": CLUSTERING,
+}
