@@ -30,3 +30,35 @@ FROM a{rounds} a JOIN c{rounds} c ON a.m.c = c.c"""
 
 
 CLUSTERING = _clustering()
+
+#: crc32 bit by bit; nodes are named by the 32 hexadecimal digits of each of their turns.
+PREFIX_TRIE = """
+WITH ids AS (SELECT DISTINCT conv_id AS c FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, k) AS d, k, n FROM (
+    SELECT conv_id AS c, turn, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))[1:32] AS k, length(coalesce(text, '')) AS n
+    FROM conversations WHERE conv_id IS NOT NULL)),
+heads AS (
+  SELECT c, c - c % 100 AS base, xor(4294967295, list_reduce(
+    list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(c AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+    lambda a, b: list_reduce(list_concat([xor(a, b)], CAST(range(8) AS BIGINT[])), lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) % 6 AS h FROM ids),
+whole AS (
+  SELECT h.c, o.d, o.k, o.n FROM heads h JOIN own o ON o.c = h.base AND o.d <= h.h
+  UNION ALL SELECT h.c, o.d, o.k, o.n FROM heads h JOIN own o ON o.c = h.c AND o.d > h.h),
+turns AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY d) AS d, k, n FROM whole),
+prefixes AS (
+  SELECT c, d, n, string_agg(k, '') OVER (PARTITION BY c ORDER BY d) AS p FROM turns
+  UNION ALL SELECT c, 0, 0, '' FROM ids),
+nodes AS (SELECT p, d, min(c) AS conv_id, count(*) AS n_convs, any_value(n) AS n FROM prefixes GROUP BY p, d),
+children AS (SELECT left(p, 32 * (d - 1)) AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+ends AS (
+  SELECT p, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS s
+  FROM (SELECT c, arg_max(p, d) AS p FROM prefixes GROUP BY c) GROUP BY p),
+below AS (
+  SELECT left(p, 32 * a) AS p, sum(CASE WHEN n_children IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * n) AS saved
+  FROM (SELECT n.*, c.n_children, unnest(range(0, n.d + 1)) AS a FROM nodes n LEFT JOIN children c USING (p)) GROUP BY 1)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children,
+       CAST(b.n_leaves AS BIGINT) AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, coalesce(e.s, sha256('')) AS ends_sha256
+FROM nodes n JOIN below b USING (p) LEFT JOIN children c USING (p) LEFT JOIN ends e USING (p)
+LEFT JOIN nodes up ON n.d > 0 AND up.p = left(n.p, 32 * (n.d - 1))
+"""
