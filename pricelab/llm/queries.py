@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pricelab.llm import common as C
-from pricelab.llm import decontam, langid, line_dedup, line_rules, ngram_join, packing, prefix_trie, quality_lm, quotes, shallot, suffix_dedup, toxicity
-from pricelab.llm.sql import CLUSTERING, PREFIX_TRIE
+from pricelab.llm import decontam, hnsw, langid, line_dedup, line_rules, ngram_join, packing, prefix_trie, quality_lm, quotes, shallot, suffix_dedup, toxicity
+from pricelab.llm.sql import CLUSTERING, NEAR_DEDUP, PREFIX_TRIE
 
 
 def tokenizer_path() -> str:
@@ -65,6 +65,10 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_components(C.table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.near_duplicates(C.table(spark, sf_dir, "embeddings"))
+
+
 def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(C.table(spark, sf_dir, "conversations"))
 
@@ -90,6 +94,7 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_quality_rules": op9_quality_rules,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    "op11_embedding_near_dedup": op11_embedding_near_dedup,
     "op12_conversation_prefix_trie": op12_conversation_prefix_trie,
     "op13_centroid_clustering": op13_centroid_clustering,
 }
@@ -97,6 +102,7 @@ QUERIES = {
 #: None of the operators is given SQL unless listed here; the others are tested
 #: against brute-force versions (tests/llm).
 SQL: dict[str, str] = {
+    "op11_embedding_near_dedup": NEAR_DEDUP,
     "op12_conversation_prefix_trie": PREFIX_TRIE,
     "op13_centroid_clustering": CLUSTERING,
 }

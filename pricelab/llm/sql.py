@@ -62,3 +62,20 @@ SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, n.
 FROM nodes n JOIN below b USING (p) LEFT JOIN children c USING (p) LEFT JOIN ends e USING (p)
 LEFT JOIN nodes up ON n.d > 0 AND up.p = left(n.p, 32 * (n.d - 1))
 """
+
+#: All pairs of usable vectors; rows are numbered, since ids may repeat.
+NEAR_DEDUP = """
+WITH RECURSIVE rows AS (SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings),
+usable AS (
+  SELECT r, CAST(embedding AS DOUBLE[]) AS v FROM rows
+  WHERE list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+links AS (
+  SELECT a.r AS a, b.r AS b FROM usable a JOIN usable b ON a.r <> b.r AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+reach(a, b) AS (SELECT r, r FROM rows UNION SELECT x.a, l.b FROM reach x JOIN links l ON x.b = l.a),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+named AS (SELECT a, min(vec_id) AS component_id FROM reach JOIN rows ON rows.r = reach.b GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM rows JOIN named ON named.a = rows.r LEFT JOIN degree ON degree.a = rows.r
+"""
