@@ -369,22 +369,21 @@ def all_stars(e: DataFrame) -> bool:
     return mixed.where("hangs + centre > 1").isEmpty()
 
 
-def link_components(sets: DataFrame, to_set, similar, tile: int = 2048, rounds: int = 5, to_values=None) -> DataFrame:
+def link_components(sets: DataFrame, to_set, similar, to_values, tile: int = 2048, rounds: int = 5) -> DataFrame:
     """Exact components of the sets that share a key and are ``similar``.
 
-    ``sets``: (sid long, n int, keys array<long>, payload binary; bitmap binary unless
-    ``to_values``), one row per distinct set, already written out. ``to_set(payload)`` gives the
-    sorted distinct uint64 values, ``similar(inter, na, nb)`` the exact test.
+    ``sets``: (sid long, n int, keys array<long>, payload binary), one row per distinct set, already
+    written out. ``to_set(payload)`` gives the sorted distinct uint64 values, ``to_values(payloads)``
+    those of many as ``(hashes, ptr)`` (repeats allowed), ``similar(inter, na, nb)`` the exact test.
 
     1. Stars: each set is verified against one pivot that shares a key with it and
        is in another component, first the smallest, then (for keys whose sets are
        still apart) other ones chosen by a hash; components of all links so far.
     2. Rest: keys whose sets are still in different components. Their sets meet
        in size-banded tiles of bounded size; bitmap bit counts bound each
-       overlap from above, and the surviving pairs are verified exactly: after the
-       tiles, or with ``to_values`` (for small payloads and few keys a set) inside them, so that
+       overlap from above, and the surviving pairs are verified inside the tiles, so that
        a tile returns links that join components there, fewer than its rows, however
-       many near misses meet in it. Stars then end as soon as every key fits a tile.
+       many near misses meet in it. Stars end as soon as every key fits a tile.
     Pairs inside one component need no test, so large groups of copies cost
     linear work. The stars only save work: the rest covers every pair of a key
     that is not in one component. Returns (sid, comp) for components of two or more."""
@@ -414,16 +413,15 @@ def link_components(sets: DataFrame, to_set, similar, tile: int = 2048, rounds:
         release(sets.sparkSession)
         if fresh * 50 < tried or not fresh:
             break
-        if to_values and keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > tile).isEmpty():
+        if keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > tile).isEmpty():
             break
 
-    mixed = keyed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight")).where("lo <> hi")
-    rest = keyed.join(mixed.select("key", "size", "weight"), "key")
-    if to_values:
-        more = cut(tile_links(rest, sets, to_values, similar, tile))
-    else:
-        pairs = tile_pairs(rest.join(sets.select("sid", "bitmap"), "sid"), similar, tile)
-        more = cut(verify_pairs(pairs.join(seen, ["a", "b"], "left_anti"), sets, to_set, similar))
+    # a key with the sets of another key has no pair of its own: one of them is enough
+    mixed = (keyed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"),
+                                      F.min("sid").alias("leader"), F.sum(F.xxhash64("sid").cast("decimal(20,0)")).alias("p"), F.sum(F.xxhash64("sid", F.lit(1)).cast("decimal(20,0)")).alias("q"))
+             .where("lo <> hi").groupBy("size", "weight", "leader", "p", "q").agg(F.min("key").alias("key")))
+    rest = keyed.join(mixed.select("key", "size", "weight", "leader"), "key")
+    more = cut(tile_links(rest, sets, to_values, similar, tile))
     if not more.isEmpty():
         comp = components(comp.toDF("a", "b").union(more))
     return comp.select(F.col("id").alias("sid"), "comp")
@@ -449,69 +447,9 @@ def verify_pairs(pairs: DataFrame, sets: DataFrame, to_set, similar) -> DataFram
     return both.select("a", "b", "pa", "pb").mapInArrow(test, "a long, b long")
 
 
-BITMAP_BITS = 1024
-
-
-def bitmap(values: np.ndarray, bits: int = BITMAP_BITS) -> bytes:
-    """Hashed bitmap signature of a set; ``bits`` is a power of two."""
-    out = np.zeros(bits, bool)
-    out[(mix(values) >> _U(65 - bits.bit_length())).astype(np.int64)] = True
-    return np.packbits(out).tobytes()
-
-
-def tile_pairs(rest: DataFrame, similar, tile: int) -> DataFrame:
-    """Candidate pairs of different components from size-banded tiles.
-
-    ``rest``: (key, sid, comp, size, n, bitmap). Band = floor(log_1.25 n), so a
-    partner of similarity 0.8 is at most one band away (two by rounding: the
-    neighbour above takes guests). Groups over ``tile`` rows are cut into blocks
-    and every pair of blocks is its own task group."""
-    band = F.floor(F.log(F.greatest(F.col("n"), F.lit(1)).cast("double")) / F.log(F.lit(1.25)) + F.lit(1e-9)).cast("int")
-    blocks = F.ceil(F.col("size") / tile).cast("int")
-    own = F.pmod(F.xxhash64("sid"), blocks).cast("int")
-    dealt = (rest.withColumn("blocks", blocks).withColumn("own", own)
-             .withColumn("band", F.explode(F.array(band, band + 1, band + 2))).withColumn("home", F.col("band") == band)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
-             .select(F.xxhash64("key", "band", "i", "j").alias("tile"), "i", "j", "own", "home", "sid", "comp", "n", "bitmap"))
-    # small tiles share a task group: one group per hash of the tile's name, as many
-    # groups as hold some thousand rows each
-    count = max(1, dealt.count() // 4000)
-    dealt = dealt.withColumn("lot", F.pmod(F.xxhash64("tile"), F.lit(count)))
-
-    def test(key, t):
-        tiles = t.column("tile").to_numpy()
-        order = np.argsort(tiles, kind="stable")
-        home = t.column("home").to_numpy(zero_copy_only=False)[order]
-        i, j, sid, comp, n, own = (t.column(c).to_numpy()[order] for c in ("i", "j", "sid", "comp", "n", "own"))
-        bits = np.frombuffer(b"".join(t.column("bitmap").to_pylist()), np.uint8).reshape(len(sid), -1).view(np.uint64)[order]
-        cuts = np.append(np.flatnonzero(np.diff(tiles[order], prepend=tiles[order][0] - 1)), len(sid))
-        left, right = [], []
-        for lo, hi in zip(cuts[:-1], cuts[1:]):
-            if hi - lo < 2 or (comp[lo:hi] == comp[lo]).all():
-                continue
-            for x in lo + np.flatnonzero(home[lo:hi]):
-                # each pair once: home-home by id, home-guest always; across blocks i < j
-                m = (comp[lo:hi] != comp[x]) & (~home[lo:hi] | (sid[lo:hi] > sid[x]))
-                if i[x] != j[x]:
-                    m &= own[lo:hi] != own[x]
-                y = lo + np.flatnonzero(m)
-                y = y[similar(np.minimum(n[x], n[y]), n[x], n[y])]
-                if not len(y):
-                    continue
-                bound = np.minimum(n[x] - np.bitwise_count(bits[x] & ~bits[y]).sum(1, dtype=np.int64),
-                                   n[y] - np.bitwise_count(bits[y] & ~bits[x]).sum(1, dtype=np.int64))
-                y = y[similar(bound, n[x], n[y])]
-                left.append(np.minimum(sid[x], sid[y]))
-                right.append(np.maximum(sid[x], sid[y]))
-        none = np.empty(0, np.int64)
-        ab = np.unique(np.stack([np.concatenate([none, *left]), np.concatenate([none, *right])], 1), axis=0)
-        return pa.table({"a": ab[:, 0], "b": ab[:, 1]})
-
-    return dealt.groupBy("lot").applyInArrow(test, "a long, b long").distinct()
-
-
 LOT_ROWS = 4000
+SLICE_ROWS = 20_000             # rows of the keys of one leader that go to one lot
+PAIR_TABLE = 6000               # sets of a lot up to which failed pairs are remembered (36 MB)
 TILE_VALUES = 2 << 20           # set values on one side of a tile
 WIDE_BITS = 4096
 
@@ -531,10 +469,12 @@ def bitmaps(hashes: np.ndarray, ptr: np.ndarray, bits: int) -> np.ndarray:
 def tile_links(rest: DataFrame, sets: DataFrame, to_values, similar, tile: int) -> DataFrame:
     """Verified links between different components, found inside the tiles.
 
-    ``rest``: (key, sid, comp, size, weight, n), ``weight`` the sum of n over the key;
-    ``sets``: (sid, payload). A key of up to ``tile`` rows and ``TILE_VALUES`` set values is one tile; a
-    larger one is banded by size (base 1.26, so partners of similarity 0.8 are one
-    band apart at most) and cut into blocks, every pair of blocks being a tile.
+    ``rest``: (key, sid, comp, size, weight, leader, n), ``weight`` the sum of n over the key and
+    ``leader`` its smallest sid; ``sets``: (sid, payload). A key of up to ``tile`` rows and ``TILE_VALUES``
+    set values is one tile; a larger one is banded by size (base 1.26, so partners of similarity
+    0.8 are one band apart at most) and cut into blocks, every pair of blocks being a tile.
+    Tiles are worked on in lots. Keys with one leader mostly hold the same sets, so
+    they go to the same lot, in slices of bounded size, and a set's values travel once a lot.
     A tile links its components like a union-find does, so it returns fewer links
     than it has rows; which ones depends on the order of rows, what they join
     does not."""
@@ -542,25 +482,30 @@ def tile_links(rest: DataFrame, sets: DataFrame, to_values, similar, tile: int)
     own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
     band = F.floor(F.log(F.greatest(F.col("n"), F.lit(1)).cast("double")) / F.log(F.lit(1.26))).cast("int")
     cut_up = F.col("blocks") > 1
-    rest = rest.withColumn("blocks", blocks)
-    copies = F.when(cut_up, 2 * F.col("blocks")).otherwise(1)
-    total = rest.agg(F.sum(copies), F.sum(copies * F.col("n"))).first()
-    lots = max(1, (total[0] or 0) // LOT_ROWS, (total[1] or 0) // TILE_VALUES)
-    dealt = (rest.join(sets.select("sid", "payload"), "sid").withColumn("own", own)
+    led = rest.groupBy("leader").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("values"))
+    slices = F.greatest(F.lit(1), F.ceil(F.col("rows") / SLICE_ROWS), F.ceil(F.col("values") / F.lit(4 * TILE_VALUES)))
+    keys = rest.select("key", "leader").distinct().join(led, "leader").select("key", F.pmod(F.xxhash64("key"), slices).alias("slice"))
+    dealt = written(rest.join(keys, "key").withColumn("blocks", blocks).withColumn("own", own)
              .withColumn("band", F.explode(F.when(cut_up, F.array(band, band + 1)).otherwise(F.array(F.lit(0)))))
              .withColumn("home", ~cut_up | (F.col("band") == band))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
-             .select(F.xxhash64("key", "band", "i", "j").alias("tile"), "i", "j", "own", "home", "sid", "comp", "n", "payload"))
+             .select(F.xxhash64("key", "band", "i", "j").alias("tile"), F.xxhash64("leader", "slice", "blocks", "band", "i", "j").alias("unit"), "i", "j", "own", "home", "sid", "comp", "n"))
+    total = dealt.agg(F.count(F.lit(1)), F.sum("n")).first()
+    lots = max(1, (total[0] or 0) // LOT_ROWS, (total[1] or 0) // TILE_VALUES)
+    dealt = dealt.withColumn("lot", F.pmod(F.xxhash64("unit"), F.lit(lots))).drop("unit")
+    wanted = (dealt.select(F.col("lot").alias("to"), F.col("sid").alias("id")).distinct()
+              .join(sets.select(F.col("sid").alias("id"), "payload"), "id"))
 
-    def link(key, t):
+    def link(key, t, p):
         tiles = t.column("tile").to_numpy()
         order = np.argsort(tiles, kind="stable")
         home = t.column("home").to_numpy(zero_copy_only=False)[order]
         i, j, sid, comp, n, own = (t.column(c).to_numpy()[order] for c in ("i", "j", "sid", "comp", "n", "own"))
-        names, first, which = np.unique(t.column("sid").to_numpy(), return_index=True, return_inverse=True)
-        which = which[order]
-        hashes, ptr = to_values(t.column("payload").take(pa.array(first)).to_pylist())
+        names = p.column("id").to_numpy()
+        by = np.argsort(names)
+        which = by[np.searchsorted(names, sid, sorter=by)]
+        hashes, ptr = to_values(p.column("payload").to_pylist())
         bits = bitmaps(hashes, ptr, WIDE_BITS)
         sets: dict[int, np.ndarray] = {}
 
@@ -569,35 +514,50 @@ def tile_links(rest: DataFrame, sets: DataFrame, to_values, similar, tile: int)
                 sets[k] = np.unique(hashes[ptr[k]:ptr[k + 1]])
             return sets[k]
 
+        # pairs that failed under another key of the lot
+        failed = np.zeros((len(names), len(names)), bool) if len(names) <= PAIR_TABLE else None
         cuts = np.append(np.flatnonzero(np.diff(tiles[order], prepend=tiles[order][0] - 1)), len(sid))
         left, right = [], []
         for lo, hi in zip(cuts[:-1], cuts[1:]):
             label = comp[lo:hi].copy()
             if hi - lo < 2 or (label == label[0]).all():
                 continue
-            here, m_ = bits[which[lo:hi]], n[lo:hi]
+            here, m_ = which[lo:hi], n[lo:hi]
             for x in np.flatnonzero(home[lo:hi]):
                 m = (label != label[x]) & (~home[lo:hi] | (sid[lo:hi] > sid[lo + x])) & similar(np.minimum(m_[x], m_), m_[x], m_)
                 if i[lo] != j[lo]:
                     m &= own[lo:hi] != own[lo + x]
+                if failed is not None:
+                    m &= ~failed[here[x], here]
                 y = np.flatnonzero(m)
                 if not len(y):
                     continue
-                bound = np.minimum(m_[x] - np.bitwise_count(here[x] & ~here[y]).sum(1, dtype=np.int64),
-                                   m_[y] - np.bitwise_count(here[y] & ~here[x]).sum(1, dtype=np.int64))
-                for z in y[similar(bound, m_[x], m_[y])]:
-                    if label[z] == label[x]:
-                        continue
-                    mine, other = values(which[lo + x]), values(which[lo + z])
-                    inter = len(np.intersect1d(mine, other, assume_unique=True))
-                    if similar(inter, len(mine), len(other)):
-                        label[label == label[z]] = label[x]
-                        left.append(min(sid[lo + x], sid[lo + z]))
-                        right.append(max(sid[lo + x], sid[lo + z]))
+                mine, other = bits[here[x]], bits[here[y]]
+                bound = np.minimum(m_[x] - np.bitwise_count(mine & ~other).sum(1, dtype=np.int64),
+                                   m_[y] - np.bitwise_count(other & ~mine).sum(1, dtype=np.int64))
+                y = y[similar(bound, m_[x], m_[y])]
+                a = values(here[x])
+                while len(y):                       # partners by the thousand values at a time
+                    b = [values(here[y[0]])]
+                    while len(b) < len(y) and sum(map(len, b)) < 50_000:
+                        b.append(values(here[y[len(b)]]))
+                    size = np.array([len(v) for v in b])
+                    flat = np.concatenate(b)
+                    hit = a[np.minimum(np.searchsorted(a, flat), len(a) - 1)] == flat
+                    good = similar(np.add.reduceat(hit, np.cumsum(size) - size, dtype=np.int64), len(a), size)
+                    if failed is not None:
+                        miss = here[y[:len(b)][~good]]
+                        failed[here[x], miss] = failed[miss, here[x]] = True
+                    for z in y[:len(b)][good]:
+                        if label[z] != label[x]:
+                            label[label == label[z]] = label[x]
+                            left.append(min(sid[lo + x], sid[lo + z]))
+                            right.append(max(sid[lo + x], sid[lo + z]))
+                    y = y[len(b):]
+                    y = y[label[y] != label[x]]
         return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
-    return (dealt.withColumn("lot", F.pmod(F.xxhash64("tile"), F.lit(lots))).groupBy("lot")
-            .applyInArrow(link, "a long, b long").distinct())
+    return dealt.groupBy("lot").cogroup(wanted.groupBy("to")).applyInArrow(link, "a long, b long").distinct()
 
 
 def jaccard_80(inter, na, nb):

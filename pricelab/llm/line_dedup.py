@@ -276,7 +276,7 @@ def dedup_lines(docs: DataFrame, counts: tuple[str, str] = ("n_lines", "n_remove
     place = F.struct("doc_id", "row", "no", "g")
     sets = C.written(cand.where(F.size("keys") > 0).groupBy(F.col("line").alias("sid"))
                      .agg(F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("payload").alias("payload")))
-    comp = C.link_components(sets, line_set, C.jaccard_80, to_values=line_values)
+    comp = C.link_components(sets, line_set, C.jaccard_80, line_values)
     of = C.cut(cand.select("g", "line", "doc_id", "row", "no").join(comp.withColumnRenamed("sid", "line"), "line", "left")
                .withColumn("comp", F.coalesce("comp", "line")))
     keeper = of.groupBy("comp").agg(F.min(place).alias("k"))

@@ -84,13 +84,19 @@ def _group_values(rows: pa.Table):
     return np.unique(np.concatenate([a for _, a in seen.values()]) >> _U(16) << _U(16), return_counts=True)
 
 
+def many_sets(payloads: list[bytes]):
+    """``(hashes, ptr)`` of many packed sets."""
+    sets = [C.unpack_u64(x) for x in payloads]
+    return np.concatenate(sets), np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+
+
 def prefix_length(n: int) -> int:
     return n - (4 * n + 4) // 5 + 1
 
 
-_SETS = "doc_id long, n_shingles long, local long, set_hash binary, text_hash binary, keys array<long>, bitmap binary, payload binary"
+_SETS = "doc_id long, n_shingles long, local long, set_hash binary, text_hash binary, keys array<long>, payload binary"
 _SETS_ARROW = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("local", pa.int64()), ("set_hash", pa.binary()), ("text_hash", pa.binary()),
-                         ("keys", pa.list_(pa.int64())), ("bitmap", pa.binary()), ("payload", pa.binary())])
+                         ("keys", pa.list_(pa.int64())), ("payload", pa.binary())])
 
 
 def text_hash(text: str | None) -> bytes:
@@ -100,7 +106,7 @@ def text_hash(text: str | None) -> bytes:
 def _candidates(key, left, right):
     """One row per document with ``local``, the number of its set (unique over all
     groups); the first document of each distinct set of the group also carries its
-    shared prefix keys, bitmap and array, if it has any."""
+    shared prefix keys and array, if it has any."""
     if not left.num_rows:
         return _SETS_ARROW.empty_table()
     shared, freq = C.read_answers(right)
@@ -114,15 +120,15 @@ def _candidates(key, left, right):
         first = np.lexsort((arr, f))[:prefix_length(len(arr))]
         keys = arr[first][found[first]] >> _U(16) << _U(16)
         if len(keys):
-            extra[h] = (C.signed(np.unique(keys)), C.bitmap(arr), C.pack_u64(arr))
+            extra[h] = (C.signed(np.unique(keys)), C.pack_u64(arr))
     out = {n: [] for n in _SETS_ARROW.names}
     done = set()
     for r, (i, n, h) in enumerate(member):
         head = h is not None and seen[h][0] == i and h not in done
         if head:
             done.add(h)
-        keys, bits, payload = extra.get(h, (None, None, None)) if head else (None, None, None)
-        for c, v in zip(out, (int(i), n, number.get(h), h if head else None, text_hash(rows.column("text")[r].as_py()) if head else None, keys, bits, payload)):
+        keys, payload = extra.get(h, (None, None)) if head else (None, None)
+        for c, v in zip(out, (int(i), n, number.get(h), h if head else None, text_hash(rows.column("text")[r].as_py()) if head else None, keys, payload)):
             out[c].append(v)
     return pa.table(out, schema=_SETS_ARROW)
 
@@ -142,8 +148,8 @@ def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     heads = found.where("set_hash is not null")
     reps = heads.groupBy("set_hash").agg(F.min(F.struct("doc_id", "local")).alias("r")).select("set_hash", F.col("r.doc_id").alias("rep"), F.col("r.local").alias("sid"))
     sets = (heads.where("keys is not null").join(reps.select("sid"), F.col("local") == F.col("sid"), "left_semi")
-            .select(F.col("local").alias("sid"), F.col("n_shingles").alias("n"), "keys", "bitmap", "payload"))
-    comp = C.cut(C.link_components(C.written(sets), C.unpack_u64, C.jaccard_80))
+            .select(F.col("local").alias("sid"), F.col("n_shingles").alias("n"), "keys", "payload"))
+    comp = C.cut(C.link_components(C.written(sets), C.unpack_u64, C.jaccard_80, many_sets))
     # components are found over sets; the smallest doc_id of their sets names them
     named = comp.unionByName(comp.select(F.col("comp").alias("sid"), "comp")).distinct().join(reps.select("sid", "rep"), "sid")
     names = named.groupBy("comp").agg(F.min("rep").alias("name"))
