@@ -6,7 +6,9 @@ is found first: every 50-byte window has a minimiser (the smallest hash of its
 24-byte strings), equal windows have equal minimisers, and groups of documents
 learn which minimisers occur at least twice anywhere (``common.shared_hashes``).
 Only runs of windows with such a minimiser travel, once per group and distinct
-content, to the shard of the minimiser. Windows of a minimiser with more than
+content, to the shard of the minimiser (of its mixed hash: a minimum of many hashes is
+not uniform). A run is cut after ``RUN_WINDOWS`` windows, so runs of periodic text are as
+short as others, and the number of runs bounds bytes. Windows of a minimiser with more than
 ``HOT_RUNS`` runs travel one by one to the shard of their own hash: its surroundings
 may all differ, and would fill one shard. The count is that of all groups, so equal
 windows travel alike.
@@ -38,8 +40,9 @@ from pricelab.llm import common as C
 
 LENGTH = 50
 GRAM = 24
-SHARD_BYTES = 2 << 20
-HOT_RUNS = SHARD_BYTES // (2 * LENGTH - GRAM)    # so many distinct runs fill a suffix array
+SHARD_BYTES = 1 << 19                            # of one suffix array, unless one minimiser has more
+RUN_WINDOWS = LENGTH - GRAM + 1
+HOT_RUNS = (2 << 20) // (RUN_WINDOWS + LENGTH - 1)    # so many distinct runs of one minimiser stay together
 _U = np.uint64
 
 
@@ -49,7 +52,7 @@ def classify(t: np.ndarray) -> np.ndarray:
     """True where the suffix is S-type (smaller than the next one); the last is S."""
     n = len(t)
     differs = np.append(t[1:] != t[:-1], True)
-    nxt = np.minimum.accumulate(np.where(differs, np.arange(n), n)[::-1])[::-1]
+    nxt = np.minimum.accumulate(np.where(differs, np.arange(n, dtype=np.int32), np.int32(n))[::-1])[::-1]
     s = np.ones(n, bool)
     j = nxt[:-1]
     s[:-1] = t[j] < t[np.minimum(j + 1, n - 1)]
@@ -73,7 +76,7 @@ def induce(t: np.ndarray, is_s: np.ndarray, lms: np.ndarray, k: int) -> np.ndarr
     size = np.bincount(t, minlength=k)
     end = np.cumsum(size)
     start = end - size
-    sa = np.full(n, -1, np.int64)
+    sa = np.full(n, -1, np.int32)
     by = np.argsort(t[lms], kind="stable")
     seeds = lms[by]
     cut = np.searchsorted(t[seeds], np.arange(k + 1))
@@ -130,14 +133,14 @@ def suffix_array(t: np.ndarray, k: int) -> np.ndarray:
     n = len(t)
     is_s = classify(t)
     is_lms = np.concatenate([[False], is_s[1:] & ~is_s[:-1]])
-    lms = np.flatnonzero(is_lms)
+    lms = np.flatnonzero(is_lms).astype(np.int32)
     if len(lms) < 2:
         return induce(t, is_s, lms if len(lms) else np.array([n - 1]), k)
     sa = induce(t, is_s, lms, k)
     order = sa[is_lms[sa]]                         # LMS substrings, sorted
     # names: equal to the one before if bytes and length are
     until = np.append(lms[1:], n - 1)
-    length = np.zeros(n, np.int64)
+    length = np.zeros(n, np.int32)
     length[lms] = until - lms + 1
     a, b = order[:-1], order[1:]
     same = length[a] == length[b]
@@ -148,8 +151,9 @@ def suffix_array(t: np.ndarray, k: int) -> np.ndarray:
         same[live[bad]] = False
         live = live[~bad]
         depth += 1
-    name = np.zeros(n, np.int64)
+    name = np.zeros(n, np.int32)
     name[order] = np.concatenate([[0], np.cumsum(~same)])
+    del sa, order, length, until, a, b, same, live
     return induce(t, is_s, lms[sort_names(name[lms])], k)
 
 
@@ -160,16 +164,16 @@ def permuted_lcp(t: np.ndarray, sa: np.ndarray, cap: int) -> np.ndarray:
     one byte over all that still match, up to the next irreducible position plus
     ``cap``; the others are one less than the value to their left."""
     n = len(t)
-    phi = np.full(n, -1, np.int64)
+    phi = np.full(n, -1, np.int32)
     phi[sa[1:]] = sa[:-1]
-    i = np.arange(n)
+    i = np.arange(n, dtype=np.int32)
     left = (i > 0) & (phi > 0)
     reducible = np.zeros(n, bool)
     x = np.flatnonzero(left)
     reducible[x] = t[x - 1] == t[phi[x] - 1]
     irr = np.flatnonzero(~reducible)
     need = np.diff(np.append(irr, n)) + cap        # values beyond this decide nothing
-    value = np.zeros(len(irr), np.int64)
+    value = np.zeros(len(irr), np.int32)
     live = np.flatnonzero(phi[irr] >= 0)
     depth = 0
     while len(live):
@@ -180,8 +184,8 @@ def permuted_lcp(t: np.ndarray, sa: np.ndarray, cap: int) -> np.ndarray:
         depth += 1
         value[live] = depth
         live = live[need[live] > depth]
-    at = np.repeat(np.arange(len(irr)), np.diff(np.append(irr, n)))
-    return np.maximum(value[at] - (i - irr[at]), 0)
+    size = np.diff(np.append(irr, n))
+    return np.maximum(np.repeat(value, size) - (i - np.repeat(irr.astype(np.int32), size)), 0)
 
 
 def smallest_owner(content: np.ndarray, lengths: np.ndarray, docs: np.ndarray, width: int = LENGTH) -> np.ndarray:
@@ -189,16 +193,17 @@ def smallest_owner(content: np.ndarray, lengths: np.ndarray, docs: np.ndarray, w
     smallest of ``docs`` over all runs that hold the same window."""
     runs = len(lengths)
     off = np.concatenate([[0], np.cumsum(lengths)])
-    t = np.ones(len(content) + runs + 1, np.int64)          # 1 separates runs, 0 ends
+    t = np.ones(len(content) + runs + 1, np.int32)          # 1 separates runs, 0 ends
     place = off[:-1] + np.arange(runs)
     at = np.repeat(place - off[:-1], lengths) + np.arange(len(content))
-    t[at] = content.astype(np.int64) + 2
+    t[at] = content.astype(np.int32) + 2
     t[-1] = 0
+    del at
     sa = suffix_array(t, 258)
     lcp = permuted_lcp(t, sa, width)
     count = lengths - width + 1
     starts = np.concatenate([[0], np.cumsum(count)])
-    window = np.full(len(t), -1, np.int64)
+    window = np.full(len(t), -1, np.int32)
     window[np.repeat(place - starts[:-1], count) + np.arange(starts[-1])] = np.arange(starts[-1])
     owner = np.repeat(docs, count)
     sorted_windows = window[sa]
@@ -216,8 +221,8 @@ def smallest_owner(content: np.ndarray, lengths: np.ndarray, docs: np.ndarray, w
 # ------------------------------------------------------------------------ groups
 
 def window_runs(b: np.ndarray, offs: np.ndarray):
-    """``(minimiser, start, end, row)`` of the maximal runs of windows of one row with
-    one minimiser; ``start:end`` are the bytes the run covers."""
+    """``(minimiser, start, end, row)`` of the runs of up to ``RUN_WINDOWS`` windows of one row
+    with one minimiser; ``start:end`` are the bytes the run covers."""
     g = C.gram_hashes(b, GRAM)
     span = LENGTH - GRAM + 1
     low, width = g, 1
@@ -237,8 +242,13 @@ def window_runs(b: np.ndarray, offs: np.ndarray):
     at = np.repeat(offs[:-1] - (np.cumsum(count) - count), count) + np.arange(total)
     m = low[at]
     first = np.flatnonzero(np.concatenate([[True], (m[1:] != m[:-1]) | (row[1:] != row[:-1])]))
-    last = np.append(first[1:], total) - 1
-    return m[first], at[first], at[last] + LENGTH, row[first]
+    size = np.diff(np.append(first, total))
+    pieces = -(-size // RUN_WINDOWS)
+    step = (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * RUN_WINDOWS
+    end = np.repeat(first + size, pieces)
+    first = np.repeat(first, pieces) + step
+    last = np.minimum(first + RUN_WINDOWS, end) - 1
+    return C.mix(m[first]), at[first], at[last] + LENGTH, row[first]
 
 
 def _group_values(rows: pa.Table):
