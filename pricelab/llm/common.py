@@ -56,6 +56,14 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def rows_of(docs: DataFrame, picked: DataFrame, bound: int) -> DataFrame:
+    """``docs`` joined with a sample of about ``bound`` ids, ``picked (doc_id, ...)``. The
+    sample is written and counted first, and broadcast if it keeps its bound, so that
+    the other texts stay where they are."""
+    picked = cut(picked)
+    return docs.join(F.broadcast(picked) if picked.count() <= 2 * bound else picked, "doc_id")
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark delete shuffle and checkpoint files that nothing refers to: its
     cleaner acts when the driver's JVM collects garbage, which iterative jobs reach

@@ -150,7 +150,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED):
         return None
     share = {q: int(1_000_000 * min(1.0, max_labelled / 2 / counts[q])) + 1 for q in (0, 1)}
     picked = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.when(F.col("quality") == 1, share[1]).otherwise(share[0]))
-    sample = docs.select("doc_id", "text").join(picked, "doc_id").select("text", F.col("quality").cast("int"))
+    sample = C.rows_of(docs.select("doc_id", "text"), picked, max_labelled).select("text", F.col("quality").cast("int"))
 
     def features(batches):
         for b in batches:

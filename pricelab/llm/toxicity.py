@@ -63,12 +63,21 @@ class OrdinalModel:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """``(text, toxic)`` of at most about ``max_labelled`` labelled documents."""
+    """``(text, toxic, weight)`` of at most about ``max_labelled`` labelled documents. Where there
+    are more, the rarer class fills up to half of them, and weights give each class the
+    share that it has of all labels."""
     marks = (labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    total = marks.count()
-    share = min(1.0, max_labelled / max(total, 1))
-    picked = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    return docs.select("doc_id", "text").join(picked, "doc_id").select("text", (F.col("toxic") > 0).cast("int").alias("toxic"))
+    marks = marks.select("doc_id", (F.col("toxic") > 0).cast("int").alias("toxic"))
+    count = {r["toxic"]: r["count"] for r in marks.groupBy("toxic").count().collect()}
+    if not count:
+        return docs.select("text", F.lit(0).alias("toxic"), F.lit(1.0).alias("weight")).limit(0)
+    rare = min(count, key=count.get)
+    quota = {rare: min(count[rare], max_labelled // 2)}
+    quota |= {k: min(n, max_labelled - quota[rare]) for k, n in count.items() if k != rare}
+    of = lambda values: F.when(F.col("toxic") == 1, F.lit(values.get(1))).otherwise(F.lit(values.get(0)))
+    picked = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < of({k: int(1_000_000 * quota[k] / n) for k, n in count.items()}))
+    weight = of({k: n / quota[k] for k, n in count.items()})
+    return C.rows_of(docs.select("doc_id", "text"), picked, max_labelled).select("text", "toxic", weight.alias("weight"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> OrdinalModel:
@@ -113,21 +122,22 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
                 ids.append(list(c))
                 vals.append(list(c.values()))
                 hits.append(hit)
-            yield pd.DataFrame({"ids": ids, "vals": vals, "hits": hits, "toxic": pdf["toxic"]})
+            yield pd.DataFrame({"ids": ids, "vals": vals, "hits": hits, "toxic": pdf["toxic"], "weight": pdf["weight"]})
 
-    rows = sample.mapInPandas(vectors, "ids array<int>, vals array<int>, hits int, toxic int").toPandas()
+    rows = sample.mapInPandas(vectors, "ids array<int>, vals array<int>, hits int, toxic int, weight double").toPandas()
     x = np.zeros((len(rows), len(names)), np.float32)
     for r, (i, v) in enumerate(zip(rows["ids"], rows["vals"])):
         x[r, np.asarray(i, int)] = v
     toxic = rows["toxic"].to_numpy() > 0
     y = np.where(toxic, np.where(rows["hits"].to_numpy() >= np.median(rows["hits"][toxic]), 2, 1), 0)
-    w, thresholds = fit_ordinal(x, y)
+    w, thresholds = fit_ordinal(x, y, rows["weight"].to_numpy(float))
     return OrdinalModel({f: float(w[i]) for f, i in index.items()}, thresholds)
 
 
-def fit_ordinal(x: np.ndarray, y: np.ndarray, steps: int = 400, rate: float = 0.05, l2: float = 1e-3):
-    """Maximum likelihood of the three-grade cumulative-link model (Adam, full batch)."""
+def fit_ordinal(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, steps: int = 400, rate: float = 0.05, l2: float = 1e-3):
+    """Maximum (weighted) likelihood of the three-grade cumulative-link model (Adam, full batch)."""
     n, f = x.shape
+    share = np.full(n, 1 / n) if weight is None else weight / weight.sum()
     p = np.zeros(f + 2)
     p[f], p[f + 1] = 1.0, 0.5          # theta_0 and log(theta_1 - theta_0)
     m, v = np.zeros_like(p), np.zeros_like(p)
@@ -138,9 +148,9 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray, steps: int = 400, rate: float = 0.
         c1 = 1 / (1 + np.exp(-np.clip(p[f] + gap - s, -40, 40)))
         d0, d1 = c0 * (1 - c0), c1 * (1 - c1)
         like = np.choose(y, [c0, c1 - c0, 1 - c1]).clip(1e-12)
-        g0 = np.choose(y, [d0, -d0, 0 * d0]) / like        # d log-likelihood / d theta_0
-        g1 = np.choose(y, [0 * d1, d1, -d1]) / like
-        grad = np.concatenate([-(x.T @ (-(g0 + g1))) / n + l2 * p[:f], [-(g0 + g1).mean(), -(g1 * gap).mean()]])
+        g0 = share * np.choose(y, [d0, -d0, 0 * d0]) / like        # d log-likelihood / d theta_0
+        g1 = share * np.choose(y, [0 * d1, d1, -d1]) / like
+        grad = np.concatenate([x.T @ (g0 + g1) + l2 * p[:f], [-(g0 + g1).sum(), -(g1 * gap).sum()]])
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
         p -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-9)
     return p[:f], (float(p[f]), float(p[f] + np.exp(np.clip(p[f + 1], -10, 10))))
