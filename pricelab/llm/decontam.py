@@ -160,6 +160,7 @@ def _per_document(hits: DataFrame, windows: DataFrame) -> DataFrame:
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> DataFrame:
     """``docs`` without the rows whose text shares a window with the benchmark."""
+    bad_id, bad_text = "decontam:bad_id", "decontam:bad_text"       # no column of the caller's
     bad = (_judged(docs, benchmark, span, BROADCAST_ROWS).where("contaminated")
-           .select(F.col("doc_id").alias("bad_id"), F.col("text_id").alias("bad_text")).distinct())
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")) & (_text_id() == F.col("bad_text")), "left_anti")
+           .select(F.col("doc_id").alias(bad_id), F.col("text_id").alias(bad_text)).distinct())
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(f"`{bad_id}`")) & (_text_id() == F.col(f"`{bad_text}`")), "left_anti")

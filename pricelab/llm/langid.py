@@ -43,7 +43,7 @@ def word_features(word: str, lexicon: dict[str, int]) -> list[int]:
     """Hashed features: bias, affixes, trigrams, whole word, lexicon language."""
     names = ["b"] + [f"p{k}{word[:k]}" for k in (1, 2, 3)] + [f"s{k}{word[-k:]}" for k in (1, 2, 3, 4)]
     edged = f"<{word}>"
-    names += [f"t{edged[i:i + 3]}" for i in range(min(len(edged) - 2, 24))]
+    names += [f"t{edged[i:i + 3]}" for i in range(len(edged) - 2)]
     names.append("w" + word)
     if word in lexicon:
         names.append(f"l{lexicon[word]}")
@@ -138,17 +138,16 @@ def train_crf(samples: list[tuple[str, list[str]]], langs: list[str], span: int
     runs = [(i, r) for i in pool for r in pool[i]]
     rng.shuffle(runs)
     flat = [(w, i) for i, r in runs for w in r]
-    flat = flat[:len(flat) // span * span] if len(flat) >= span else flat
     if not flat:
         return Crf(langs, np.zeros((DIM, n_lang), np.float32), np.zeros((n_lang, n_lang), np.float32), {})
-    t = span if len(flat) >= span else len(flat)
     vocab = {w: j for j, w in enumerate(dict.fromkeys(w for w, _ in flat))}
     feats = [word_features(w, lexicon) for w in vocab]
     col = np.concatenate([np.asarray(f) for f in feats])
     row = np.repeat(np.arange(len(feats)), [len(f) for f in feats])
     x = np.array([vocab[w] for w, _ in flat])
     y = np.array([i for _, i in flat])
-    starts, lengths = np.arange(0, len(flat), t), np.full(len(flat) // t, t)
+    starts = np.arange(0, len(flat), span)
+    lengths = np.minimum(span, len(flat) - starts)
     first = np.zeros(len(flat), bool)
     first[starts] = True
     inner = np.flatnonzero(~first)
@@ -191,7 +190,7 @@ def predictor(model: Crf | None):
         flat, rows, lengths = [], [], []
         for r, text in enumerate(texts):
             words = words_of(text)
-            if not any(w[0].isalpha() for w in words):
+            if not any(c.isalpha() for w in words for c in w):
                 continue
             for w in words:
                 at = ids.get(w)

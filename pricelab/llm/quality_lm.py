@@ -60,16 +60,21 @@ def _batches(texts: list, limit: int = 1 << 18):
             have, rows, size = [], [], 0
 
 
+TRUSTED_ID = "quality_lm:trusted_id"        # no column of the caller's
+
+
 def trusted_ids(labels: DataFrame) -> DataFrame:
     return (labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("q"))
-            .where("q >= 1").select(F.col("doc_id").alias("t_id")))
+            .where("q >= 1").select(F.col("doc_id").alias(TRUSTED_ID)))
 
 
 def with_trust(docs: DataFrame, labels: DataFrame, columns: list[str]) -> DataFrame:
     """``docs`` and whether each is trusted; the ids are broadcast only if few."""
     ids = C.cut(trusted_ids(labels))
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    return docs.join(ids, docs["doc_id"] == F.col("t_id"), "left").select(*columns, F.col("t_id").isNotNull().alias("trusted"))
+    docs = docs.select(*columns)
+    found = F.col(f"`{TRUSTED_ID}`")
+    return docs.join(ids, docs["doc_id"] == found, "left").select(*columns, found.isNotNull().alias("trusted"))
 
 
 def gram_counts(docs: DataFrame) -> DataFrame:
