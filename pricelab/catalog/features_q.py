@@ -300,7 +300,7 @@ def _optimized_sql() -> str:
 
 @query("optimized_features", _optimized_sql(), ("PF14",))
 def optimized_features(spark, sf):
-    return fe.optimized_features(features(spark, sf))
+    return _rounded(fe.optimized_features(fe.complete_rows(fe.create_features(_bars(spark, sf), drop_incomplete=False))))
 
 
 @query("feature_catalog", None, ("PF12", "PF13"))

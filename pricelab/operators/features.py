@@ -10,12 +10,14 @@ non-null inputs, ``std`` is ddof=1, divisions follow ``pdiv`` (x/0 = +-inf,
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.calendar import calendar_columns
 from ..functions.expr import pdiv
-from .ema import add_ema, ema_lookback
+from .ema import BUCKET, ema_lookback, ema_stage
 from .layout import SeriesLayout, series_layout
 
 # Fixed values that must equal the reference's feature set.
@@ -240,31 +242,41 @@ def create_features(bars: DataFrame, series: str = "series", order="dt", price:
     reference's column order (price, lag, rolling, volatility, technical,
     seasonal, targets), then drop-incomplete (PF7).
 
-    Plan: one Exchange on the layout keys, two Window nodes (lags; frames over
-    them), projections, then the EMA/MACD ``applyInPandas`` on the same
-    partitioning, so no second shuffle."""
+    Plan: one Exchange on the layout keys, the EMA scan on the narrow bars, then two
+    Window nodes (lags; frames over them) in the order that the scan left, so neither
+    a second shuffle nor a sort of wide rows. All of it is expressions: a caller
+    that selects some features gets only their windows computed."""
     lay = layout or feature_layout(bars, series, order, True, mode, chunk_rows)
     first = order if isinstance(order, str) else order[0]
+    keep = list(lay.df.columns)
+    lay = replace(lay, df=ema_stage(lay, price=price, spans=EMA_SPANS, macd=MACD), order=[BUCKET, *lay.order])
 
     def s1(W1):
         return price_columns(bars, W1, price) + lag_columns(bars, W1, price)
 
     def s2(W2, f1):
-        cols = (rolling_columns(f1, W2, price, with_ema=False) + volatility_columns(f1, W2, price)
-                + technical_columns(W2, price, with_macd=False) + calendar_columns(first))
+        cols = (rolling_columns(f1, W2, price) + volatility_columns(f1, W2, price)
+                + technical_columns(W2, price) + calendar_columns(first))
         return cols + (target_columns(W2, price) if targets else [])
 
-    stage2 = two_stage(lay, bars, s1, s2, price)
-    with_ema = add_ema(lay, stage2, price=price, spans=EMA_SPANS, macd=MACD)
-    names = list(stage2.columns)
-    at = names.index("price_position_20") + 1
-    names = names[:at] + [f"ema_{s}" for s in EMA_SPANS] + names[at:]
-    at = names.index("rsi_7") + 1
-    names = names[:at] + ["macd", "macd_signal", "macd_histogram"] + names[at:]
-    out = lay.finish(with_ema.select(*names))
+    out = lay.finish(two_stage(lay, bars, s1, s2, price, keep))
     return out.na.drop("any") if drop_incomplete else out
 
 
+#: Features whose presence implies that of all others: the longest window of each input,
+#: and every quotient that can be 0/0 by itself. A move among the last 7 closes (rsi_7)
+#: means that the wider ranges and deviations below other quotients are not 0 either.
+WITNESSES = ("price_change_pct", "return_lag_5", "hl_ratio", "close_to_high", "close_to_low", "oc_change_pct", "hl_range_pct", "volume_lag_1",
+             "volume_lag_2", "volume_lag_5", "roll_mean_50", "volatility_30", "hl_range_avg_20", "atr_14", "rsi_7")
+
+
+def complete_rows(features: DataFrame) -> DataFrame:
+    """The rows that drop-incomplete (PF7) keeps, by a few columns only, so that the other
+    features need not be computed for a caller that does not select them."""
+    decide = [c for c in features.columns if c in WITNESSES or c in TARGETS or c in BASE_COLUMNS or c in ("series", "dt", "seq")]
+    return features.na.drop("any", subset=decide)
+
+
 def feature_columns(df: DataFrame, exclude_targets: bool = True,
                     keys: tuple[str, ...] = ("series", "dt", "seq")) -> list[str]:
     """PF12: every column except OHLCV, keys and (optionally) the targets."""
@@ -273,8 +285,8 @@ def feature_columns(df: DataFrame, exclude_targets: bool = True,
 
 
 def optimized_features(features: DataFrame, keys=("series", "dt")) -> DataFrame:
-    """PF14: the documented 12-feature set + targets (Catalyst prunes the rest
-    of the plan, so only these columns are computed)."""
+    """PF14: the documented 12-feature set + targets. Over ``complete_rows`` only these
+    and the columns that decide completeness are computed."""
     return features.select(*keys, *OPTIMIZED_FEATURES, *TARGETS)
 
 
