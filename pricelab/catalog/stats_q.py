@@ -211,13 +211,25 @@ def residual_verdict(spark, sf):
     return st.residual_verdict(lb, st.normality_tests(r, "returns"))
 
 
-# TS5 (inverse normal needs Python: rows-only check) ----------------------
+# TS5 ----------------------------------------------------------------------
 
-@query("qq_points", None, ("TS5",))
+def _qq_sql() -> str:
+    m = sm.S("(CASE WHEN i = n THEN pow(CAST(0.5 AS DOUBLE), 1 / CAST(n AS DOUBLE)) WHEN i = 1 THEN 1 - pow(CAST(0.5 AS DOUBLE), 1 / CAST(n AS DOUBLE)) "
+             "ELSE (i - CAST(0.3175 AS DOUBLE)) / (n + CAST(0.365 AS DOUBLE)) END)")
+    return (f", o AS (SELECT series, returns AS sample, row_number() OVER (PARTITION BY series ORDER BY returns, dt) AS i, "
+            f"count(*) OVER (PARTITION BY series) AS n FROM _r WHERE returns IS NOT NULL),\n"
+            f"pm AS (SELECT *, {m} AS p FROM o),\npr AS (SELECT *, {sm.ppf_tail_root(sm.S('p'), sm.SqlOps)} AS r FROM pm),\n"
+            f"qq AS (SELECT series, i, sample, {sm.norm_ppf(sm.S('p'), sm.S('r'), sm.SqlOps)} AS theoretical FROM pr)")
+
+
+@query("qq_points", _sql(_qq_sql() + "\nSELECT series, i, round(sample, 9) AS sample, round(theoretical, 9) AS theoretical FROM qq"
+                         ).replace("\n, o AS", ", o AS"), ("TS5",))
 def qq_points(spark, sf):
-    return st.qq_points(_returns(spark, sf), "returns")
+    return round_df(st.qq_points(_returns(spark, sf), "returns"), {"sample": 9, "theoretical": 9})
 
 
-@query("qq_line", None, ("TS5",))
+@query("qq_line", _sql(_qq_sql() + "\nSELECT series, round(regr_slope(sample, theoretical), 9) AS slope, "
+                       "round(regr_intercept(sample, theoretical), 9) AS intercept, round(corr(sample, theoretical), 9) AS r FROM qq GROUP BY series"
+                       ).replace("\n, o AS", ", o AS"), ("TS5",))
 def qq_line(spark, sf):
-    return st.qq_line(st.qq_points(_returns(spark, sf), "returns"))
+    return round_df(st.qq_line(st.qq_points(_returns(spark, sf), "returns")), {"slope": 9, "intercept": 9, "r": 9})

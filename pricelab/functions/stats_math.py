@@ -6,6 +6,7 @@ oracle (``SqlOps``).
 
 * ``norm_cdf``: Hart's double-precision algorithm as published by G. West,
   "Better approximations to cumulative normal functions" (2005).
+* ``norm_ppf``: inverse normal, algorithm AS 241 (Wichura, 1988), about 1e-16.
 * ``chi2_sf``: closed forms for integer degrees of freedom (even: Poisson sum;
   odd: normal tail + finite sum), unrolled up to ``max_df``.
 """
@@ -225,3 +226,41 @@ def adf_pvalue(tau, ops=SparkOps):
     p = ops.when(tau <= L(ADF_C_TAU_STAR), norm_cdf(small, ops), norm_cdf(large, ops))
     return ops.when(tau > L(ADF_C_TAU_MAX), L(1.0), ops.when(tau < L(ADF_C_TAU_MIN), L(0.0), p))
 
+
+
+# Coefficients of AS 241 (PPND16), highest power first.
+PPF_CENTRE = ((2.5090809287301226727e3, 3.3430575583588128105e4, 6.7265770927008700853e4, 4.5921953931549871457e4,
+               1.3731693765509461125e4, 1.9715909503065514427e3, 1.3314166789178437745e2, 3.3871328727963666080e0),
+              (5.2264952788528545610e3, 2.8729085735721942674e4, 3.9307895800092710610e4, 2.1213794301586595867e4,
+               5.3941960214247511077e3, 6.8718700749205790830e2, 4.2313330701600911252e1, 1.0))
+PPF_TAIL = ((7.74545014278341407640e-4, 2.27238449892691845833e-2, 2.41780725177450611770e-1, 1.27045825245236838258e0,
+             3.64784832476320460504e0, 5.76949722146069140550e0, 4.63033784615654529590e0, 1.42343711074968357734e0),
+            (1.05075007164441684324e-9, 5.47593808499534494600e-4, 1.51986665636164571966e-2, 1.48103976427480074590e-1,
+             6.89767334985100004550e-1, 1.67638483018380384940e0, 2.05319162663775882187e0, 1.0))
+PPF_FAR = ((2.01033439929228813265e-7, 2.71155556874348757815e-5, 1.24266094738807843860e-3, 2.65321895265761230930e-2,
+            2.96560571828504891230e-1, 1.78482653991729133580e0, 5.46378491116411436990e0, 6.65790464350110377720e0),
+           (2.04426310338993978564e-15, 1.42151175831644588870e-7, 1.84631831751005468180e-5, 7.86869131145613259100e-4,
+            1.48753612908506148525e-2, 1.36929880922735805310e-1, 5.99832206555887937690e-1, 1.0))
+
+
+def ppf_tail_root(p, ops=SparkOps):
+    """The argument of the tail polynomials; where they are not used, any defined value."""
+    q = p - 0.5
+    return ops.sqrt(-ops.ln(ops.when(ops.abs(q) <= 0.425, ops.lit(0.5), ops.when(q < 0, p, 1.0 - p))))
+
+
+def norm_ppf(p, r, ops=SparkOps):
+    """Inverse of the standard normal CDF for 0 < p < 1, with ``r = ppf_tail_root(p)``. Both should
+    be columns of their own: they occur in every term."""
+    def ratio(coefficients, r):
+        out = []
+        for poly in coefficients:
+            acc = ops.lit(poly[0])
+            for c in poly[1:]:
+                acc = acc * r + ops.lit(c)
+            out.append(acc)
+        return out[0] / out[1]
+
+    q = p - 0.5
+    tail = ops.when(r <= 5.0, ratio(PPF_TAIL, r - 1.6), ratio(PPF_FAR, r - 5.0))
+    return ops.when(ops.abs(q) <= 0.425, ratio(PPF_CENTRE, 0.180625 - q * q) * q, ops.when(q < 0, -tail, tail))

@@ -9,15 +9,14 @@ from row positions in value order, never by collecting a group's values.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from ..functions.expr import pdiv
-from ..functions.stats_math import (SparkOps, chi2_sf, chi2_sf_var, kurtosistest_z, skewtest_z,
+from ..functions.stats_math import (SparkOps, chi2_sf, chi2_sf_var, kurtosistest_z, norm_ppf, ppf_tail_root, skewtest_z,
                                     z_two_sided)
-from .layout import OWN, POS, resolve_mode, series_layout, with_positions
+from .layout import OWN, POS, resolve_mode, series_layout
+from .positions import quantiles, value_positions
 
 ALPHA = 0.05
 TRADING_DAYS = 252
@@ -38,44 +37,22 @@ def simple_returns(df: DataFrame, price: str = "close", series: str = "series",
 
 def exact_quantiles(df: DataFrame, value: str, probs=(0.25, 0.5, 0.75), series: str = "series",
                     mode: str = "auto") -> DataFrame:
-    """Linear-interpolation quantiles (numpy/pandas default) per series.
-
-    Positions in value order come from ``with_positions`` (skew-safe), then
-    only the 2 rows around each cut are kept and interpolated."""
-    v = df.select(series, F.col(value).alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    p = with_positions(v, series, ["_v"], mode)
-    picks = []
-    for q in probs:
-        h = (F.col("_n") - 1) * F.lit(float(q))
-        lo, hi = F.floor(h), F.ceil(h)
-        picks.append(F.when(F.col(POS) == lo, F.struct(F.lit(q).alias("q"), (h - lo).alias("f"), F.lit(0).alias("s"))))
-        picks.append(F.when(F.col(POS) == hi, F.struct(F.lit(q).alias("q"), (h - lo).alias("f"), F.lit(1).alias("s"))))
-    tagged = p.select(series, "_v", F.explode(F.filter(F.array(*picks), lambda x: x.isNotNull())).alias("t"))
-    g = tagged.groupBy(series, F.col("t.q").alias("q")).agg(
-        F.first("t.f").alias("f"),
-        F.max(F.when(F.col("t.s") == 0, F.col("_v"))).alias("a"),
-        F.max(F.when(F.col("t.s") == 1, F.col("_v"))).alias("b"))
-    val = F.col("a") + (F.col("b") - F.col("a")) * F.col("f")
-    return g.select(series, "q", val.alias("value"))
+    """Linear-interpolation quantiles (numpy/pandas default) per series (``positions.quantiles``)."""
+    return quantiles(df, value, probs, [series], resolve_mode(df, series, mode))
 
 
 def describe(df: DataFrame, cols: list[str], series: str = "series", digits: int | None = 2) -> DataFrame:
-    """AG1: count, mean, std (ddof 1), min, 25/50/75 %, max per (series, column)."""
-    outs = []
+    """AG1: count, mean, std (ddof 1), min, 25/50/75 %, max per (series, column), all
+    columns in one pass over a long table."""
     mode = resolve_mode(df, series)
-    for c in cols:
-        x = F.col(c)
-        base = df.groupBy(series).agg(F.count(x).alias("count"), F.avg(x).alias("mean"),
-                                      F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-                                      F.max(x).alias("max"))
-        q = exact_quantiles(df, c, (0.25, 0.5, 0.75), series, mode)
-        qw = q.groupBy(series).pivot("q", [0.25, 0.5, 0.75]).agg(F.first("value"))
-        qw = qw.select(series, *[F.col(f"`{k}`").alias(n) for k, n in (("0.25", "p25"), ("0.5", "p50"),
-                                                                      ("0.75", "p75"))])
-        outs.append(base.join(qw, series).withColumn("column", F.lit(c)))
-    out = outs[0]
-    for o in outs[1:]:
-        out = out.unionByName(o)
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols])).alias("cell")
+    lng = df.select(series, cells).select(series, "cell.column", "cell.x")
+    keys = [series, "column"]
+    base = lng.groupBy(*keys).agg(F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
+                                  F.min("x").alias("min"), F.max("x").alias("max"))
+    q = quantiles(lng, "x", (0.25, 0.5, 0.75), keys, mode)
+    at = lambda p: F.max(F.when(F.col("q") == p, F.col("value")))
+    out = base.join(q.groupBy(*keys).agg(at(0.25).alias("p25"), at(0.5).alias("p50"), at(0.75).alias("p75")), keys, "left")
     stats = ["mean", "std", "min", "p25", "p50", "p75", "max"]
     sel = [series, "column", F.col("count")]
     sel += [(F.round(F.col(s).cast("double"), digits) if digits is not None else F.col(s).cast("double")).alias(s)
@@ -236,22 +213,17 @@ def residual_verdict(lb: DataFrame, normal: DataFrame, series: str = "series") -
 # TS5: Q-Q points
 # ---------------------------------------------------------------------------
 
-@F.pandas_udf(DoubleType())
-def _norm_ppf(p: pd.Series) -> pd.Series:
-    from statistics import NormalDist
-    nd = NormalDist()
-    return p.map(nd.inv_cdf)
-
-
-def qq_points(df: DataFrame, value: str, series: str = "series") -> DataFrame:
-    """TS5: ordered sample vs normal quantiles at Filliben's medians."""
-    v = df.select(series, F.col(value).alias("sample")).where(F.col("sample").isNotNull())
-    p = with_positions(v, series, ["sample"])
+def qq_points(df: DataFrame, value: str, series: str = "series", dt: str = "dt", mode: str = "auto") -> DataFrame:
+    """TS5: ordered sample vs normal quantiles at Filliben's medians. ``dt`` tells
+    equal samples apart, so a hot value is cut up like others."""
+    v = df.select(series, F.col(value).alias("sample"), dt).where(F.col("sample").isNotNull())
+    p = value_positions(v, [series], ["sample", dt], resolve_mode(v, series, mode))
     i = F.col(POS) + 1
     n = F.col("_n").cast("double")
     last = F.pow(F.lit(0.5), 1 / n)
     m = (F.when(i == F.col("_n"), last).when(i == 1, 1 - last).otherwise((i - 0.3175) / (n + 0.365)))
-    return p.select(series, i.alias("i"), "sample", _norm_ppf(m).alias("theoretical"))
+    p = p.select(series, i.alias("i"), "sample", m.alias("_p")).withColumn("_r", ppf_tail_root(F.col("_p")))
+    return p.select(series, "i", "sample", norm_ppf(F.col("_p"), F.col("_r")).alias("theoretical"))
 
 
 def qq_line(points: DataFrame, series: str = "series") -> DataFrame:
