@@ -106,17 +106,21 @@ def backtest_naive(spark, sf):
 
 
 @query("align_prefix", with_ctes("""
-WITH p AS (SELECT series, predicted, row_number() OVER (PARTITION BY series ORDER BY dt) AS k
-           FROM forecasts WHERE model = 'ma5' AND predicted IS NOT NULL),
+WITH p AS (SELECT series, model, predicted, row_number() OVER (PARTITION BY series, model ORDER BY dt) AS k
+           FROM forecasts WHERE predicted IS NOT NULL),
 a AS (SELECT series, close AS actual, row_number() OVER (PARTITION BY series ORDER BY dt) AS k FROM bars_daily),
-j AS (SELECT p.series, p.predicted, a.actual FROM p JOIN a ON p.series = a.series AND p.k = a.k)
-""" + metrics_sql("j", "series"), "forecasts"), ("JN5",))
+j AS (SELECT p.series, p.model, p.predicted, a.actual FROM p JOIN a ON p.series = a.series AND p.k = a.k)
+""" + metrics_sql("j", "series, model"), "forecasts"), ("JN5",))
 def align_prefix(spark, sf):
     """The reference's positional tree scoring: k-th prediction vs k-th bar."""
-    f = fixtures.forecasts(spark, sf).where((F.col("model") == "ma5") & F.col("predicted").isNotNull())
+    f = fixtures.forecasts(spark, sf).where(F.col("predicted").isNotNull())
     b = fixtures.bars_daily(spark, sf).select("series", "dt", F.col("close").alias("actual"))
-    j = ev.align_prefix(f.select("series", "dt", "predicted"), b)
-    return _r(ev.forecast_metrics(j, ["series"]))
+    # one sequence of predictions per series and model
+    tagged = lambda d: d.withColumn("of", F.concat_ws("|", "series", "model"))
+    names = f.select("series", "model").distinct()
+    j = ev.align_prefix(tagged(f).select("of", "dt", "predicted"), tagged(b.join(names, "series")).select("of", "dt", "actual"), ("of",))
+    at = F.split("of", "\\|")
+    return _r(ev.forecast_metrics(j.select(at[0].alias("series"), at[1].alias("model"), "actual", "predicted"), ["series", "model"]))
 
 
 _M = metrics_sql("forecasts", "series, model, horizon")

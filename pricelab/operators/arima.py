@@ -3,12 +3,16 @@
 Estimation is Hannan-Rissanen instead of exact MLE (no per-series iterative
 solver): (a) a long AR(m) by least squares gives innovation estimates e_t;
 (b) least squares of z_t on z_(t-1..t-p) and e_(t-1..t-q) gives phi, theta;
-sigma^2 = SSR / n. z = d-th difference of the level, no constant (d >= 1).
-Estimates differ from the reference library's MLE by sampling error.
+sigma^2 = SSR / n. z = d-th difference of the level, d = 0, 1, 2, ...; a constant is
+estimated in both stages for d = 0 only. Estimates differ from the reference library's MLE by sampling error.
 
 Both stages are moment sums (Spark aggregates over lagged columns); only the
 (m x m) and ((p+q) x (p+q)) solves run in numpy, batched over series.
 
+A fitted model is a table (``model_table``): coefficients and the state that a forecast
+needs (last levels, differences, innovations) per series. ``forecast`` joins it with
+requests, a horizon per row, and runs the recursion in JVM expressions.
+
 Rolling origins (FM3) use expanding moments: the sums up to each row give the
 refit at every origin in one pass (O(n k^2) instead of n refits); stage (a)
 innovations are recursive one-step errors, so no origin sees the future.
@@ -45,16 +49,25 @@ def _diff(y: str, w, d: int) -> Column:
     return out
 
 
+def _levels(d: int) -> list[str]:
+    """Columns of the level and its first d - 1 differences, which integration starts from."""
+    return [f"_lv{k}" for k in range(d)]
+
+
+def _constant(d: int) -> list[Column]:
+    return [F.lit(1.0)] if d == 0 else []
+
+
 def _stage_frame(bars: DataFrame, y: str, d: int, m: int, series: str, dt: str, mode: str):
-    """Own rows with z (differenced level) and z lags 1..m."""
+    """Own rows with z (differenced level), z lags 1..m and the levels below z."""
     lay = series_layout(bars, series, dt, lookback=d + m, mode=mode)
     w = lay.window()
     z = _diff(y, w, d)
-    df = lay.df.select("*", z.alias("z"))
+    df = lay.df.select("*", z.alias("z"), *[_diff(y, w, k).alias(n) for k, n in enumerate(_levels(d))])
     df = df.select("*", *[F.lag("z", i).over(w).alias(f"z{i}") for i in range(1, m + 1)])
     keep = [OWN] if lay.halo else []
     pos = [POS] if POS in df.columns else []
-    return lay.finish_keep_pos(df.select(series, dt, y, "z", *[f"z{i}" for i in range(1, m + 1)], *keep, *pos))
+    return lay.finish_keep_pos(df.select(series, dt, y, "z", *[f"z{i}" for i in range(1, m + 1)], *_levels(d), *keep, *pos))
 
 
 def _coef_table(sums: DataFrame, series: str, k: int, names: list[str]) -> DataFrame:
@@ -78,7 +91,7 @@ def _coef_table(sums: DataFrame, series: str, k: int, names: list[str]) -> DataF
 
 def arima_fit(bars: DataFrame, order=DEFAULT_ORDER, y: str = "close", series: str = "series", dt: str = "dt",
               m: int | None = None, mode: str = "auto") -> DataFrame:
-    """FM1: per series phi[p], theta[q], sigma2, llf, aic, bic, n (HR estimates)."""
+    """FM1: per series phi[p], theta[q], const, sigma2, llf, aic, bic, n (HR estimates)."""
     mode = resolve_mode(bars, series, mode)
     p, d, q = order
     m = m or long_ar_order(p, q)
@@ -91,15 +104,15 @@ def _innovations(base: DataFrame, order, m: int, series: str, dt: str, mode: str
     """Stage (a): long AR(m) on z, innovations e_t = z_t - phi_a . lags; then
     lags of z (1..p) and e (1..q) for stage (b)."""
     p, d, q = order
-    lags = [F.col(f"z{i}") for i in range(1, m + 1)]
+    regs = _constant(d) + [F.col(f"z{i}") for i in range(1, m + 1)]
     full = base.where(F.col(f"z{m}").isNotNull() & F.col("z").isNotNull())
-    prods = ols.cross_products(lags, F.col("z"))
+    prods = ols.cross_products(regs, F.col("z"))
     sums = full.groupBy(series).agg(F.count(F.lit(1)).alias("n"), F.array(*[F.sum(c) for c in prods]).alias("s"))
-    coef = _coef_table(sums, series, m, [f"z{i}" for i in range(1, m + 1)]).select(series, F.col("coef").alias("_phi_a"))
-    pred = sum((F.col("_phi_a")[i - 1] * F.col(f"z{i}") for i in range(1, m + 1)), F.lit(0.0))
+    coef = _coef_table(sums, series, len(regs), []).select(series, F.col("coef").alias("_phi_a"))
+    pred = sum((F.col("_phi_a")[i] * r for i, r in enumerate(regs)), F.lit(0.0))
     pos = [POS] if POS in base.columns else []
     e = base.join(coef, series).select(series, dt, "z", *[f"z{i}" for i in range(1, max(p, 1) + 1)],
-                                       (F.col("z") - pred).alias("e"), *pos)
+                                       (F.col("z") - pred).alias("e"), *_levels(d), *pos)
     lay = series_layout(e, series, dt, lookback=q, mode=mode)
     w = lay.window()
     out = lay.df.select("*", *[F.lag("e", j).over(w).alias(f"e{j}") for j in range(1, q + 1)])
@@ -108,11 +121,12 @@ def _innovations(base: DataFrame, order, m: int, series: str, dt: str, mode: str
 
 def _stage_b_fit(state: DataFrame, order, series: str) -> DataFrame:
     p, d, q = order
-    regs = [F.col(f"z{i}") for i in range(1, p + 1)] + [F.col(f"e{j}") for j in range(1, q + 1)]
+    c = len(_constant(d))
+    regs = _constant(d) + [F.col(f"z{i}") for i in range(1, p + 1)] + [F.col(f"e{j}") for j in range(1, q + 1)]
     ok = F.col("z").isNotNull()
     for r in regs:
         ok = ok & r.isNotNull()
-    k = p + q
+    k = len(regs)
     prods = ols.cross_products(regs, F.col("z"))
     sums = state.where(ok).groupBy(series).agg(F.count(F.lit(1)).alias("n"),
                                                F.array(*[F.sum(c) for c in prods]).alias("s"))
@@ -121,8 +135,9 @@ def _stage_b_fit(state: DataFrame, order, series: str) -> DataFrame:
     sigma2 = F.col("ssr") / n
     llf = -n / 2 * (F.log(2 * math.pi * sigma2) + 1)
     kk = float(k + 1)
-    return fit.select(series, "n", F.slice("coef", 1, p).alias("phi") if p else F.array().cast("array<double>").alias("phi"),
-                      F.slice("coef", p + 1, q).alias("theta") if q else F.array().cast("array<double>").alias("theta"),
+    return fit.select(series, "n", F.slice("coef", c + 1, p).alias("phi") if p else F.array().cast("array<double>").alias("phi"),
+                      F.slice("coef", c + p + 1, q).alias("theta") if q else F.array().cast("array<double>").alias("theta"),
+                      (F.col("coef")[0] if c else F.lit(0.0)).alias("const"),
                       sigma2.alias("sigma2"), llf.alias("llf"), (2 * kk - 2 * llf).alias("aic"),
                       (kk * F.log(n) - 2 * llf).alias("bic"))
 
@@ -136,8 +151,8 @@ def arima_residuals(bars: DataFrame, order=DEFAULT_ORDER, y: str = "close", seri
     m = m or long_ar_order(p, q)
     base = _stage_frame(bars, y, d, m, series, dt, mode)
     state = _innovations(base, order, m, series, dt, mode)
-    fit = _stage_b_fit(state, order, series).select(series, "phi", "theta")
-    pred = F.lit(0.0)
+    fit = _stage_b_fit(state, order, series).select(series, "phi", "theta", "const")
+    pred = F.col("const")
     for i in range(1, p + 1):
         pred = pred + F.col("phi")[i - 1] * F.col(f"z{i}")
     for j in range(1, q + 1):
@@ -150,77 +165,96 @@ def arima_residuals(bars: DataFrame, order=DEFAULT_ORDER, y: str = "close", seri
 # Forecasting (FM2, FM11, UD1)
 # ---------------------------------------------------------------------------
 
-def recurse_batch(y_last: np.ndarray, Z: np.ndarray, E: np.ndarray, PHI: np.ndarray, THETA: np.ndarray,
-                  horizons) -> np.ndarray:
+def recurse_batch(levels: np.ndarray, Z: np.ndarray, E: np.ndarray, PHI: np.ndarray, THETA: np.ndarray,
+                  horizons, const=0.0) -> np.ndarray:
     """Vectorised forecast recursion for B rows at once (loop only over steps).
 
-    Z (B, p): last diffs, most recent first; E (B, q): last innovations;
-    PHI (B, p), THETA (B, q). Returns (B, len(horizons)) levels (d = 1)."""
+    levels (B, d): the level and its first d - 1 differences; Z (B, p): last diffs, most recent
+    first; E (B, q): last innovations; PHI (B, p), THETA (B, q), const a number or (B,).
+    Returns (B, len(horizons)) levels."""
     B, p = Z.shape
-    q = E.shape[1]
+    q, d = E.shape[1], levels.shape[1]
     hmax = max(horizons)
     zs = np.concatenate([np.zeros((B, hmax)), Z], axis=1)  # column hmax-1 .. : newest first after fill
     es = np.concatenate([np.zeros((B, hmax)), E], axis=1)
-    level = y_last.astype(float).copy()
+    level = levels.astype(float).copy()
     out = {}
     for h in range(1, hmax + 1):
         start = hmax - h + 1  # most recent known value sits at column `start`
-        zf = np.einsum("bi,bi->b", PHI, zs[:, start:start + p]) if p else np.zeros(B)
+        zf = np.zeros(B) + const
+        if p:
+            zf = zf + np.einsum("bi,bi->b", PHI, zs[:, start:start + p])
         if q:
             zf = zf + np.einsum("bj,bj->b", THETA, es[:, start:start + q])
         zs[:, start - 1] = zf
         es[:, start - 1] = 0.0
-        level = level + zf
-        out[h] = level.copy()
+        for k in range(d - 1, -1, -1):          # integrate: each level gains the one below
+            level[:, k] += zf
+            zf = level[:, k]
+        out[h] = zf.copy()
     return np.stack([out[h] for h in horizons], axis=1)
 
 
-def arima_forecast(bars: DataFrame, order=DEFAULT_ORDER, horizons=(1, 2, 5), y: str = "close",
-                   series: str = "series", dt: str = "dt", m: int | None = None, mode: str = "auto") -> DataFrame:
-    """FM2: fit on the whole history, forecast the given horizons from the last
-    bar. The per-series state (last level, p diffs, q innovations) is the top-1
-    row per series; the recursion runs batched over series."""
+MODEL_COLUMNS = ("p int, d int, q int, phi array<double>, theta array<double>, const double, sigma2 double, llf double, aic double, bic double, n long, "
+                 "levels array<double>, diffs array<double>, innovations array<double>")
+
+
+def model_table(bars: DataFrame, order=DEFAULT_ORDER, y: str = "close", series: str = "series", dt: str = "dt",
+                m: int | None = None, mode: str = "auto") -> DataFrame:
+    """FM1 + state, one row per series: the fit, ``as_of`` and, newest first, what the
+    recursion starts from. Latest rows come from a grouped max_by (map-side)."""
     mode = resolve_mode(bars, series, mode)
     p, d, q = order
-    if d != 1:
-        raise ValueError("forecast recursion implemented for d = 1")
     m = m or long_ar_order(p, q)
     base = _stage_frame(bars, y, d, m, series, dt, mode)
     state = _innovations(base, order, m, series, dt, mode)
-    fit = _stage_b_fit(state, order, series).select(series, "phi", "theta", "n")
-    levels = bars.select(series, dt, F.col(y).alias("_y"))
-    zc = [F.col("z")] + [F.col(f"z{i}") for i in range(1, p)]
-    ec = [F.col("e")] + [F.col(f"e{j}") for j in range(1, q)]
-    # Latest row per series by a grouped max_by (combines map-side; no task
-    # sorts a whole series).
-    row = F.struct(F.col(dt).alias("as_of"), F.col("_y").alias("y_last"), F.array(*zc).alias("zh"),
-                   F.array(*ec).alias("eh"))
-    last = state.join(levels, [series, dt]).groupBy(series).agg(F.max_by(row, F.col(dt)).alias("_l"))
-    st = last.join(fit, series).select(series, "_l.as_of", "_l.y_last", "_l.zh", "_l.eh", "phi", "theta")
-    hs = list(horizons)
-    schema = "series string, as_of " + dict(bars.dtypes)[dt] + ", horizon int, forecast double"
-    schema = schema.replace("series string", f"{series} string")
+    fit = _stage_b_fit(state, order, series)
+    none = F.array().cast("array<double>")
+    pack = lambda cols: F.array(*cols) if cols else none
+    row = F.struct(F.col(dt).alias("as_of"), pack([F.col(c) for c in _levels(d)]).alias("levels"),
+                   pack([F.col("z" if i == 0 else f"z{i}") for i in range(p)]).alias("diffs"),
+                   pack([F.col("e" if j == 0 else f"e{j}") for j in range(q)]).alias("innovations"))
+    last = state.groupBy(series).agg(F.max_by(row, F.col(dt)).alias("_l"))
+    named = [c.strip().split(" ")[0] for c in MODEL_COLUMNS.split(", ")]
+    return (fit.join(last, series).select("*", "_l.*").withColumns({"p": F.lit(p), "d": F.lit(d), "q": F.lit(q)})
+            .select(series, "as_of", *named))
+
+
+def forecast(models: DataFrame, requests: DataFrame, series: str = "series", horizon: str = "horizon") -> DataFrame:
+    """UD1: ``requests`` (series, horizon, ...) with ``as_of`` and ``forecast`` from the models of their
+    series, the level ``horizon`` steps after the model's last bar.
+
+    A NULL horizon asks for one step. NULL comes back where the series has no model, its fit or
+    state is incomplete, or the horizon is below 1. Recursion per row: the last
+    differences and innovations are short arrays, folded over the steps."""
+    h = F.coalesce(F.col(horizon).cast("int"), F.lit(1))
+    state = ("phi", "theta", "levels", "diffs", "innovations")
+    j = requests.join(models.select(series, *[F.col(c).alias(f"_m_{c}") for c in ("as_of", "const", *state)]), series, "left")
+    col = lambda c: F.col(f"_m_{c}")
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    ok = (h >= 1) & col("const").isNotNull() & ~F.isnan(col("const"))
+    for c in state:
+        ok = ok & col(c).isNotNull() & F.forall(col(c), lambda x: x.isNotNull() & ~F.isnan(x))
+    start = F.struct(col("diffs").alias("z"), col("innovations").alias("e"), col("levels").alias("l"), F.lit(0.0).alias("out"))
+
+    def step(s, _):
+        z = col("const") + dot(col("phi"), s["z"]) + dot(col("theta"), s["e"])
+        # levels from the deepest difference up: each gains the one below it
+        risen = F.aggregate(F.reverse(s["l"]), F.struct(z.alias("x"), F.slice(s["l"], 1, 0).alias("l")),
+                            lambda a, lv: F.struct((lv + a["x"]).alias("x"), F.concat(F.array(lv + a["x"]), a["l"]).alias("l")))
+        push = lambda x, old: F.slice(F.concat(F.array(x), old), F.lit(1), F.size(old))
+        return F.struct(push(z, s["z"]).alias("z"), push(F.lit(0.0), s["e"]).alias("e"), risen["l"].alias("l"), risen["x"].alias("out"))
+
+    value = F.aggregate(F.sequence(F.lit(1), F.greatest(h, F.lit(1))), start, step, lambda s: s["out"])
+    return j.select(*requests.columns, col("as_of").alias("as_of"), F.when(ok, value).alias("forecast"))
 
-    def run(it):
-        for pdf in it:
-            if pdf.empty:
-                continue
-            PHI = np.stack([np.asarray(a, dtype=float) for a in pdf["phi"]]) if p else np.zeros((len(pdf), 0))
-            TH = np.stack([np.asarray(a, dtype=float) for a in pdf["theta"]]) if q else np.zeros((len(pdf), 0))
-            Z = np.stack([np.asarray(a, dtype=float)[:p] for a in pdf["zh"]]) if p else np.zeros((len(pdf), 0))
-            E = np.stack([np.asarray(a, dtype=float)[:q] for a in pdf["eh"]]) if q else np.zeros((len(pdf), 0))
-            ok = np.isfinite(PHI).all(1) & np.isfinite(TH).all(1) & np.isfinite(Z).all(1) & np.isfinite(E).all(1)
-            F_ = recurse_batch(pdf["y_last"].to_numpy(dtype=float), np.nan_to_num(Z), np.nan_to_num(E),
-                               np.nan_to_num(PHI), np.nan_to_num(TH), hs)
-            F_[~ok] = np.nan
-            out = pd.DataFrame({series: np.repeat(pdf[series].to_numpy(), len(hs)),
-                                "as_of": np.repeat(pdf["as_of"].to_numpy(), len(hs)),
-                                "horizon": np.tile(np.asarray(hs, dtype=np.int32), len(pdf)),
-                                "forecast": F_.reshape(-1)})
-            out["forecast"] = out["forecast"].where(np.isfinite(out["forecast"]), None)
-            yield out
 
-    return st.mapInPandas(run, schema)
+def arima_forecast(bars: DataFrame, order=DEFAULT_ORDER, horizons=(1, 2, 5), y: str = "close",
+                   series: str = "series", dt: str = "dt", m: int | None = None, mode: str = "auto") -> DataFrame:
+    """FM2: fit on the whole history, forecast the given horizons from the last bar."""
+    models = model_table(bars, order, y, series, dt, m, mode)
+    asked = models.select(series, F.explode(F.array(*[F.lit(int(h)) for h in horizons])).alias("horizon"))
+    return forecast(models, asked, series).select(series, "as_of", "horizon", "forecast")
 
 
 # ---------------------------------------------------------------------------
@@ -237,15 +271,14 @@ def rolling_backtest(bars: DataFrame, order=DEFAULT_ORDER, horizons=(1, 5), rati
     Score with ``evaluate.align`` (JN4 default) + ``forecast_metrics``."""
     mode = resolve_mode(bars, series, mode)
     p, d, q = order
-    if d != 1:
-        raise ValueError("rolling recursion implemented for d = 1")
+    c = len(_constant(d))
     m = m or long_ar_order(p, q)
     hs = list(horizons)
     base = _stage_frame(bars, y, d, m, series, dt, mode)
 
     # Stage (a), recursive: coefficients from sums strictly before the row.
     lay_a = series_layout(base, series, dt, lookback=0, mode=mode)
-    lags = [F.col(f"z{i}") for i in range(1, m + 1)]
+    lags = _constant(d) + [F.col(f"z{i}") for i in range(1, m + 1)]
     ok_a = F.col(f"z{m}").isNotNull() & F.col("z").isNotNull()
     prods = ols.cross_products(lags, F.col("z"))
     exprs = {f"_sa{i}": F.when(ok_a, c) for i, c in enumerate(prods)}
@@ -260,9 +293,9 @@ def rolling_backtest(bars: DataFrame, order=DEFAULT_ORDER, horizons=(1, 5), rati
             if pdf.empty:
                 continue
             S = np.stack([np.asarray(a, dtype=float) for a in pdf["_Sa"]])
-            xtx, xty, _ = ols.unpack(S, m)
+            xtx, xty, _ = ols.unpack(S, c + m)
             b = ols.solve(xtx, xty)
-            X = pdf[[f"z{i}" for i in range(1, m + 1)]].to_numpy(dtype=float)
+            X = np.concatenate([np.ones((len(pdf), c)), pdf[[f"z{i}" for i in range(1, m + 1)]].to_numpy(dtype=float)], axis=1)
             e = pdf["z"].to_numpy(dtype=float) - np.einsum("bi,bi->b", b, X)
             pdf["e"] = e  # NaN when lags missing or too little history
             yield pdf
@@ -275,7 +308,7 @@ def rolling_backtest(bars: DataFrame, order=DEFAULT_ORDER, horizons=(1, 5), rati
     w = lay_b.window()
     dfb = lay_b.df.select("*", *[F.lag("e", j).over(w).alias(f"e{j}") for j in range(1, q + 1)],
                           F.row_number().over(w).alias("_rn_local"))
-    regs = [F.col(f"z{i}") for i in range(1, p + 1)] + [F.col(f"e{j}") for j in range(1, q + 1)]
+    regs = _constant(d) + [F.col(f"z{i}") for i in range(1, p + 1)] + [F.col(f"e{j}") for j in range(1, q + 1)]
     ok_b = F.col("z").isNotNull()
     for r in regs:
         ok_b = ok_b & r.isNotNull()
@@ -285,7 +318,7 @@ def rolling_backtest(bars: DataFrame, order=DEFAULT_ORDER, horizons=(1, 5), rati
     exprs_b["_nh"] = F.lit(1.0)
     sb = ols.expanding_sums(lay_b, dfb, exprs_b, upto=0)
     sb = lay_b.finish(sb.select(
-        series, dt, "z", *[f"z{i}" for i in range(1, p + 1)], "e", *[f"e{j}" for j in range(1, q + 1)],
+        series, dt, *_levels(d), "z", *[f"z{i}" for i in range(1, p + 1)], "e", *[f"e{j}" for j in range(1, q + 1)],
         F.array(*[F.coalesce(F.col(f"_sb{i}"), F.lit(0.0)) for i in range(len(prods_b))]).alias("_Sb"),
         F.col("_nb").alias("_nb"), F.col("_nh").alias("_nh"), *([OWN] if lay_b.halo else [])))
 
@@ -299,9 +332,9 @@ def rolling_backtest(bars: DataFrame, order=DEFAULT_ORDER, horizons=(1, 5), rati
     origins = origins.withColumn("_is_origin", (F.col("split") == "train") & (F.col("idx") == F.col("n_split") - 1)
                                  | (F.col("split") == "test"))
     origins = origins.where(F.col("_is_origin")).select(
-        series, dt, "_y", "z", *[f"z{i}" for i in range(1, p)], "e", *[f"e{j}" for j in range(1, q)],
+        series, dt, *_levels(d), "z", *[f"z{i}" for i in range(1, p)], "e", *[f"e{j}" for j in range(1, q)],
         "_Sb", "_nb", "_nh", "split", "idx", "n_split")
-    k = p + q
+    k = c + p + q
     out_schema = T.StructType([T.StructField(series, T.StringType()), T.StructField("origin_dt", dict(
         (f.name, f.dataType) for f in bars.schema.fields)[dt]), T.StructField("idx", T.LongType()),
         T.StructField("n_split", T.LongType()), T.StructField("horizon", T.IntegerType()),
@@ -323,9 +356,11 @@ def rolling_backtest(bars: DataFrame, order=DEFAULT_ORDER, horizons=(1, 5), rati
             Z = pdf[zc].to_numpy(dtype=float) if p else np.zeros((len(pdf), 0))
             E = pdf[ec].to_numpy(dtype=float) if q else np.zeros((len(pdf), 0))
             enough = (pdf["_nh"].to_numpy() >= min_history) & (pdf["_nb"].fillna(0).to_numpy() > k)
-            ok = enough & np.isfinite(b).all(axis=1) & np.isfinite(Z).all(axis=1) & np.isfinite(E).all(axis=1)
-            F_ = recurse_batch(pdf["_y"].to_numpy(dtype=float), np.nan_to_num(Z), np.nan_to_num(E),
-                               np.nan_to_num(b[:, :p]), np.nan_to_num(b[:, p:]), hs)
+            L = pdf[_levels(d)].to_numpy(dtype=float)
+            ok = (enough & np.isfinite(b).all(axis=1) & np.isfinite(Z).all(axis=1) & np.isfinite(E).all(axis=1)
+                  & np.isfinite(L).all(axis=1))
+            b = np.nan_to_num(b)
+            F_ = recurse_batch(np.nan_to_num(L), np.nan_to_num(Z), np.nan_to_num(E), b[:, c:c + p], b[:, c + p:], hs, b[:, 0] if c else 0.0)
             F_[~ok] = np.nan
             n = int(keep.sum())
             out = pd.DataFrame({

@@ -98,6 +98,20 @@ def predict_trees(model, df: DataFrame, cols: list[str], horizon: int, target: s
     return p.select(*keep, F.lit(horizon).alias("horizon"), price_pred.alias("predicted"), *extra)
 
 
+def predict_requests(models: dict, latest: DataFrame, requests: DataFrame, cols: list[str], target: str = "relative",
+                     series: str = "series", dt: str = "dt") -> DataFrame:
+    """UD2: ``requests`` (series, horizon, ...) with ``as_of``, ``forecast`` and ``reason`` from each series' latest
+    feature row and the model of the horizon. A series without a feature row and a horizon
+    that no model has come back with a NULL forecast and the reason."""
+    scored = [predict_trees(m, latest, cols, h, target, keep=(series, dt)).select(series, F.col(dt).alias("as_of"), "horizon", F.col("predicted").alias("forecast"))
+              for h, m in sorted(models.items())]
+    offered = F.col("horizon").isin(*models)
+    out = requests.join(reduce(lambda a, b: a.unionByName(b), scored), [series, "horizon"], "left")
+    known = ", ".join(str(h) for h in sorted(models))
+    return out.withColumn("reason", F.when(F.col("horizon").isNull() | ~offered, f"horizon must be one of {known}")
+                          .when(F.col("as_of").isNull(), "no feature row"))
+
+
 def train_test_metrics(features: DataFrame, cols: list[str], kind: str = "gbt", horizons=(1, 5),
                        target: str = "relative", split_col: str = "split") -> DataFrame:
     """FM7: AG4 metrics on the train and test predictions for each horizon."""

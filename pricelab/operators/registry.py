@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import inf, pdiv
+from ..session import cut_lineage, has_files
 from .groups import top_k
 
 # Fixed values that must equal the reference's registry conventions.
@@ -140,15 +141,37 @@ def promote(versions: DataFrame, chosen: DataFrame, alias: str = PRODUCTION) ->
     return j.select("model_name", "version", "run_id", new.alias("aliases"))
 
 
-def log_runs(metrics: DataFrame, experiment: str, params: dict[str, str], keys=("series",),
-             metric_cols: list[str] | None = None) -> DataFrame:
-    """SNK5: one run row per key group: run_id, experiment, start_time, params
-    map, metrics map (NULL metrics dropped) — ready to ``append``."""
-    cols = metric_cols or [c for c in metrics.columns if c not in keys]
-    mmap = F.map_filter(F.create_map(*[x for c in cols for x in (F.lit(c), F.col(c).cast("double"))]),
-                        lambda k, v: v.isNotNull())
-    pmap = F.create_map(*[x for k, v in params.items() for x in (F.lit(k), F.lit(str(v)))])
-    run_id = F.sha2(F.concat_ws("|", F.lit(experiment), *[F.col(k).cast("string") for k in keys]), 256)
-    return metrics.select(F.substring(run_id, 1, 32).alias("run_id"), F.lit(experiment).alias("experiment"),
-                          *[F.col(k) for k in keys], F.current_timestamp().alias("start_time"),
-                          pmap.alias("params"), mmap.alias("metrics"))
+def run_records(metrics: DataFrame, data: DataFrame, experiment: Column, model_type: Column, params: dict[str, Column | str],
+                keys: list[str], tags: dict[str, str] | None = None, artifacts: list[str] | None = None,
+                start_time: Column | None = None) -> DataFrame:
+    """SNK5: one row per key group in the columns of the runs table, with ``tags``.
+
+    ``metrics`` (keys, one column per metric; NULLs are not logged); ``data`` (keys, dt): the rows that
+    the run was trained on, whose number and range become parameters. ``run_id`` is a hash of
+    experiment, model type, keys, parameters and data range, so the same run has the same id."""
+    stats = data.groupBy(*keys).agg(F.count(F.lit(1)).cast("string").alias("_rows"), F.min("dt").cast("string").alias("_start"), F.max("dt").cast("string").alias("_end"))
+    names = [c for c in metrics.columns if c not in keys]
+    mmap = F.map_filter(F.create_map(*[x for c in names for x in (F.lit(c), F.col(c).cast("double"))]), lambda k, v: v.isNotNull())
+    own = {k: (v if isinstance(v, Column) else F.lit(str(v))).cast("string") for k, v in params.items()}
+    own |= {"data_samples": F.col("_rows"), "data_start_date": F.col("_start"), "data_end_date": F.col("_end")}
+    pmap = F.map_filter(F.create_map(*[x for k, v in own.items() for x in (F.lit(k), v)]), lambda k, v: v.isNotNull())
+    blank = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    run_id = F.sha2(F.concat_ws("|", blank(experiment), blank(model_type), *[blank(F.col(k)) for k in keys], *[blank(own[k]) for k in sorted(own)]), 256)
+    tmap = F.create_map(*[x for k, v in (tags or {}).items() for x in (F.lit(k), F.lit(str(v)))]).cast("map<string,string>")
+    return metrics.join(stats, keys, "left").select(
+        F.substring(run_id, 1, 32).alias("run_id"), experiment.alias("experiment"), model_type.alias("model_type"),
+        (start_time if start_time is not None else F.current_timestamp()).cast("timestamp").alias("start_time"),
+        mmap.alias("metrics"), pmap.alias("params"), F.array(*[F.lit(a) for a in artifacts or []]).cast("array<string>").alias("artifacts"), tmap.alias("tags"))
+
+
+def append_runs(records: DataFrame, path: str) -> int:
+    """Appends the records whose run_id the log at ``path`` does not hold; how many they were.
+    The new rows are written once and read back from there, so a rerun adds nothing."""
+    spark = records.sparkSession
+    once = cut_lineage(records.dropDuplicates(["run_id"]))
+    if has_files(spark, path):
+        once = cut_lineage(once.join(spark.read.parquet(path).select("run_id"), "run_id", "left_anti"))
+    n = once.count()
+    if n:
+        once.write.mode("append").parquet(path)
+    return n

@@ -31,9 +31,10 @@ def backtest_metrics(bars: DataFrame, order=(3, 1, 3), years: float = 3, ratio:
     return m.groupBy("series").agg(*cols)
 
 
-def run_record(metrics: DataFrame, order=(3, 1, 3), years: float = 3) -> DataFrame:
+def run_record(metrics: DataFrame, bars: DataFrame, order=(3, 1, 3), years: float = 3) -> DataFrame:
     p, d, q = order
-    return rg.log_runs(metrics, "arima", {"p": p, "d": d, "q": q, "rolling_years": years})
+    return rg.run_records(metrics, trailing_window(bars, years), F.lit("arima"), F.lit("arima"), {"p": str(p), "d": str(d), "q": str(q), "rolling_years": str(years)},
+                          ["series"], tags={"lifecycle": "training"}, artifacts=["model/MLmodel"])
 
 
 def daily_payload(bars: DataFrame, order=(3, 1, 3)) -> DataFrame:

@@ -93,6 +93,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether Spark's file system finds data files below ``path``: false for a missing or
+    empty folder (a first write that failed leaves one)."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(found):
+        return False
+    files = fs.listFiles(found, True)
+    while files.hasNext():
+        name = files.next().getPath().getName()
+        if not name.startswith(("_", ".")):
+            return True
+    return False
+
+
 def conf_int(spark: SparkSession, key: str, default: int) -> int:
     v = spark.conf.get(key, None)
     return int(v) if v not in (None, "") else default

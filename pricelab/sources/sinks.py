@@ -4,6 +4,9 @@ SNK3 landing.to_raw_payload, SNK4 forecasts.write_forecasts, SNK5 registry.log_r
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators.arima import MODEL_COLUMNS
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None,
@@ -17,21 +20,38 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
     w.format(fmt).save(path)
 
 
-def save_arima(fit: DataFrame, path: str, order, trained_date: str | None = None) -> None:
-    """SNK6: the ARIMA model is a coefficient table (one row per series) with
-    its order, metrics and training date; parquet, overwritten per training run."""
-    from pyspark.sql import functions as F
-    p, d, q = order
-    out = fit.withColumn("p", F.lit(p)).withColumn("d", F.lit(d)).withColumn("q", F.lit(q))
-    if trained_date:
-        out = out.withColumn("trained_date", F.lit(trained_date))
-    out.write.mode("overwrite").parquet(path)
+def save_models(models: DataFrame, path: str, trained_date: str | None = None) -> None:
+    """SNK6: the fitted models are a table, one row per series with coefficients, state and
+    training date (``arima.model_table``); Parquet, overwritten per training run."""
+    models.withColumn("trained_date", F.lit(trained_date).cast("string")).write.mode("overwrite").parquet(path)
+
+
+def load_models(spark: SparkSession, path: str) -> DataFrame:
+    """A saved model table; one without the state that forecasts need is refused."""
+    models = spark.read.parquet(path)
+    missing = {c.strip().split(" ")[0] for c in MODEL_COLUMNS.split(", ")} - set(models.columns)
+    if missing:
+        raise ValueError(f"{path} is no model table: it has no {sorted(missing)}")
+    return models
+
 
+def save_tree_models(spark: SparkSession, models: dict, path: str, features: list[str], target: str = "relative") -> None:
+    """SNK6 for trees: one Spark ML model per horizon, and what they were trained on."""
+    for horizon, model in models.items():
+        model.write().overwrite().save(f"{path}/horizon={horizon}")
+    meta = [(int(h), type(m).__module__ + "." + type(m).__name__, list(features), target) for h, m in models.items()]
+    spark.createDataFrame(meta, "horizon int, kind string, features array<string>, target string").coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
 
-def load_arima(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
 
+def load_tree_models(spark: SparkSession, path: str) -> tuple[dict, list[str], str]:
+    """``({horizon: model}, features, target)`` as saved."""
+    from importlib import import_module
 
-def save_pipeline_model(model, path: str) -> None:
-    """SNK6 for tree models: Spark ML's own persistence."""
-    model.write().overwrite().save(path)
+    rows = spark.read.parquet(f"{path}/meta").collect()       # one row a horizon
+    models = {}
+    for r in rows:
+        module, _, name = r["kind"].rpartition(".")
+        if not module.startswith("pyspark.ml."):
+            raise ValueError(f"unknown model class {r['kind']}")
+        models[r["horizon"]] = getattr(import_module(module), name).load(f"{path}/horizon={r['horizon']}")
+    return models, list(rows[0]["features"]), rows[0]["target"]
