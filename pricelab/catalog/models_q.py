@@ -273,6 +273,29 @@ def adf_lag0(spark, sf):
     return round_df(a, {"adf_stat": 6, "p_value": 6})
 
 
+def _adf_lag1_sql() -> str:
+    """Two regressors about their means: the level and one lagged difference."""
+    det = "(s11 * s22 - s12 * s12)"
+    b1, b2 = f"((s1y * s22 - s2y * s12) / {det})", f"((s2y * s11 - s1y * s12) / {det})"
+    tau = f"({b1} / sqrt((syy - {b1} * s1y - {b2} * s2y) / (n - 3) * s22 / {det}))"
+    p = sm.adf_pvalue(sm.S("tau"), sm.SqlOps)
+    return with_ctes(f"""
+WITH m AS (SELECT series, avg(close) AS mu FROM bars_daily GROUP BY series),
+x AS (SELECT b.series, b.dt, close - lag(close) OVER (PARTITION BY b.series ORDER BY dt) AS dy,
+  lag(close - mu) OVER (PARTITION BY b.series ORDER BY dt) AS yl FROM bars_daily b JOIN m ON b.series = m.series),
+y AS (SELECT *, lag(dy) OVER (PARTITION BY series ORDER BY dt) AS d1 FROM x),
+r AS (SELECT series, CAST(count(*) AS DOUBLE) AS n, regr_sxx(dy, yl) AS s11, regr_sxx(dy, d1) AS s22, regr_sxy(yl, d1) AS s12, regr_sxy(dy, yl) AS s1y,
+  regr_sxy(dy, d1) AS s2y, regr_syy(dy, yl) AS syy FROM y WHERE d1 IS NOT NULL GROUP BY series),
+t AS (SELECT series, n, {tau} AS tau FROM r)
+SELECT series, round(tau, 6) AS adf_stat, round({p}, 6) AS p_value, 1 AS used_lag, CAST(n AS BIGINT) AS nobs, {p} < 0.05 AS stationary FROM t""", "bars_daily")
+
+
+@query("adf_lag1", _adf_lag1_sql(), ("TS6",))
+def adf_lag1(spark, sf):
+    """Augmented Dickey-Fuller with one lagged difference on the price level."""
+    return round_df(adf_test(_bars(spark, sf), "close", autolag=False, lag=1), {"adf_stat": 6, "p_value": 6})
+
+
 @query("adf_test", None, ("TS6",))
 def adf_test_q(spark, sf):
     """ADF with AIC lag choice on the price level and on simple returns."""
