@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import selection as sel
+from ..session import cut_lineage
 from ..sources import fixtures, landing
 from ..sources.fixtures import with_ctes
 from ..sources.tables import table
@@ -73,6 +74,66 @@ def has_data(spark, sf):
     return landing.has_data(_docs(spark, sf))
 
 
+_SHAPE = "(CAST(strftime(dt, '%m') AS INTEGER) % 8)"
+
+
+def _malformed(docs):
+    """Real documents, most of them damaged in a way that the month of their key names."""
+    v, shape = F.col("value"), F.regexp_extract("file_name", "raw/[0-9]+/([0-9]+)/", 1).cast("int") % 8
+    rows = lambda old, new: F.replace(v, F.lit(old), F.lit(new))
+    damaged = (F.when(shape == 1, F.concat(F.lit("{truncated "), v))
+               .when(shape == 2, F.regexp_replace(v, '"data":.*', '"data":{"error":"no answer","traceback":"...","tickers":["x"]}}'))
+               .when(shape == 3, F.regexp_replace(v, '"data":.*', '"data":[1,2]}'))
+               .when(shape == 4, F.regexp_replace(v, '"data":.*', '"data":null}'))
+               .when(shape == 5, rows('"data":{', '"data":{"tickers":["x"],"OTHER":"no list",'))
+               .when(shape == 6, rows(":[{", ':["text",null,{'))
+               .when(shape == 7, rows('"datetime":', '"when":')).otherwise(v))
+    return docs.select("file_name", damaged.alias("value"))
+
+
+@query("raw_quarantine", with_ctes(f"""
+WITH d AS (SELECT {_SHAPE} AS shape, strftime(dt, '%Y%m') AS m, series, count(*) AS n FROM bars_daily GROUP BY ALL),
+r AS (
+  SELECT 'read_error' AS reason, 1 AS k FROM d WHERE shape = 1
+  UNION ALL SELECT 'error_payload', 1 FROM d WHERE shape = 2
+  UNION ALL SELECT 'bad_data_type', 1 FROM d WHERE shape IN (3, 4)
+  UNION ALL SELECT 'metadata_key', 1 FROM d WHERE shape = 5
+  UNION ALL SELECT 'bad_rows_type', 1 FROM d WHERE shape = 5
+  UNION ALL SELECT 'bad_row_type', 2 FROM d WHERE shape = 6
+  UNION ALL SELECT 'missing_datetime', n FROM d WHERE shape = 7)
+SELECT reason, CAST(sum(k) AS BIGINT) AS n_pieces, count(*) AS n_files FROM r GROUP BY reason""", "bars_daily"), ("SRC4", "SRC3"))
+def raw_quarantine(spark, sf):
+    """Refused pieces of damaged documents, written with place, reason and text, and counted from there."""
+    path = _scratch(spark, "quarantine")
+    landing.raw_rejects(_malformed(_docs(spark, sf))).write.parquet(path)
+    kept = spark.read.parquet(path).where(F.col("piece").isNotNull() & F.col("file_name").isNotNull())
+    return kept.groupBy("reason").agg(F.count(F.lit(1)).alias("n_pieces"), F.count_distinct("file_name").alias("n_files"))
+
+
+@query("landing_status", with_ctes(f"""
+SELECT CASE WHEN {_SHAPE} IN (1, 2, 3, 4) THEN 207 ELSE 200 END AS status, count(DISTINCT strftime(dt, '%Y%m') || series) AS n_docs
+FROM bars_daily GROUP BY 1""", "bars_daily"), ("AG10",))
+def landing_status(spark, sf):
+    """Partial and full landings among damaged documents."""
+    return landing.has_data(_malformed(_docs(spark, sf))).groupBy("status").agg(F.count(F.lit(1)).alias("n_docs"))
+
+
+@query("landing_dated", with_ctes(
+    f"SELECT {_PROCESSED} FROM bars_daily WHERE year(dt) = (SELECT max(year(dt)) FROM bars_daily)", "bars_daily"), ("SNK3", "SRC2"))
+def landing_dated(spark, sf):
+    """One landing a year under raw/YYYY/12/31, one file a document; the scan opens the last year's folder only."""
+    bars = fixtures.bars_daily(spark, sf)
+    docs = cut_lineage(landing.to_raw_payload(bars, run=F.make_date(F.year("dt"), F.lit(12), F.lit(31))))
+    years = [r[0] for r in docs.select(F.substring("file_name", 5, 4)).distinct().collect()]     # one a run
+    root = _scratch(spark, "dated")
+    for y in years:
+        landing.write_landing(docs, f"{root}/raw", f"{y}-12-31")
+    day = landing.scan_raw_landing(spark, f"{root}/raw", f"{max(years)}-12-31", glob="*.txt")
+    if any(f"/raw/{max(years)}/12/31/" not in f for f in day.inputFiles()):
+        raise RuntimeError("the scan of one day opened others")
+    return landing.processed_daily(landing.parse_raw_payload(day))
+
+
 @query("raw_reject_report", "SELECT 'read_error' AS reason, count(*) AS n FROM pages", ("SRC2", "SRC4"))
 def raw_reject_report(spark, sf):
     """Landing set = envelopes built from bars plus every crawled page as a foreign file."""
@@ -130,21 +191,24 @@ def lookback(spark, sf):
 
 @query("props_json", """
 SELECT event_type, count(*) AS n, CAST(sum(CAST(json_extract_string(props, '$.k') AS INTEGER)) AS BIGINT) AS k_sum,
-  count(*) - count(CAST(json_extract_string(props, '$.k') AS INTEGER)) AS n_missing
+  count(*) - count(CAST(json_extract_string(props, '$.k') AS INTEGER)) AS n_missing,
+  CAST(sum(coalesce(CAST(json_extract_string(props, '$.k') AS INTEGER), -1)) AS BIGINT) AS k_sum_default,
+  min(coalesce(json_extract_string(props, '$.absent'), 'none')) AS absent
 FROM events GROUP BY event_type""", ("SC7",))
 def props_json(spark, sf):
     """Key lookup with default in a JSON scalar column."""
     k = F.get_json_object("props", "$.k").cast("int")
     return (table(spark, sf, "events").groupBy("event_type")
             .agg(F.count(F.lit(1)).alias("n"), F.sum(k).alias("k_sum"),
-                 (F.count(F.lit(1)) - F.count(k)).alias("n_missing")))
+                 (F.count(F.lit(1)) - F.count(k)).alias("n_missing"), F.sum(F.coalesce(k, F.lit(-1))).alias("k_sum_default"),
+                 F.min(F.coalesce(F.get_json_object("props", "$.absent"), F.lit("none"))).alias("absent")))
 
 
 @query("date_strings", """
 SELECT CAST(o_orderdate AS DATE) AS d, count(*) AS n,
   strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS iso, strftime(CAST(o_orderdate AS DATE), '%Y%m%d') AS compact,
   strftime(CAST(o_orderdate AS DATE), '%Y/%m/%d') AS slashed, strftime(o_orderdate, '%Y%m%dT%H%M%SZ') AS stamp,
-  true AS roundtrip_ok
+  true AS roundtrip_ok, count(CASE WHEN try_strptime(o_orderpriority, '%Y-%m-%d') IS NULL THEN 1 END) AS n_bad_dates
 FROM orders GROUP BY CAST(o_orderdate AS DATE), o_orderdate""", ("SC5", "SC6"))
 def date_strings(spark, sf):
     """Date formats used by landing keys, parsed back (compact, slashed, ISO)."""
@@ -155,8 +219,10 @@ def date_strings(spark, sf):
     ok = ((F.try_to_timestamp(compact, F.lit("yyyyMMdd")).cast("date") == d)
           & (F.try_to_timestamp(slashed, F.lit("yyyy/MM/dd")).cast("date") == d)
           & (F.regexp_replace(iso, "-", "") == compact) & (F.substring(iso, 1, 10) == iso))
-    g = o.groupBy(d.alias("d"), F.col("o_orderdate")).agg(F.count(F.lit(1)).alias("n"))
-    return g.select("d", "n", F.date_format("d", "yyyy-MM-dd").alias("iso"),
+    # a text that is no date gives NULL, not an error
+    bad = F.try_to_timestamp("o_orderpriority", F.lit("yyyy-MM-dd")).isNull()
+    g = o.groupBy(d.alias("d"), F.col("o_orderdate")).agg(F.count(F.lit(1)).alias("n"), F.count(F.when(bad, 1)).alias("n_bad_dates"))
+    return g.select("d", "n", "n_bad_dates", F.date_format("d", "yyyy-MM-dd").alias("iso"),
                     F.date_format("d", "yyyyMMdd").alias("compact"), F.date_format("d", "yyyy/MM/dd").alias("slashed"),
                     F.date_format("o_orderdate", "yyyyMMdd'T'HHmmss'Z'").alias("stamp"),
                     ((F.try_to_timestamp(F.date_format("d", "yyyyMMdd"), F.lit("yyyyMMdd")).cast("date") == F.col("d"))
