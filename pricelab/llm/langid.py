@@ -183,6 +183,8 @@ def predictor(model: Crf | None):
         langs, share = [UND] * len(texts), np.zeros(len(texts))
         if model is None:
             return pd.DataFrame({"lang_pred": langs, "score": share})
+        if key not in _EMIT:            # a worker outlives the model: only the last one's words stay
+            _EMIT.clear()
         ids, table = _EMIT.setdefault(key, ({}, []))
         if len(ids) > 300_000:
             ids.clear()

@@ -165,6 +165,8 @@ def scorer(model: OrdinalModel, name_rejected: float = 0.5):
 
     @pandas_udf("p_clean double, p_toxic double, p_severe double, severity double, toxic boolean")
     def score(texts: pd.Series) -> pd.DataFrame:
+        if key not in _CACHE:           # a worker outlives the model: only the last one's words stay
+            _CACHE.clear()
         cache = _CACHE.setdefault(key, {})
         weights, total = model.weights, np.zeros(len(texts))
         for r, text in enumerate(texts):
