@@ -12,8 +12,10 @@ from ..operators import forecasts as fc
 from ..operators import ml
 from ..sources import fixtures
 from ..sources.fixtures import with_ctes
-from .features_q import features_sql
+from ..operators.layout import resolve_mode, series_layout
 from ..session import cut_lineage
+from .evaluate_q import _r, metrics_sql
+from .features_q import features_sql
 from .registry import query, round_df
 
 OPT = list(fe.OPTIMIZED_FEATURES)
@@ -24,11 +26,20 @@ s AS (SELECT *, CASE WHEN rn < CAST(floor(n * CAST(0.8 AS DOUBLE)) AS BIGINT) TH
         count(*) OVER (PARTITION BY series) AS n FROM f) a)"""
 
 
+def _optimized(spark, sf):
+    """The optimized features, targets and price: nothing else is computed but what
+    decides which rows are complete."""
+    bars = fixtures.bars_daily(spark, sf)
+    mode = resolve_mode(bars)
+    f = fe.complete_rows(fe.create_features(bars, drop_incomplete=False, mode=mode))
+    return f.select("series", "dt", "close", *OPT, *fe.TARGETS), mode
+
+
 def _split_features(spark, sf):
-    """Feature table with its 80/20 split, materialised once in the shared
+    """Optimized features with their 80/20 split, materialised once in the shared
     checkpoint folder: several fits and scorings read it."""
-    f = fe.create_features(fixtures.bars_daily(spark, sf))
-    return cut_lineage(ev.time_split(f, 0.8))
+    f, mode = _optimized(spark, sf)
+    return cut_lineage(ev.time_split(f, 0.8, mode=mode))
 
 
 def _scale_sql() -> str:
@@ -64,7 +75,10 @@ def _corr_sql() -> str:
 @query("top_correlated_features", _corr_sql(), ("AG13", "PF12"))
 def top_correlated_features(spark, sf):
     """Top 12 of the 96 features by |corr| with next-day close, train split only."""
-    f = _split_features(spark, sf).where(F.col("split") == "train")
+    bars = fixtures.bars_daily(spark, sf)
+    mode = resolve_mode(bars)
+    # materialised: correlations of a hundred columns are too large a plan on top of the windows
+    f = cut_lineage(ev.time_split(fe.create_features(bars, mode=mode), 0.8, mode=mode)).where(F.col("split") == "train")
     out = ml.top_k_by_correlation(f, fe.feature_columns(f.drop("split", "idx", "n_split")), "y_day", 12)
     return round_df(out.select("series", "feature", "corr", "rank"), {"corr": 9})
 
@@ -73,20 +87,22 @@ def _seq_sql() -> str:
     w = "OVER (PARTITION BY series ORDER BY dt)"
     return (f"WITH f AS (SELECT * FROM ({_RAW_FEATURES_SQL}) _f),\n"
             f"q AS (SELECT series, dt, row_number() {w} AS rn, lag(lag_1, 30) {w} AS x_first, lag(lag_1, 1) {w} AS x_last,\n"
-            f"  lag(bb_middle, 1) {w} AS x_last_feature, y_day AS y FROM f)\n"
+            f"  lag(bb_middle, 1) {w} AS x_last_feature, y_day AS y,\n"
+            f"  sum({' + '.join(OPT)}) OVER (PARTITION BY series ORDER BY dt ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS x_total FROM f)\n"
             "SELECT series, dt, 30 AS n_steps, round(x_first, 4) AS x_first, round(x_last, 4) AS x_last,\n"
-            "  round(x_last_feature, 4) AS x_last_feature, round(y, 4) AS y FROM q WHERE rn > 30")
+            "  round(x_last_feature, 4) AS x_last_feature, round(x_total, 2) AS x_total, round(y, 4) AS y FROM q WHERE rn > 30")
 
 
 @query("sequences", _seq_sql(), ("WN15",))
 def sequences(spark, sf):
     """30-step windows of the optimized features with next-day target; summarised
-    by size and corner values for the check."""
-    f = fe.create_features(fixtures.bars_daily(spark, sf))
+    by size, corner values and the total of all values for the check."""
+    f, _ = _optimized(spark, sf)
     s = ml.build_sequences(f, OPT, "y_day", 30)
     out = s.select("series", "dt", F.size("X").alias("n_steps"), F.col("X")[0][0].alias("x_first"),
-                   F.col("X")[29][0].alias("x_last"), F.col("X")[29][len(OPT) - 1].alias("x_last_feature"), "y")
-    return round_df(out, {"x_first": 4, "x_last": 4, "x_last_feature": 4, "y": 4})
+                   F.col("X")[29][0].alias("x_last"), F.col("X")[29][len(OPT) - 1].alias("x_last_feature"),
+                   F.aggregate(F.flatten("X"), F.lit(0.0), lambda a, x: a + x).alias("x_total"), "y")
+    return round_df(out, {"x_first": 4, "x_last": 4, "x_last_feature": 4, "x_total": 2, "y": 4})
 
 
 @query("gbt_train_test_metrics", None, ("FM5", "FM7", "AG12"))
@@ -161,18 +177,16 @@ COMPARE_MODELS = ["ARIMA", "GBT", "RF"]
 
 @query("model_comparison", None, ("FM3", "FM5", "FM6", "AG4", "AG14", "AG15", "WN17"))
 def model_comparison(spark, sf):
-    """ARIMA(3,1,3) rolling backtest vs boosted trees and a random forest on the
-    last 20 % of every series, day and week horizons: the metric matrix with
-    the RMSE rank of each model and the improvement of the best over ARIMA."""
+    """ARIMA(3,1,3) rolling backtest, boosted trees and a random forest on the last 20 % of every
+    series, day and week: all five metrics over the targets that all three
+    predicted, ranks by RMSE and MAPE, the improvement of the best over ARIMA."""
     from functools import reduce
 
     bars = fixtures.bars_daily(spark, sf)
-    # ARIMA, target-aligned against the test split of the bars.
-    fc = ar.rolling_backtest(bars, order=(3, 1, 3), horizons=(1, 5), ratio=0.8)
-    test = ev.time_split(bars.select("series", "dt", "close"), 0.8).where(F.col("split") == "test")
-    arima = ev.align(fc, test.select("series", "idx", F.col("close").alias("actual")), "target") \
-        .select("series", F.lit("ARIMA").alias("model"), "horizon", "actual", "predicted")
-    # Trees on scaled optimized features, scored on the test split of the feature rows.
+    origin = F.col("dt").alias("origin_dt")
+    arima = ar.rolling_backtest(bars, order=(3, 1, 3), horizons=(1, 5), ratio=0.8) \
+        .select("series", F.lit("ARIMA").alias("model"), "horizon", "origin_dt", "predicted")
+    # Trees on scaled optimized features, predicting from the rows of their test split.
     f = _split_features(spark, sf)
     f = ml.standard_scale(f, OPT, fit_on=F.col("split") == "train", suffix="_z")
     cols = [c + "_z" for c in OPT]
@@ -181,15 +195,51 @@ def model_comparison(spark, sf):
     for kind, name in (("gbt", "GBT"), ("rf", "RF")):
         for h in (1, 5):
             model = ml.fit_trees(train, cols, h, kind)
-            trees.append(ml.predict_trees(model, test_f, cols, h).select(
-                "series", F.lit(name).alias("model"), "horizon", "actual", "predicted"))
-    preds = reduce(lambda a, b: a.unionByName(b), [arima, *trees])
-    metrics = ev.forecast_metrics(preds, ["series", "model", "horizon"])
-    matrix = ev.metric_matrix(metrics, COMPARE_MODELS, ["series", "horizon"], digits=2)
-    ranks = ev.rank_models(metrics, COMPARE_MODELS, ["series", "horizon"], "rmse") \
-        .groupBy("series", "horizon").pivot("model", COMPARE_MODELS).agg(F.first("rank"))
-    ranks = ranks.select("series", "horizon", *[F.col(m).alias(f"rmse_rank_{m}") for m in COMPARE_MODELS])
-    imp = ev.improvement_pct(metrics, ["series", "horizon"], baseline="ARIMA")
-    return (matrix.where(F.col("metric") == "rmse").drop("metric")
-            .join(ranks, ["series", "horizon"]).join(imp.select("series", "horizon", "best_model", "improvement_pct"),
-                                                     ["series", "horizon"]))
+            trees.append(ml.predict_trees(model, test_f, cols, h).select("series", F.lit(name).alias("model"), "horizon", origin, "predicted"))
+    preds = cut_lineage(reduce(lambda a, b: a.unionByName(b), [arima, *trees]))
+    keys = ["series", "horizon"]
+    scored = ev.common_targets(ev.with_targets(preds, bars, (1, 5)), COMPARE_MODELS, [*keys, "target_dt"])
+    metrics = cut_lineage(ev.forecast_metrics(scored, [*keys, "model"]))
+    imp = ev.improvement_pct(metrics, keys, baseline="ARIMA")
+    return ev.comparison(metrics, COMPARE_MODELS, keys, digits=2).join(imp.select(*keys, "improvement_pct"), keys)
+
+
+_SIMPLE = ["naive", "ma5", "ma20"]
+
+
+def _comparison_sql() -> str:
+    values = " UNION ALL ".join(f"SELECT series, horizon, '{m}' AS metric, " + ", ".join(f"round(max(CASE WHEN model = '{x}' THEN {m} END), 4) AS {x}" for x in _SIMPLE)
+                                + " FROM m GROUP BY series, horizon" for m in ev.METRICS)
+    ranks = " UNION ALL ".join(
+        f"SELECT series, horizon, '{m}' AS metric, model, row_number() OVER (PARTITION BY series, horizon ORDER BY {m}, list_position({_SIMPLE!r}, model)) AS rk FROM m"
+        for m in ("rmse", "mape"))
+    return with_ctes(f"""
+WITH o AS (SELECT series, dt, close AS naive, lead(close, 1) OVER w AS a1, lead(close, 5) OVER w AS a5,
+  CASE WHEN count(*) OVER f5 = 5 THEN avg(close) OVER f5 END AS ma5, CASE WHEN count(*) OVER f20 = 20 THEN avg(close) OVER f20 END AS ma20 FROM bars_daily
+  WINDOW w AS (PARTITION BY series ORDER BY dt), f5 AS (PARTITION BY series ORDER BY dt ROWS BETWEEN 4 PRECEDING AND CURRENT ROW),
+  f20 AS (PARTITION BY series ORDER BY dt ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)),
+c AS (SELECT * FROM o WHERE ma20 IS NOT NULL),
+p AS ({' UNION ALL '.join(f"SELECT series, {h} AS horizon, '{x}' AS model, {x} AS predicted, a{h} AS actual FROM c WHERE a{h} IS NOT NULL" for h in (1, 5) for x in _SIMPLE)}),
+m AS ({metrics_sql("p", "series, horizon, model")}),
+v AS ({values}),
+r AS ({ranks}),
+rr AS (SELECT series, horizon, metric, {', '.join(f"CAST(max(CASE WHEN model = '{x}' THEN rk END) AS INTEGER) AS rank_{x}" for x in _SIMPLE)},
+  max(CASE WHEN rk = 1 THEN model END) AS best_model FROM r GROUP BY series, horizon, metric),
+n AS (SELECT series, horizon, max(n_samples) AS n_samples FROM m GROUP BY series, horizon)
+SELECT v.*, {', '.join(f'rank_{x}' for x in _SIMPLE)}, best_model, n_samples FROM v LEFT JOIN rr USING (series, horizon, metric) JOIN n USING (series, horizon)""", "bars_daily")
+
+
+@query("comparison_common_targets", _comparison_sql(), ("AG14", "WN17", "FM7"))
+def comparison_common_targets(spark, sf):
+    """Last close and two means, whose histories begin at different bars, scored on the
+    targets that all of them predicted."""
+    bars = fixtures.bars_daily(spark, sf)
+    lay = series_layout(bars.select("series", "dt", "close"), lookback=20)
+    frame = lambda k: lay.window().rowsBetween(1 - k, 0)
+    mean = lambda k: F.when(F.count("close").over(frame(k)) == k, F.avg("close").over(frame(k)))
+    p = lay.finish(lay.df.select("*", F.col("close").alias("naive"), mean(5).alias("ma5"), mean(20).alias("ma20")))
+    long = p.select("series", F.col("dt").alias("origin_dt"), "naive", "ma5", "ma20").unpivot(["series", "origin_dt"], _SIMPLE, "model", "predicted")
+    preds = long.select("*", F.explode(F.array(F.lit(1), F.lit(5))).alias("horizon"))
+    keys = ["series", "horizon"]
+    scored = ev.common_targets(ev.with_targets(preds, bars, (1, 5)), _SIMPLE, [*keys, "target_dt"])
+    return ev.comparison(_r(ev.forecast_metrics(scored, [*keys, "model"])), _SIMPLE, keys)

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import inf, pdiv
-from .layout import POS, with_positions
+from .layout import OWN, POS, series_layout, with_positions
 
 METRICS = ("rmse", "mae", "mape", "rmse_pct", "mae_pct")
 
@@ -181,3 +181,46 @@ def improvement_pct(metrics: DataFrame, keys: list[str], baseline: str, metric:
     imp = F.when(F.col("best_model") == baseline, F.lit(0.0)).otherwise(
         pdiv(F.col("baseline_value") - F.col("best_value"), F.col("baseline_value")) * 100)
     return g.select(*keys, "best_model", "baseline_value", "best_value", imp.alias("improvement_pct"))
+
+
+# ---------------------------------------------------------------------------
+# Comparison of models on the same targets
+# ---------------------------------------------------------------------------
+
+def with_targets(preds: DataFrame, bars: DataFrame, horizons, series: str = "series", dt: str = "dt",
+                 price: str = "close", mode: str = "auto") -> DataFrame:
+    """``preds`` (series, origin_dt, horizon, ...) with ``target_dt`` and ``actual``: the bar
+    ``horizon`` rows after the origin. Origins without such a bar drop out."""
+    lay = series_layout(bars.select(series, dt, price), series, dt, lookahead=max(horizons), mode=mode)
+    w = lay.window()
+    # windows first: a generator may not hold them
+    cols = [c for h in horizons for c in (F.lead(dt, h).over(w).alias(f"_t{h}"), F.lead(price, h).over(w).alias(f"_a{h}"))]
+    keep = [OWN] if lay.halo else []
+    led = lay.finish(lay.df.select(series, F.col(dt).alias("origin_dt"), *keep, *cols))
+    ahead = F.explode(F.array(*[F.struct(F.lit(int(h)).alias("horizon"), F.col(f"_t{h}").alias("target_dt"), F.col(f"_a{h}").alias("actual")) for h in horizons]))
+    truth = led.select(series, "origin_dt", ahead.alias("a")).select(series, "origin_dt", "a.*").where(F.col("target_dt").isNotNull())
+    return preds.join(truth, [series, "origin_dt", "horizon"])
+
+
+def common_targets(preds: DataFrame, models: list[str], keys: list[str], model_col: str = "model",
+                   predicted: str = "predicted") -> DataFrame:
+    """Rows of the targets (``keys``) that every one of ``models`` predicted, so that scores are
+    over the same bars. Groups are one row a model; a model's rows for one target are one vote."""
+    ok = F.when(_valid(F.col(predicted)) & F.col(model_col).isin(*models), F.col(model_col))
+    w = Window.partitionBy(*keys)
+    voted = preds.withColumn("_models", F.size(F.collect_set(ok).over(w)))
+    return voted.where((F.col("_models") == len(models)) & F.col(model_col).isin(*models)).drop("_models")
+
+
+def comparison(metrics: DataFrame, models: list[str], keys: list[str], ranked=("rmse", "mape"), digits: int = 4) -> DataFrame:
+    """One row per (keys, metric): all five metrics by model, ranks of the models for the
+    ``ranked`` ones, the best model and how many bars were scored (the same for all)."""
+    matrix = metric_matrix(metrics, models, keys, digits=digits)
+    ranks = None
+    for m in ranked:
+        r = rank_models(metrics, models, keys, m)
+        ranks = r if ranks is None else ranks.unionByName(r)
+    by = ranks.groupBy(*keys, "metric").agg(*[F.max(F.when(F.col("model") == m, F.col("rank"))).alias(f"rank_{m}") for m in models],
+                                            F.max(F.when(F.col("rank") == 1, F.col("model"))).alias("best_model"))
+    n = metrics.groupBy(*keys).agg(F.max("n_samples").alias("n_samples"))
+    return matrix.join(by, [*keys, "metric"], "left").join(n, keys)

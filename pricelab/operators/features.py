@@ -260,7 +260,21 @@ def create_features(bars: DataFrame, series: str = "series", order="dt", price:
         return cols + (target_columns(W2, price) if targets else [])
 
     out = lay.finish(two_stage(lay, bars, s1, s2, price, keep))
-    return out.na.drop("any") if drop_incomplete else out
+    return _drop_incomplete(out, out.columns) if drop_incomplete else out
+
+
+def _drop_incomplete(df: DataFrame, columns: list[str]) -> DataFrame:
+    """PF7 on computed columns. The condition also names a column that depends on the
+    partition, so the optimizer leaves it above the projection; pushed below, every
+    feature would be written out in it and computed twice."""
+    here = F.spark_partition_id().alias("_here")
+    keep, types = F.col("_here") >= 0, dict(df.dtypes)
+    for c in columns:
+        x = F.col(f"`{c}`")
+        keep = keep & x.isNotNull()
+        if types[c] in ("double", "float"):
+            keep = keep & ~F.isnan(x)
+    return df.select("*", here).where(keep).drop("_here")
 
 
 #: Features whose presence implies that of all others: the longest window of each input,
@@ -274,7 +288,7 @@ def complete_rows(features: DataFrame) -> DataFrame:
     """The rows that drop-incomplete (PF7) keeps, by a few columns only, so that the other
     features need not be computed for a caller that does not select them."""
     decide = [c for c in features.columns if c in WITNESSES or c in TARGETS or c in BASE_COLUMNS or c in ("series", "dt", "seq")]
-    return features.na.drop("any", subset=decide)
+    return _drop_incomplete(features, decide)
 
 
 def feature_columns(df: DataFrame, exclude_targets: bool = True,

@@ -87,10 +87,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+CONSTRAINTS = "spark.sql.constraintPropagation.enabled"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder (survives executor loss)."""
+    """Materialise ``df`` in the shared checkpoint folder (survives executor loss).
+
+    A checkpoint derives the constraints of its whole plan, in time exponential in
+    the number of columns that share expressions (the features do); nothing uses them here."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    conf = df.sparkSession.conf
+    before = conf.get(CONSTRAINTS)
+    conf.set(CONSTRAINTS, "false")
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        conf.set(CONSTRAINTS, before)
 
 
 def has_files(spark: SparkSession, path: str) -> bool:
