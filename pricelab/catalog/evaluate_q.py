@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import evaluate as ev
+from ..operators.layout import series_layout
 from ..sources import fixtures
 from ..sources.fixtures import with_ctes
 from .registry import query, round_df
@@ -91,8 +91,8 @@ j AS (SELECT f.series, f.horizon, f.alignment, f.predicted, t.close AS actual FR
 @query("backtest_naive", _BACKTEST_SQL, ("FM3", "JN3", "JN4", "SP1", "AG4"))
 def backtest_naive(spark, sf):
     b = fixtures.bars_daily(spark, sf)
-    w = Window.partitionBy("series").orderBy("dt")
-    b = b.select("series", "dt", "close", F.lag("close").over(w).alias("last_close"))
+    lay = series_layout(b.select("series", "dt", "close"), lookback=1)
+    b = lay.finish(lay.df.select("*", F.lag("close").over(lay.window()).alias("last_close")))
     test = ev.time_split(b, 0.8).where(F.col("split") == "test")
     actuals = test.select("series", "idx", F.col("close").alias("actual"))
     outs = []

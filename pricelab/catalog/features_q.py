@@ -303,7 +303,17 @@ def optimized_features(spark, sf):
     return _rounded(fe.optimized_features(fe.complete_rows(fe.create_features(_bars(spark, sf), drop_incomplete=False))))
 
 
-@query("feature_catalog", None, ("PF12", "PF13"))
+def _catalog_sql() -> str:
+    names = [c for c in FEATURE_TABLE_COLUMNS if c not in (*fe.BASE_COLUMNS, *fe.TARGETS, "series", "dt")]
+    rows = []
+    for category, parts in fe.CATEGORIES:
+        own = [n for n in names if any(p in n for p in parts)]
+        rows.append(f"SELECT '{category}' AS category, CAST({len(own)} AS BIGINT) AS n_features, {' + '.join(f'count({chr(34)}{n}{chr(34)})' for n in own)} AS n_values, "
+                    f"{own[:5]!r} AS examples FROM f")
+    return f"WITH f AS (SELECT * FROM ({_FEATURES_SQL}) _all) " + " UNION ALL ".join(rows)
+
+
+@query("feature_catalog", _catalog_sql(), ("PF12", "PF13"))
 def feature_catalog(spark, sf):
     """Features per category with their non-null counts over the whole table."""
     f = fe.create_features(_bars(spark, sf))

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
 from . import ols
 from .layout import OWN, POS, resolve_mode, series_layout
 
@@ -54,6 +55,11 @@ def _levels(d: int) -> list[str]:
     return [f"_lv{k}" for k in range(d)]
 
 
+def _source(bars: DataFrame, y: str, series: str, dt: str) -> DataFrame:
+    """The three columns that all stages read, materialised: the source is scanned once."""
+    return cut_lineage(bars.select(series, dt, y))
+
+
 def _constant(d: int) -> list[Column]:
     return [F.lit(1.0)] if d == 0 else []
 
@@ -92,6 +98,7 @@ def _coef_table(sums: DataFrame, series: str, k: int, names: list[str]) -> DataF
 def arima_fit(bars: DataFrame, order=DEFAULT_ORDER, y: str = "close", series: str = "series", dt: str = "dt",
               m: int | None = None, mode: str = "auto") -> DataFrame:
     """FM1: per series phi[p], theta[q], const, sigma2, llf, aic, bic, n (HR estimates)."""
+    bars = _source(bars, y, series, dt)
     mode = resolve_mode(bars, series, mode)
     p, d, q = order
     m = m or long_ar_order(p, q)
@@ -146,6 +153,7 @@ def arima_residuals(bars: DataFrame, order=DEFAULT_ORDER, y: str = "close", seri
                     dt: str = "dt", m: int | None = None, mode: str = "auto") -> DataFrame:
     """FM4: in-sample residuals eps_t = z_t - phi . z lags - theta . e lags.
     Rows before d + m + max(p, q) have no residual and are dropped."""
+    bars = _source(bars, y, series, dt)
     mode = resolve_mode(bars, series, mode)
     p, d, q = order
     m = m or long_ar_order(p, q)
@@ -203,6 +211,7 @@ def model_table(bars: DataFrame, order=DEFAULT_ORDER, y: str = "close", series:
                 m: int | None = None, mode: str = "auto") -> DataFrame:
     """FM1 + state, one row per series: the fit, ``as_of`` and, newest first, what the
     recursion starts from. Latest rows come from a grouped max_by (map-side)."""
+    bars = _source(bars, y, series, dt)
     mode = resolve_mode(bars, series, mode)
     p, d, q = order
     m = m or long_ar_order(p, q)
@@ -269,6 +278,7 @@ def rolling_backtest(bars: DataFrame, order=DEFAULT_ORDER, horizons=(1, 5), rati
     each step is the observed bar. Returns ``series, idx, n_split, horizon,
     predicted`` (NULL when the origin's system is singular or history < 10).
     Score with ``evaluate.align`` (JN4 default) + ``forecast_metrics``."""
+    bars = _source(bars, y, series, dt)
     mode = resolve_mode(bars, series, mode)
     p, d, q = order
     c = len(_constant(d))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.expr import pdiv
 from ..functions.stats_math import (SparkOps, chi2_sf, chi2_sf_var, kurtosistest_z, norm_ppf, ppf_tail_root, skewtest_z,
                                     z_two_sided)
+from ..session import cut_lineage
 from .layout import OWN, POS, resolve_mode, series_layout
 from .positions import quantiles, value_positions
 
@@ -140,7 +141,8 @@ def acf(df: DataFrame, value: str, nlags: int = 30, series: str = "series", dt:
     One mean aggregate, one window pass for the lagged products, one
     aggregate of nlags+1 sums; the per-lag table (nlags+1 rows per series)
     gets the running band by a window over lags."""
-    v = df.where(F.col(value).isNotNull())
+    v = cut_lineage(df.select(series, dt, value).where(F.col(value).isNotNull()))     # the source once, narrow
+    mode = resolve_mode(v, series, mode)
     mean = v.groupBy(series).agg(F.avg(value).alias("_mu"), F.count(value).alias("_n"))
     c = v.join(mean, series).withColumn("_d", F.col(value) - F.col("_mu"))
     lay = series_layout(c, series, dt, lookback=nlags, mode=mode)
