@@ -7,13 +7,14 @@ are the lines, paragraphs and the whole own text of every message. So a passage
 found although its lines were wrapped anew or replies stand between its parts. A
 quoted hash is joined first to an earlier message of the same conversation (the
 latest before it), else to the first message of an earlier conversation that has
-it; each side of these joins is reduced to one row per hash beforehand, so common
+it, if it is a passage of ``FAR_WORDS`` words or stands in one conversation only (short
+lines that many write would chain strangers into one thread); each side of these joins is reduced to one row per hash beforehand, so common
 lines do not multiply. The parent of a message is the original with most hits at
 its lowest linked quote level, the earlier conversations last; without a quote it
 is the turn before. Conversations linked by quotes form one thread (union-find),
 ordered by (conv_id, turn), which puts every reply after what it answers. Bodies
-come without quoted lines and without the line that introduces a quote; such lines
-inside a quote count for no passage either.
+come without quoted lines and without the line that introduces a quote, of any length
+or wrapped over two lines; such lines inside a quote count for no passage either.
 
 DataFrame functions only. Defined results: null text has a null body and quotes
 nothing; blank lines never link; a null conv_id or turn takes part in no link and
@@ -28,7 +29,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pricelab.llm import common as C
 
 _QUOTE = r"^(\s*>)+\s?"
-_INTRO = r"^(on|am|le|el)\b.{0,200}\b(wrote|schrieb|écrit|escribió)\s*:\s*$"
+FAR_WORDS = 8
+_INTRO = r"^(on|am|le|el)\b.*\b(wrote|schrieb|écrit|escribió)\s*:\s*$"
 _BLANK = r"^[\s\x{00A0}]*$"
 
 
@@ -45,7 +47,18 @@ def parse(messages: DataFrame) -> DataFrame:
     lines = F.transform(F.split("text", "\r?\n", -1), lambda x: F.struct(_level(x).alias("level"), F.regexp_replace(x, _QUOTE, "").alias("text")))
     out = messages.select("conv_id", "turn", "role", "text", lines.alias("raw"))
     # an introduction is a line right before a quote of a higher level
-    clean = F.filter("raw", lambda x, i: ~(F.lower(x["text"]).rlike(_INTRO) & (F.coalesce(F.get(F.col("raw"), i + 1)["level"], F.lit(0)) > x["level"])))
+    at = lambda i: F.get(F.col("raw"), i)
+    deeper = lambda i, x: F.coalesce(at(i)["level"], F.lit(0)) > x["level"]
+    same = lambda i, x: F.coalesce(at(i)["level"] == x["level"], F.lit(False))
+    intro = lambda *parts: F.coalesce(F.lower(F.concat_ws(" ", *parts)).rlike(_INTRO), F.lit(False))
+
+    def introduces(x: Column, i: Column) -> Column:
+        one = intro(x["text"]) & deeper(i + 1, x)
+        head = same(i + 1, x) & deeper(i + 2, x) & ~intro(at(i + 1)["text"]) & intro(x["text"], at(i + 1)["text"])
+        tail = (i > 0) & same(i - 1, x) & deeper(i + 1, x) & ~intro(x["text"]) & intro(at(i - 1)["text"], x["text"])
+        return one | head | tail
+
+    clean = F.filter("raw", lambda x, i: ~introduces(x, i))
     own = F.filter("clean", lambda x: x["level"] == 0)
     quoted = F.size(F.filter("raw", lambda x: x["level"] > 0)) > 0
     body = F.when(quoted, F.trim(F.array_join(F.transform(own, lambda x: x["text"]), "\n"))).otherwise(F.col("text"))
@@ -85,7 +98,7 @@ def originals(parsed: DataFrame) -> DataFrame:
 
 
 def quotations(parsed: DataFrame) -> DataFrame:
-    """``(conv_id, turn, level, hash)`` of every quoted line, run, paragraph and whole passage."""
+    """``(conv_id, turn, level, hash, long)`` of every quoted line, run, paragraph and whole passage."""
     quoted = F.filter("clean", lambda x: x["level"] > 0)
     q = parsed.where("conv_id is not null and turn is not null").select("conv_id", "turn", "clean", quoted.alias("q")).where(F.size("q") > 0)
     parts = F.filter(F.concat(_blocks(F.col("clean"), False), _blocks(F.col("clean"), True)), lambda x: x["level"] > 0)
@@ -93,7 +106,11 @@ def quotations(parsed: DataFrame) -> DataFrame:
     levels = F.array_distinct(F.transform("q", lambda x: x["level"]))
     passage = (q.select("conv_id", "turn", "q", F.explode(levels).alias("level"))
                .select("conv_id", "turn", "level", F.array_join(F.transform(F.filter("q", lambda x: x["level"] == F.col("level")), lambda x: x["text"]), " ").alias("t")))
-    return line.unionByName(passage).where(_norm(F.col("t")) != "").select("conv_id", "turn", "level", _hashed(F.col("t")).alias("hash")).distinct()
+    return line.unionByName(passage).where(_norm(F.col("t")) != "").select("conv_id", "turn", "level", _hashed(F.col("t")).alias("hash"), _long(F.col("t")).alias("long")).distinct()
+
+
+def _long(text: Column) -> Column:
+    return F.size(F.split(_norm(text), " ")) >= FAR_WORDS
 
 
 def link(parsed: DataFrame) -> DataFrame:
@@ -101,16 +118,16 @@ def link(parsed: DataFrame) -> DataFrame:
     orig, quotes = originals(parsed), quotations(parsed)
     # same conversation: the latest earlier message, by a running maximum over the
     # rows of one (conversation, hash)
-    here = orig.select("conv_id", "hash", "turn", F.col("turn").alias("src"), F.lit(None).cast("int").alias("level"))
-    asks = quotes.select("conv_id", "hash", "turn", F.lit(None).cast(orig.schema["turn"].dataType).alias("src"), "level")
+    here = orig.select("conv_id", "hash", "turn", F.col("turn").alias("src"), F.lit(None).cast("int").alias("level"), F.lit(None).cast("boolean").alias("long"))
+    asks = quotes.select("conv_id", "hash", "turn", F.lit(None).cast(orig.schema["turn"].dataType).alias("src"), "level", "long")
     wanted = quotes.select("conv_id", "hash").distinct()
     before = F.expr("max(src) over (partition by conv_id, hash order by turn range between unbounded preceding and 1 preceding)")
     inner = (here.join(wanted, ["conv_id", "hash"], "left_semi").unionByName(asks).withColumn("parent_turn", before).where("level is not null"))
     near = inner.where("parent_turn is not null").select("conv_id", "turn", "level", F.lit(0).alias("far"), F.col("conv_id").alias("parent_conv"), "parent_turn")
     # else the first message of an earlier conversation
-    first = (orig.join(quotes.select("hash").distinct(), "hash", "left_semi").groupBy("hash").agg(F.min(F.struct("conv_id", "turn")).alias("o")))
-    lone = inner.where("parent_turn is null").select("conv_id", "turn", "level", "hash")
-    far = (lone.join(first, "hash").where(F.col("o.conv_id") < F.col("conv_id"))
+    first = (orig.join(quotes.select("hash").distinct(), "hash", "left_semi").groupBy("hash").agg(F.min(F.struct("conv_id", "turn")).alias("o"), F.max("conv_id").alias("last")))
+    lone = inner.where("parent_turn is null").select("conv_id", "turn", "level", "hash", "long")
+    far = (lone.join(first, "hash").where((F.col("o.conv_id") < F.col("conv_id")) & (F.col("long") | (F.col("o.conv_id") == F.col("last"))))
            .select("conv_id", "turn", "level", F.lit(1).alias("far"), F.col("o.conv_id").alias("parent_conv"), F.col("o.turn").alias("parent_turn")))
     votes = near.unionByName(far).groupBy("conv_id", "turn", "level", "far", "parent_conv", "parent_turn").agg(F.count(F.lit(1)).alias("n_hits"))
     best = F.min(F.struct("far", "level", (-F.col("n_hits")).alias("neg"), "parent_conv", "parent_turn")).alias("b")
