@@ -21,7 +21,7 @@ def test_clashing_column_names(spark):
     assert {r.doc_id for r in quality_lm.classify(named, labels).collect()} == {1, 2}
 
 
-def test_letters_anywhere_in_a_word():
+def test_letters_anywhere_in_a_word(spark):
     samples = [("en", "the house and the garden with trees".split() * 20), ("de", "das haus und der garten mit bäumen".split() * 20)]
     model = langid.train_crf(samples, ["de", "en"])
     out = langid.predictor(model).func(__import__("pandas").Series(["²a", "²³", "12 _", None, "", "the garden"]))
