@@ -64,6 +64,18 @@ def rows_of(docs: DataFrame, picked: DataFrame, bound: int) -> DataFrame:
     return docs.join(F.broadcast(picked) if picked.count() <= 2 * bound else picked, "doc_id")
 
 
+_STORES: dict = {}
+
+
+def worker_store(owner, make):
+    """What an operator keeps in a Python worker from one task to the next, made by ``make()``. Workers
+    outlive operators and models, so only the last ``owner`` keeps anything."""
+    if owner not in _STORES:
+        _STORES.clear()
+        _STORES[owner] = make()
+    return _STORES[owner]
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark delete shuffle and checkpoint files that nothing refers to: its
     cleaner acts when the driver's JVM collects garbage, which iterative jobs reach

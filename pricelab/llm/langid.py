@@ -171,9 +171,6 @@ def train_crf(samples: list[tuple[str, list[str]]], langs: list[str], span: int
     return Crf(langs, w.astype(np.float32), tr.astype(np.float32), lexicon)
 
 
-_EMIT: dict = {}
-
-
 def predictor(model: Crf | None):
     """Arrow UDF text -> (lang_pred, score)."""
     key = None if model is None else zlib.crc32(model.weights.tobytes())
@@ -183,9 +180,7 @@ def predictor(model: Crf | None):
         langs, share = [UND] * len(texts), np.zeros(len(texts))
         if model is None:
             return pd.DataFrame({"lang_pred": langs, "score": share})
-        if key not in _EMIT:            # a worker outlives the model: only the last one's words stay
-            _EMIT.clear()
-        ids, table = _EMIT.setdefault(key, ({}, []))
+        ids, table = C.worker_store(("langid", key), lambda: ({}, []))
         if len(ids) > 300_000:
             ids.clear()
             table.clear()

@@ -33,7 +33,6 @@ SEQUENCE = 4096
 END_ID = 1
 SHARD_PIECES = 25_000
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-_TOKENIZERS: dict[str, tuple] = {}
 CACHED = 800_000
 _SIMPLE = re.compile(r"([A-Za-z]+)([.,!?;:]*)").fullmatch
 
@@ -49,10 +48,11 @@ def token_bytes(texts, path: str):
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")   # Spark's tasks are the parallelism
     from tokenizers import Tokenizer
 
-    if path not in _TOKENIZERS:
+    def load():
         tok = Tokenizer.from_file(path)
-        _TOKENIZERS[path] = (tok, {"": b""}, {}, tok.model)
-    tok, cache, words, model = _TOKENIZERS[path]
+        return tok, {"": b""}, {}, tok.model
+
+    tok, cache, words, model = C.worker_store(("tokens", path), load)
     for text in texts:
         parts = (text or "").replace("\n", " ").split(" ")
         try:

@@ -156,18 +156,13 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None,
     return p[:f], (float(p[f]), float(p[f] + np.exp(np.clip(p[f + 1], -10, 10))))
 
 
-_CACHE: dict[int, dict[str, float]] = {}
-
-
 def scorer(model: OrdinalModel, name_rejected: float = 0.5):
     """Arrow UDF text -> (p0, p1, p2, severity, toxic)."""
     key = hash((model.thresholds, len(model.weights), sum(model.weights.values())))
 
     @pandas_udf("p_clean double, p_toxic double, p_severe double, severity double, toxic boolean")
     def score(texts: pd.Series) -> pd.DataFrame:
-        if key not in _CACHE:           # a worker outlives the model: only the last one's words stay
-            _CACHE.clear()
-        cache = _CACHE.setdefault(key, {})
+        cache = C.worker_store(("toxicity", key), dict)
         weights, total = model.weights, np.zeros(len(texts))
         for r, text in enumerate(texts):
             if not text:
