@@ -604,4 +604,4 @@ def test_hashes():
 
 
 def test_registry():
-    assert {re.match(r"op(\d+)_", k)[1] for k in QUERIES if k != "pipeline"} == {str(i) for i in range(1, 11)}
+    assert {re.match(r"op(\d+)_", k)[1] for k in QUERIES if k != "pipeline"} == {str(i) for i in range(1, 14)}
