@@ -329,6 +329,7 @@ def shared_hashes(groups_df: DataFrame, values_of, groups: int, per_group: int)
     bits = max(0, int(groups * per_group / 2_000_000).bit_length())
 
     def send(key, tab):
+        worker_store("hashes", dict)        # caches of an earlier stage's operator go
         values, counts = values_of(group_rows(tab))
         return bucket_rows(values, counts, key[0].as_py(), bits)
 
