@@ -203,11 +203,14 @@ def signed(a: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(a).view(np.int64)
 
 
+def flat(col):
+    """An Arrow column as one array."""
+    return col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
+
+
 def id_array(col) -> np.ndarray:
     """int64 ids of an Arrow column; null becomes ``NO_ID``."""
-    if isinstance(col, pa.ChunkedArray):
-        col = col.combine_chunks()
-    return col.cast(pa.int64()).fill_null(NO_ID).to_numpy(zero_copy_only=False)
+    return flat(col).cast(pa.int64()).fill_null(NO_ID).to_numpy(zero_copy_only=False)
 
 
 # ------------------------------------------------------------------ text groups
@@ -390,12 +393,13 @@ def all_stars(e: DataFrame) -> bool:
     return mixed.where("hangs + centre > 1").isEmpty()
 
 
-def link_components(sets: DataFrame, to_set, similar, to_values, tile: int = 2048, rounds: int = 5) -> DataFrame:
+def link_components(sets: DataFrame, similar, to_values, tile: int = 2048, rounds: int = 5) -> DataFrame:
     """Exact components of the sets that share a key and are ``similar``.
 
     ``sets``: (sid long, n int, keys array<long>, payload binary), one row per distinct set, already
-    written out. ``to_set(payload)`` gives the sorted distinct uint64 values, ``to_values(payloads)``
-    those of many as ``(hashes, ptr)`` (repeats allowed), ``similar(inter, na, nb)`` the exact test.
+    written out. ``to_values(payloads)`` gives the uint64 values of many as ``(hashes, ptr)`` (repeats
+    allowed), ``similar(inter, na, nb)`` is the exact test. Of the keys that the same sets share
+    only one goes on: the others have no pair of their own.
 
     1. Stars: each set is verified against one pivot that shares a key with it and
        is in another component, first the smallest, then (for keys whose sets are
@@ -409,7 +413,9 @@ def link_components(sets: DataFrame, to_set, similar, to_values, tile: int = 204
     linear work. The stars only save work: the rest covers every pair of a key
     that is not in one component. Returns (sid, comp) for components of two or more."""
     keys = sets.select("sid", "n", F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo <> hi").select("key")
+    shared = (keys.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"), F.count(F.lit(1)).alias("size"),
+                                      *[F.sum(F.shiftright(F.xxhash64("sid", F.lit(i)), 20)).alias(f"sum{i}") for i in range(2)])
+              .where("lo <> hi").groupBy("lo", "hi", "size", "sum0", "sum1").agg(F.min("key").alias("key")).select("key"))
     keyed, seen, comp = cut(keys.join(shared, "key", "left_semi")).withColumn("comp", F.col("sid")), None, None
     for r in range(rounds):
         score = F.col("sid") if r == 0 else F.xxhash64("sid", F.lit(r))
@@ -419,7 +425,7 @@ def link_components(sets: DataFrame, to_set, similar, to_values, tile: int = 204
         star = (keyed.join(pivots, "key").where("comp <> pcomp").groupBy("sid").agg(F.min(choice).alias("c"))
                 .select(F.least("sid", "c.pivot").alias("a"), F.greatest("sid", "c.pivot").alias("b")).distinct())
         star = cut(star if seen is None else star.join(seen, ["a", "b"], "left_anti"))
-        found = cut(verify_pairs(star, sets, to_set, similar))
+        found = cut(verify_pairs(star, sets, to_values, similar))
         seen = star if seen is None else seen.union(star)
         fresh = found.count()
         if fresh or comp is None:
@@ -437,10 +443,8 @@ def link_components(sets: DataFrame, to_set, similar, to_values, tile: int = 204
         if keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > tile).isEmpty():
             break
 
-    # a key with the sets of another key has no pair of its own: one of them is enough
     mixed = (keyed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"),
-                                      F.min("sid").alias("leader"), F.sum(F.xxhash64("sid").cast("decimal(20,0)")).alias("p"), F.sum(F.xxhash64("sid", F.lit(1)).cast("decimal(20,0)")).alias("q"))
-             .where("lo <> hi").groupBy("size", "weight", "leader", "p", "q").agg(F.min("key").alias("key")))
+                                      F.min("sid").alias("leader")).where("lo <> hi"))
     rest = keyed.join(mixed.select("key", "size", "weight", "leader"), "key")
     more = cut(tile_links(rest, sets, to_values, similar, tile))
     if not more.isEmpty():
@@ -448,7 +452,7 @@ def link_components(sets: DataFrame, to_set, similar, to_values, tile: int = 204
     return comp.select(F.col("id").alias("sid"), "comp")
 
 
-def verify_pairs(pairs: DataFrame, sets: DataFrame, to_set, similar) -> DataFrame:
+def verify_pairs(pairs: DataFrame, sets: DataFrame, to_values, similar) -> DataFrame:
     """The ``pairs (a, b)`` whose sets pass the exact test."""
     side = sets.select("sid", "payload")
     both = (pairs.join(side.select(F.col("sid").alias("a"), F.col("payload").alias("pa")), "a")
@@ -456,21 +460,44 @@ def verify_pairs(pairs: DataFrame, sets: DataFrame, to_set, similar) -> DataFram
 
     def test(batches):
         for t in batches:
-            keep, last, have = [], None, None
-            for a, pa_, pb_ in zip(t.column(0).to_pylist(), t.column(2).to_pylist(), t.column(3).to_pylist()):
-                if a != last:
-                    last, have = a, to_set(pa_)
-                other = to_set(pb_)
-                inter = len(np.intersect1d(have, other, assume_unique=True))
-                keep.append(bool(similar(inter, len(have), len(other))))
+            size = np.cumsum([len(x) + len(y) for x, y in zip(t.column(2).to_pylist(), t.column(3).to_pylist())])
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(size // CHUNK_BYTES)) + 1, [len(size)]]) if len(size) else [0]
+            keep = np.concatenate([np.zeros(0, bool), *[similar_pairs(t.column(2)[lo:hi], t.column(3)[lo:hi], to_values, similar)
+                                                        for lo, hi in zip(cuts[:-1], cuts[1:])]])
             yield pa.RecordBatch.from_arrays([t.column(0).filter(pa.array(keep)), t.column(1).filter(pa.array(keep))], ["a", "b"])
 
     return both.select("a", "b", "pa", "pb").mapInArrow(test, "a long, b long")
 
 
+def similar_pairs(left: pa.Array, right: pa.Array, to_values, similar) -> np.ndarray:
+    """For each pair of payloads whether their sets pass the exact test."""
+    (a, pa_), (b, pb) = (to_values(x.to_pylist()) for x in (left, right))
+    inter, sizes = [], []
+    for i in range(len(left)):
+        x, y = distinct(a[pa_[i]:pa_[i + 1]]), distinct(b[pb[i]:pb[i + 1]])
+        inter.append(common_values(x, y))
+        sizes.append((len(x), len(y)))
+    na, nb = np.array(sizes, np.int64).reshape(-1, 2).T
+    return similar(np.array(inter, np.int64), na, nb)
+
+
+def distinct(a: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; ``np.unique`` hashes them first, which is slower."""
+    a = np.sort(a)
+    return a[np.append(True, a[1:] != a[:-1])] if len(a) else a
+
+
+def common_values(a: np.ndarray, b: np.ndarray) -> int:
+    """How many values two sorted arrays of distinct values share."""
+    both = np.sort(np.concatenate([a, b]))
+    return int(np.count_nonzero(both[1:] == both[:-1]))
+
+
 LOT_ROWS = 4000
 SLICE_ROWS = 20_000             # rows of the keys of one leader that go to one lot
 PAIR_TABLE = 6000               # sets of a lot up to which failed pairs are remembered (36 MB)
+FEW_ROWS = 48                   # rows of a tile up to which its pairs are listed
+PAIR_ROWS = 1 << 19             # pairs listed at once
 TILE_VALUES = 2 << 20           # set values on one side of a tile
 WIDE_BITS = 4096
 
@@ -487,6 +514,17 @@ def bitmaps(hashes: np.ndarray, ptr: np.ndarray, bits: int) -> np.ndarray:
     return np.concatenate(out)
 
 
+def tile_pairs(starts: np.ndarray, sizes: np.ndarray):
+    """Yields rows ``(x, y)`` of all pairs in the tiles ``start .. start + size``, about ``PAIR_ROWS`` at once."""
+    for size in np.unique(sizes[sizes > 1]):
+        left, right = np.triu_indices(size, 1)
+        of = starts[sizes == size]
+        step = max(1, PAIR_ROWS // len(left))
+        for lo in range(0, len(of), step):
+            at = of[lo:lo + step, None]
+            yield (at + left).ravel(), (at + right).ravel()
+
+
 def tile_links(rest: DataFrame, sets: DataFrame, to_values, similar, tile: int) -> DataFrame:
     """Verified links between different components, found inside the tiles.
 
@@ -496,9 +534,10 @@ def tile_links(rest: DataFrame, sets: DataFrame, to_values, similar, tile: int)
     0.8 are one band apart at most) and cut into blocks, every pair of blocks being a tile.
     Tiles are worked on in lots. Keys with one leader mostly hold the same sets, so
     they go to the same lot, in slices of bounded size, and a set's values travel once a lot.
-    A tile links its components like a union-find does, so it returns fewer links
+    A lot links its components like a union-find does, so it returns fewer links
     than it has rows; which ones depends on the order of rows, what they join
-    does not."""
+    does not. The pairs of small tiles are listed for the whole lot at once, each
+    pair of sets once; larger tiles are gone through row by row."""
     blocks = F.greatest(F.ceil(F.col("size") / tile), F.ceil(F.col("weight") / F.lit(TILE_VALUES))).cast("int")
     own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
     band = F.floor(F.log(F.greatest(F.col("n"), F.lit(1)).cast("double")) / F.log(F.lit(1.26))).cast("int")
@@ -532,16 +571,52 @@ def tile_links(rest: DataFrame, sets: DataFrame, to_values, similar, tile: int)
 
         def values(k):
             if k not in sets:
-                sets[k] = np.unique(hashes[ptr[k]:ptr[k + 1]])
+                sets[k] = distinct(hashes[ptr[k]:ptr[k + 1]])
             return sets[k]
 
+        # components that links of this lot joined: which tile found them does not matter
+        root, group = np.unique(comp, return_inverse=True)
+        root = np.arange(len(root))
+        left, right = [], []
+
+        def joined(x, y):
+            """Notes the link of rows ``x`` and ``y``."""
+            root[root == root[group[y]]] = root[group[x]]
+            left.append(min(sid[x], sid[y]))
+            right.append(max(sid[x], sid[y]))
+
         # pairs that failed under another key of the lot
         failed = np.zeros((len(names), len(names)), bool) if len(names) <= PAIR_TABLE else None
         cuts = np.append(np.flatnonzero(np.diff(tiles[order], prepend=tiles[order][0] - 1)), len(sid))
-        left, right = [], []
-        for lo, hi in zip(cuts[:-1], cuts[1:]):
-            label = comp[lo:hi].copy()
-            if hi - lo < 2 or (label == label[0]).all():
+        few = np.diff(cuts) <= FEW_ROWS
+        for x, y in tile_pairs(cuts[:-1][few], np.diff(cuts)[few]):
+            m = (comp[x] != comp[y]) & (home[x] | home[y]) & ((i[x] == j[x]) | (own[x] != own[y])) & similar(np.minimum(n[x], n[y]), n[x], n[y])
+            x, y = x[m], y[m]
+            code = np.minimum(which[x], which[y]) * len(names) + np.maximum(which[x], which[y])
+            once = np.unique(code, return_index=True)[1]
+            x, y = x[once], y[once]
+            if failed is not None:
+                new = ~failed[which[x], which[y]]
+                x, y = x[new], y[new]
+            for lo in range(0, len(x), 2048):
+                px, py = x[lo:lo + 2048], y[lo:lo + 2048]
+                mine, other = bits[which[px]], bits[which[py]]
+                bound = np.minimum(n[px] - np.bitwise_count(mine & ~other).sum(1, dtype=np.int64),
+                                   n[py] - np.bitwise_count(other & ~mine).sum(1, dtype=np.int64))
+                near = similar(bound, n[px], n[py])
+                if failed is not None:
+                    failed[which[px[~near]], which[py[~near]]] = failed[which[py[~near]], which[px[~near]]] = True
+                for u, v in zip(px[near].tolist(), py[near].tolist()):
+                    if root[group[u]] == root[group[v]]:
+                        continue
+                    a, c = values(which[u]), values(which[v])
+                    if similar(common_values(a, c), len(a), len(c)):
+                        joined(u, v)
+                    elif failed is not None:
+                        failed[which[u], which[v]] = failed[which[v], which[u]] = True
+        for lo, hi in zip(cuts[:-1][~few], cuts[1:][~few]):
+            label = root[group[lo:hi]]
+            if (label == label[0]).all():
                 continue
             here, m_ = which[lo:hi], n[lo:hi]
             for x in np.flatnonzero(home[lo:hi]):
@@ -572,8 +647,7 @@ def tile_links(rest: DataFrame, sets: DataFrame, to_values, similar, tile: int)
                     for z in y[:len(b)][good]:
                         if label[z] != label[x]:
                             label[label == label[z]] = label[x]
-                            left.append(min(sid[lo + x], sid[lo + z]))
-                            right.append(max(sid[lo + x], sid[lo + z]))
+                            joined(lo + x, lo + z)
                     y = y[len(b):]
                     y = y[label[y] != label[x]]
         return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})

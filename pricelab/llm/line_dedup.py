@@ -15,7 +15,7 @@ normalised form.
 
 Groups of documents ask for the band keys that occur at least twice anywhere
 (``common.shared_hashes``), so only lines with a possible partner travel, once
-per group and distinct text.
+per group and distinct text. Signatures are made once, for question and answer.
 
 Defined results: blank lines are no candidates and always stay; null text stays
 null with no lines; a document that loses every non-blank line keeps empty text
@@ -182,23 +182,75 @@ def _fresh(h: np.ndarray, seen: np.ndarray) -> np.ndarray:
     return np.sort(at[~C.lookup(u, seen)[1]])
 
 
-def _group_values(rows: pa.Table):
-    seen, keys = np.empty(0, np.uint64), []
-    for b, s, e, _, _, h in _lines(rows):
+def _signed(key, tab):
+    """``(g, blob)``: the distinct lines of a group with set size and band keys. They are made
+    here once; asking for partners and taking the answers both read them."""
+    C.worker_store("hashes", dict)               # caches of an earlier stage's operator go
+    seen, lines, sizes, keys = np.empty(0, np.uint64), [], [], []
+    for b, s, e, _, _, h in _lines(C.group_rows(tab)):
         new = _fresh(h, seen)
-        seen = np.union1d(seen, h)
+        seen = C.distinct(np.concatenate([seen, h]))
         if len(new):
             hashes, ptr = shingle_hashes(b, s[new], e[new])
-            k = line_keys(hashes, ptr, distinct_counts(hashes, ptr))
-            keys.append(k[k != 0])
-    whole = C.mix(seen)                      # equal lines: their hash is a key too
-    return np.unique(np.concatenate([whole, *keys]), return_counts=True)
+            n = distinct_counts(hashes, ptr)
+            lines.append(h[new])
+            sizes.append(n)
+            keys.append(line_keys(hashes, ptr, n))
+    if not lines:
+        return _SIGNED.empty_table()
+    k = np.concatenate(keys)
+    ends = np.concatenate([[0], np.cumsum((k != 0).sum(1))])
+    return _blob(key, np.concatenate(lines), np.concatenate(sizes), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(C.signed(k[k != 0]))))
+
+
+def _blob(key, line: np.ndarray, n: np.ndarray, keys: pa.ListArray) -> pa.Table:
+    """Lines of a group as one row ``(g, blob)``."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, _LINE) as stream:
+        stream.write_table(pa.table([pa.array(C.signed(line)), pa.array(n.astype(np.int32)), keys], schema=_LINE))
+    return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], schema=_SIGNED)
+
+
+def _group_values(rows: pa.Table):
+    """Keys of a group's lines; equal lines: the hash of the whole line is a key too."""
+    return np.unique(np.concatenate([C.mix(_u64(rows.column("line"))), _u64(C.flat(rows.column("keys")).values)]), return_counts=True)
+
+
+def _u64(col) -> np.ndarray:
+    return col.to_numpy().view(np.uint64)
 
 
+_SIGNED = pa.schema([("g", pa.int32()), ("blob", pa.binary())])
+_LINE = pa.schema([("line", pa.int64()), ("n", pa.int32()), ("keys", pa.list_(pa.int64()))])
 _CAND = pa.schema([("g", pa.int32()), ("line", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int32()), ("no", pa.int32()),
                    ("n", pa.int32()), ("keys", pa.list_(pa.int64())), ("payload", pa.binary())])
 
 
+def linking_keys(signed: pa.Table, shared: np.ndarray, freq: np.ndarray):
+    """``(line, n, keys)`` of those of a group's signed lines that have a partner, ordered by
+    line hash, with the keys that other texts have too. A key that occurs as often
+    as its line comes from copies of that line alone."""
+    line = _u64(signed.column("line"))
+    lists = C.flat(signed.column("keys"))
+    keys, ptr = _u64(lists.values), lists.offsets.to_numpy()
+    at, copied = C.lookup(C.mix(line), shared)
+    pos, hit = C.lookup(keys, shared)
+    if len(freq):
+        hit &= freq[pos] > np.repeat(np.where(copied, freq[at], 1), np.diff(ptr))
+    ends = np.concatenate([[0], np.cumsum(hit)])[ptr]
+    order = np.argsort(line)
+    order = order[(copied | (np.diff(ends) > 0))[order]]
+    own = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(C.signed(keys[hit])))
+    return line[order], signed.column("n").to_numpy()[order], own.take(pa.array(order))
+
+
+def _linking(key, left, right):
+    """``(g, blob)`` like ``_signed`` of the lines with a partner and their linking keys."""
+    if not left.num_rows or not right.num_rows:
+        return _SIGNED.empty_table()
+    return _blob(key, *linking_keys(C.group_rows(left), *C.read_answers(right)))
+
+
 def distinct_counts(hashes: np.ndarray, ptr: np.ndarray) -> np.ndarray:
     """How many distinct values each ``hashes[ptr[i]:ptr[i + 1]]`` has: one sort of all
     lines' values, each under its line's number."""
@@ -212,39 +264,37 @@ def distinct_counts(hashes: np.ndarray, ptr: np.ndarray) -> np.ndarray:
 
 def _candidates(key, left, right):
     """The lines of a group with a shared key, once per text: first place, set size,
-    shared band keys and normalised text."""
-    if not left.num_rows:
+    band keys shared with other texts and, if there are any, normalised text."""
+    if not left.num_rows or not right.num_rows:
+        return _CAND.empty_table()
+    linking = C.group_rows(right)
+    line, n, keys = _u64(linking.column("line")), linking.column("n").to_numpy(), C.flat(linking.column("keys"))
+    has = np.diff(keys.offsets.to_numpy()) > 0
+    if not len(line):
         return _CAND.empty_table()
-    shared, _ = C.read_answers(right)
     rows = C.group_rows(left)
     ids = C.id_array(rows.column("doc_id"))
     parts = []
     for b, s, e, row, no, h in _lines(rows):
-        place = np.lexsort((no, row, ids[row]))
-        u, at = np.unique(h[place], return_index=True)
-        by = np.argsort(place[at])
-        u, at = u[by], place[at][by]
-        hashes, ptr = shingle_hashes(b, s[at], e[at])
-        n = distinct_counts(hashes, ptr)
-        keys = line_keys(hashes, ptr, n)
-        hit = C.lookup(keys.ravel(), shared)[1].reshape(keys.shape)
-        some = C.lookup(C.mix(u), shared)[1] | hit.any(1)
-        if not some.any():
+        which, found = C.lookup(h, line)
+        found = np.flatnonzero(found)
+        place = found[np.lexsort((no[found], row[found], ids[row[found]]))]
+        u, at = np.unique(which[place], return_index=True)
+        if not len(u):
             continue
-        n, at, keys, hit = n[some], at[some], keys[some], hit[some]
-        ends = np.concatenate([[0], np.cumsum(hit.sum(1))])
+        at = place[at]
         text = b.tobytes()
-        parts.append(pa.table([pa.array(np.full(len(at), key[0].as_py(), np.int32)), pa.array(C.signed(u[some])), pa.array(ids[row[at]]),
-                               pa.array(row[at].astype(np.int32)), pa.array(no[at].astype(np.int32)), pa.array(n.astype(np.int32)),
-                               pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(C.signed(keys[hit]))),
-                               pa.array([text[x:y] for x, y in zip(s[at].tolist(), e[at].tolist())], pa.binary())], schema=_CAND))
-    if not parts:
-        return _CAND.empty_table()
+        parts.append((u, ids[row[at]], row[at], no[at],
+                      [text[x:y] if z else None for x, y, z in zip(s[at].tolist(), e[at].tolist(), has[u].tolist())]))
     # of a text that several chunks hold, the first place
-    tab = pa.concat_tables(parts)
-    line, doc, row, no = (tab.column(c).to_numpy() for c in ("line", "doc_id", "row", "no"))
-    order = np.lexsort((no, row, doc, line))
-    return tab.take(pa.array(order[np.diff(line[order], prepend=line[order[0]] - 1) != 0]))
+    u, doc, row, no = (np.concatenate([p[i] for p in parts]) for i in range(4))
+    payload = pa.array([x for p in parts for x in p[4]], pa.binary())
+    order = np.lexsort((no, row, doc, u))
+    order = order[np.diff(u[order], prepend=-1) != 0]
+    u = u[order]
+    return pa.table([pa.array(np.full(len(u), key[0].as_py(), np.int32)), pa.array(C.signed(line[u])), pa.array(doc[order]),
+                     pa.array(row[order].astype(np.int32)), pa.array(no[order].astype(np.int32)), pa.array(n[u].astype(np.int32)),
+                     keys.take(pa.array(u)), payload.take(pa.array(order))], schema=_CAND)
 
 
 def line_set(payload: bytes) -> np.ndarray:
@@ -269,14 +319,17 @@ def dedup_lines(docs: DataFrame, counts: tuple[str, str] = ("n_lines", "n_remove
     C.prepare(spark)
     groups = C.group_count(docs)
     packed = C.text_groups(docs, groups)
-    shared = C.shared_hashes(packed, _group_values, groups, C.GROUP_BYTES // 25)
-    cand = C.written(packed.groupBy("g").cogroup(shared.groupBy("g")).applyInArrow(
+    # dealt out anew, so that both steps that read the signed lines share one exchange
+    signed = packed.groupBy("g").applyInArrow(_signed, "g int, blob binary").repartition("g")
+    shared = C.shared_hashes(signed, _group_values, groups, C.GROUP_BYTES // 25)
+    linking = signed.groupBy("g").cogroup(shared.groupBy("g")).applyInArrow(_linking, "g int, blob binary")
+    cand = C.written(packed.groupBy("g").cogroup(linking.groupBy("g")).applyInArrow(
         _candidates, "g int, line long, doc_id long, row int, no int, n int, keys array<long>, payload binary"))
     C.release(spark)
     place = F.struct("doc_id", "row", "no", "g")
     sets = C.written(cand.where(F.size("keys") > 0).groupBy(F.col("line").alias("sid"))
                      .agg(F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("payload").alias("payload")))
-    comp = C.link_components(sets, line_set, C.jaccard_80, line_values)
+    comp = C.link_components(sets, C.jaccard_80, line_values)
     of = C.cut(cand.select("g", "line", "doc_id", "row", "no").join(comp.withColumnRenamed("sid", "line"), "line", "left")
                .withColumn("comp", F.coalesce("comp", "line")))
     keeper = of.groupBy("comp").agg(F.min(place).alias("k"))

@@ -149,7 +149,7 @@ def _linked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     reps = heads.groupBy("set_hash").agg(F.min(F.struct("doc_id", "local")).alias("r")).select("set_hash", F.col("r.doc_id").alias("rep"), F.col("r.local").alias("sid"))
     sets = (heads.where("keys is not null").join(reps.select("sid"), F.col("local") == F.col("sid"), "left_semi")
             .select(F.col("local").alias("sid"), F.col("n_shingles").alias("n"), "keys", "payload"))
-    comp = C.cut(C.link_components(C.written(sets), C.unpack_u64, C.jaccard_80, many_sets))
+    comp = C.cut(C.link_components(C.written(sets), C.jaccard_80, many_sets))
     # components are found over sets; the smallest doc_id of their sets names them
     named = comp.unionByName(comp.select(F.col("comp").alias("sid"), "comp")).distinct().join(reps.select("sid", "rep"), "sid")
     names = named.groupBy("comp").agg(F.min("rep").alias("name"))
