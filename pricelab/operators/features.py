@@ -11,12 +11,15 @@ non-null inputs, ``std`` is ddof=1, divisions follow ``pdiv`` (x/0 = +-inf,
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.calendar import calendar_columns
 from ..functions.expr import pdiv
+from ..session import jit_sized
 from .ema import BUCKET, ema_lookback, ema_stage
 from .layout import SeriesLayout, series_layout
 
@@ -65,10 +68,17 @@ def _has(df: DataFrame, *cols: str) -> bool:
 _AGG_FNS = {"avg": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max, "count": F.count}
 
 
+#: Long frames and the shorter ones that they consist of. Spark goes through every row of a sliding
+#: frame again for each row; a frame of 50 is five frames of 10 that it has already.
+BLOCKS = {14: 7, 20: 10, 30: 10, 50: 10}
+
+
 class Windows:
-    def __init__(self, w: WindowSpec):
+    def __init__(self, w: WindowSpec, late: Windows | None = None):
         self.w = w
+        self.late = late                        # window stage over this one: lags of its frames
         self.cols: dict[str, Column] = {}
+        self.blocks: dict[str, Column] = {}     # frames of this stage that ``late`` puts together
         self._frames: dict[int, WindowSpec] = {}
 
     def _add(self, name: str, make) -> Column:
@@ -91,12 +101,37 @@ class Windows:
 
     def full(self, fn: str, c: str, k: int) -> Column:
         """pandas rolling(k).<fn>() with min_periods=k."""
+        if self.late is not None and k in BLOCKS:
+            return self._joined(fn, c, k, BLOCKS[k])
         n = self._add(f"_n{k}_{c}", lambda: F.count(F.col(c)).over(self._frame(k)))
         a = self._add(f"_{fn}{k}_{c}", lambda: _AGG_FNS[fn](F.col(c)).over(self._frame(k)))
         return F.when(n == k, a)
 
+    def _parts(self, fn: str, c: str, k: int, b: int) -> list[Column]:
+        name = f"_block{b}_{fn}_{c}"
+        if name not in self.blocks:
+            self.blocks[name] = self.full(fn, c, b)
+        return [F.col(name), *[self.late.lag(name, at) for at in range(b, k, b)]]
+
+    def _joined(self, fn: str, c: str, k: int, b: int) -> Column:
+        """A frame of ``k`` rows from its blocks of ``b``; NULL unless all blocks are full. Squared
+        deviations add up with those of the block means, which cancels nothing."""
+        means = self._parts("avg", c, k, b)
+        mean = reduce(add, means) / F.lit(float(len(means)))
+        if fn == "avg":
+            return mean
+        parts = self._parts(fn, c, k, b)
+        if fn == "std":
+            inner = reduce(add, [p * p for p in parts]) * F.lit(b - 1.0)
+            outer = reduce(add, [(m - mean) * (m - mean) for m in means]) * F.lit(float(b))
+            return F.sqrt((inner + outer) / F.lit(k - 1.0))
+        return F.when(mean.isNotNull(), {"min": F.least, "max": F.greatest}[fn](*parts))
+
     def select(self, df: DataFrame) -> DataFrame:
-        return df.select("*", *[e.alias(n) for n, e in self.cols.items()])
+        out = df.select("*", *[e.alias(n) for n, e in self.cols.items()])
+        if not self.blocks:
+            return out
+        return self.late.select(out.select("*", *[e.alias(n) for n, e in self.blocks.items()]))
 
 
 def _ln(c: str) -> str:
@@ -208,15 +243,17 @@ def target_columns(W2: Windows, price: str = "close") -> list[Column]:
 def two_stage(lay: SeriesLayout, bars: DataFrame, stage1, stage2, price: str = "close",
               keep: list[str] | None = None) -> DataFrame:
     """Run feature families over a layout: ``stage1(W1)`` -> columns needing only
-    lags; ``stage2(W2, frame)`` -> columns over frames of stage-1 outputs. Both
-    Window nodes share the layout's partitioning and ordering (one Exchange)."""
+    lags; ``stage2(W2, frame)`` -> columns over frames of stage-1 outputs, long ones put
+    together from lags of short ones. All Window nodes share the layout's
+    partitioning and ordering (one Exchange)."""
+    jit_sized(lay.df.sparkSession)
     w = lay.window()
     base = stage1_inputs(lay.df, price)
     W1 = Windows(w)
     s1_cols = stage1(W1)
     helpers = helper_columns(bars, W1, price)
     f1 = W1.select(base).select(*base.columns, *s1_cols, *helpers)
-    W2 = Windows(w)
+    W2 = Windows(w, Windows(w))
     s2_cols = stage2(W2, f1)
     f2 = W2.select(f1)
     keep = keep if keep is not None else list(lay.df.columns)
@@ -242,8 +279,8 @@ def create_features(bars: DataFrame, series: str = "series", order="dt", price:
     reference's column order (price, lag, rolling, volatility, technical,
     seasonal, targets), then drop-incomplete (PF7).
 
-    Plan: one Exchange on the layout keys, the EMA scan on the narrow bars, then two
-    Window nodes (lags; frames over them) in the order that the scan left, so neither
+    Plan: one Exchange on the layout keys, the EMA scan on the narrow bars, then three
+    Window nodes (lags; frames over them; lags of frames) in the order that the scan left, so neither
     a second shuffle nor a sort of wide rows. All of it is expressions: a caller
     that selects some features gets only their windows computed."""
     lay = layout or feature_layout(bars, series, order, True, mode, chunk_rows)

@@ -39,6 +39,7 @@ def get_spark(master: str | None = None, app: str = "pricelab",
     spark.sparkContext.setLogLevel("ERROR")
     # UTC makes TIMESTAMP values print and compare the same everywhere.
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    jit_sized(spark)
     ensure_checkpoint_dir(spark)
     ship_package(spark)
     return spark
@@ -87,6 +88,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+
+
+def jit_sized(spark: SparkSession) -> None:
+    """Wide projections over windows generate methods of more than 8000 bytes, which the JVM never
+    compiles. From this limit on Spark uses projections in small methods instead. A
+    limit that the session has already stays."""
+    if spark.conf.get(METHOD_LIMIT, None) is None:
+        spark.conf.set(METHOD_LIMIT, "8000")
+
+
 CONSTRAINTS = "spark.sql.constraintPropagation.enabled"
 
 
